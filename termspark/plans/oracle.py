@@ -3,7 +3,21 @@
 from __future__ import annotations
 
 from . import oracle_documents as od
+from . import oracle_stats as os_
 
 ORACLE: dict[str, str] = {
     "concept_documents": od.concept_documents(),
+    "concept_documents_ids": od.concept_documents_ids(),
+    "synonyms_by_language": od.synonyms_by_language(),
+    "mapped_names": od.mapped_names(),
+    "mapping_status": od.mapping_status(),
+    "local_in_degree": od.local_in_degree(),
+    "statistic_pivot": od.statistic_pivot(),
+    "frequency_class": os_.frequency_class_one(),
+    "frequency_class_all_sources": os_.frequency_class_all(),
+    "frequency_union": os_.frequency_union(),
+    "frequency_class_collapsed": os_.frequency_collapsed(),
+    "value_average_by_source": os_.value_average_by_source(),
+    "value_average": os_.value_average(),
+    "statistic_upsert": os_.statistic_upsert(),
 }

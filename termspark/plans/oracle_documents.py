@@ -74,3 +74,64 @@ LEFT JOIN mapper_project p ON p.m_project_id = c.m_project_id
 
 def concept_documents() -> str:
     return with_views(documents_select())
+
+
+def concept_documents_ids() -> str:
+    extra = {"changed_ids": """
+      SELECT DISTINCT cr.concept_id_1 AS concept_id FROM concept_relationship cr
+      WHERE cr.m_concept_relationship_id IN (
+        SELECT m_concept_id FROM mapper_statistic WHERE m_statistic_type_id = 'VOTE_MAPPING')"""}
+    return with_views(documents_select(ids="changed_ids"), extra)
+
+
+_LIVE = """(SELECT concept_id_1, concept_id_2, lower(relationship_id) AS rel FROM concept_relationship
+            WHERE concept_id_1 <> concept_id_2 AND m_modif_end_datetime IS NULL)"""
+
+
+def synonyms_by_language() -> str:
+    return with_views("""
+SELECT s.concept_id,
+  string_agg(s.concept_synonym_name, '|' ORDER BY s.concept_synonym_name) FILTER (WHERE s.language_concept_id = 4180186) AS concept_synonym_name_en,
+  string_agg(s.concept_synonym_name, '|' ORDER BY s.concept_synonym_name) FILTER (WHERE s.language_concept_id = 4180190) AS concept_synonym_name_fr
+FROM concept_synonym s JOIN concept c ON c.concept_id = s.concept_id
+WHERE s.concept_synonym_name <> c.concept_name
+GROUP BY s.concept_id""")
+
+
+def mapped_names() -> str:
+    return with_views(f"""
+SELECT e.concept_id_1 AS concept_id,
+  string_agg(t.concept_name, '|' ORDER BY t.concept_name) FILTER (WHERE e.rel IN ('maps to', 'is a') AND lower(t.standard_concept) = 's') AS standard_concept_mapped_name,
+  string_agg(t.concept_name, '|' ORDER BY t.concept_name) FILTER (WHERE e.rel IN ('maps to', 'is a') AND lower(t.standard_concept) IS DISTINCT FROM 's') AS non_standard_concept_mapped_name,
+  string_agg(t.concept_name, '|' ORDER BY t.concept_name) FILTER (WHERE e.rel NOT IN ('maps to', 'is a')) AS concept_relation_name,
+  string_agg(t.concept_name, '|' ORDER BY t.concept_name) FILTER (WHERE e.rel IN ('maps to', 'is a', 'mapped from') AND (t.m_language_id IS NULL OR t.m_language_id = 'EN')) AS concept_mapped_name_en,
+  string_agg(t.concept_name, '|' ORDER BY t.concept_name) FILTER (WHERE e.rel IN ('maps to', 'is a', 'mapped from') AND t.m_language_id = 'FR') AS concept_mapped_name_fr
+FROM {_LIVE} e JOIN concept t ON t.concept_id = e.concept_id_2
+GROUP BY e.concept_id_1""")
+
+
+def mapping_status() -> str:
+    return with_views(f"""
+SELECT c.concept_id,
+  CASE WHEN r.n_s > 0 THEN 'S' WHEN r.n_ns > 0 THEN 'NS' WHEN r.n_r > 0 THEN 'R' ELSE 'EMPTY' END AS is_mapped
+FROM concept c LEFT JOIN (
+  SELECT e.concept_id_1 AS concept_id,
+    count(*) FILTER (WHERE e.rel IN ('maps to', 'is a') AND lower(t.standard_concept) = 's') AS n_s,
+    count(*) FILTER (WHERE e.rel IN ('maps to', 'is a') AND lower(t.standard_concept) IS DISTINCT FROM 's') AS n_ns,
+    count(*) FILTER (WHERE e.rel NOT IN ('maps to', 'is a')) AS n_r
+  FROM {_LIVE} e JOIN concept t ON t.concept_id = e.concept_id_2 AND t.concept_name IS NOT NULL
+  GROUP BY e.concept_id_1) r ON r.concept_id = c.concept_id""")
+
+
+def local_in_degree() -> str:
+    return with_views(f"""
+SELECT concept_id_2 AS concept_id, count(*) AS local_map_number FROM {_LIVE} e
+WHERE concept_id_1 >= 2000000000 GROUP BY concept_id_2""")
+
+
+def statistic_pivot() -> str:
+    return with_views("""
+SELECT m_concept_id AS concept_id,
+  max(m_value_as_number) FILTER (WHERE m_statistic_type_id = 'AVG') AS m_value_avg,
+  max(m_value_as_number) FILTER (WHERE m_statistic_type_id = 'FREQ') AS m_frequency_value
+FROM mapper_statistic WHERE m_statistic_type_id IN ('AVG', 'FREQ') GROUP BY m_concept_id""")

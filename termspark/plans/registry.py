@@ -13,7 +13,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import documents
+from pyspark.sql import functions as F
+
+from ..operators import documents, stats
 from ..sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +32,101 @@ def register(name: str):
 def concept_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return documents.joined_lists(documents.build(t), documents.LIST_COLUMNS)
+
+
+def _docs_touched_by_votes(t) -> DataFrame:
+    """Concepts whose mappings received votes: the ids a user-triggered sync rebuilds."""
+    votes = t.mapper_statistic.filter(F.col("m_statistic_type_id") == "VOTE_MAPPING")
+    rel = t.concept_relationship.select("m_concept_relationship_id", "concept_id_1")
+    return (votes.join(rel, votes.m_concept_id == rel.m_concept_relationship_id, "left_semi")
+            .select("m_concept_id")
+            .join(rel, F.col("m_concept_id") == F.col("m_concept_relationship_id"))
+            .select(F.col("concept_id_1").alias("concept_id")).distinct())
+
+
+@register("concept_documents_ids")
+def concept_documents_ids(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return documents.joined_lists(documents.build(t, ids=_docs_touched_by_votes(t)),
+                                  documents.LIST_COLUMNS)
+
+
+@register("synonyms_by_language")
+def synonyms_by_language(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return documents.joined_lists(documents.synonyms(t),
+                                  ["concept_synonym_name_en", "concept_synonym_name_fr"])
+
+
+@register("mapped_names")
+def mapped_names(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    lists = ["standard_concept_mapped_name", "non_standard_concept_mapped_name", "concept_relation_name",
+             "concept_mapped_name_en", "concept_mapped_name_fr"]
+    r = documents.relations(t).select(
+        "concept_id", *[F.when(F.size(c) > 0, F.col(c)).alias(c) for c in lists])
+    return documents.joined_lists(r, lists)
+
+
+@register("mapping_status")
+def mapping_status(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    r = documents.relations(t, with_lists=False)
+    j = t.concept.select("concept_id").join(r, "concept_id", "left")
+    return j.select("concept_id", documents.mapping_status(
+        *(F.coalesce(F.col(c), F.lit(0)) for c in ("n_standard", "n_non_standard", "n_relation")))
+        .alias("is_mapped"))
+
+
+@register("local_in_degree")
+def local_in_degree(spark, sf_dir):
+    return documents.local_in_degree(Tables(spark, sf_dir))
+
+
+@register("statistic_pivot")
+def statistic_pivot(spark, sf_dir):
+    return documents.statistics(Tables(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- statistics
+AS_OF = "2025-01-01 00:00:00"
+
+
+@register("frequency_class")
+def frequency_class(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return stats.frequency_class(t, sources=(("measurement", "measurement_concept_id"),))
+
+
+@register("frequency_class_all_sources")
+def frequency_class_all_sources(spark, sf_dir):
+    return stats.frequency_class(Tables(spark, sf_dir))
+
+
+@register("frequency_union")
+def frequency_union(spark, sf_dir):
+    return stats.frequency_union(stats.frequency_class(Tables(spark, sf_dir)))
+
+
+@register("frequency_class_collapsed")
+def frequency_class_collapsed(spark, sf_dir):
+    return stats.frequency_collapsed(stats.frequency_class(Tables(spark, sf_dir)))
+
+
+@register("value_average_by_source")
+def value_average_by_source(spark, sf_dir):
+    v = stats.value_sums(Tables(spark, sf_dir))
+    return v.select("source", "concept_id", "n", F.round("m_value_avg", 6).alias("m_value_avg"),
+                    "value_is_text")
+
+
+@register("value_average")
+def value_average(spark, sf_dir):
+    v = stats.value_average(Tables(spark, sf_dir))
+    return v.select("concept_id", F.round("m_value_avg", 6).alias("m_value_avg"), "value_is_text")
+
+
+@register("statistic_upsert")
+def statistic_upsert(spark, sf_dir):
+    s = stats.refresh_statistics(Tables(spark, sf_dir), AS_OF)
+    return s.withColumn("m_value_as_number", F.round("m_value_as_number", 6))
