@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import oracle_documents as od
+from . import oracle_export as oe
 from . import oracle_stats as os_
 
 ORACLE: dict[str, str] = {
@@ -20,4 +21,11 @@ ORACLE: dict[str, str] = {
     "value_average_by_source": os_.value_average_by_source(),
     "value_average": os_.value_average(),
     "statistic_upsert": os_.statistic_upsert(),
+    "project_concepts": oe.project_concepts(),
+    "project_synonyms": oe.project_synonyms(),
+    "project_relations": oe.project_relations(),
+    "latest_mapping": oe.latest_mapping(),
+    "vote_score": oe.vote_score(),
+    "mapping_pivot": oe.mapping_pivot(),
+    "relation_endpoints": oe.relation_endpoints(),
 }

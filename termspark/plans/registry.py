@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from ..operators import documents, stats
+from ..operators import documents, export, stats
 from ..sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,39 @@ def value_average(spark, sf_dir):
 def statistic_upsert(spark, sf_dir):
     s = stats.refresh_statistics(Tables(spark, sf_dir), AS_OF)
     return s.withColumn("m_value_as_number", F.round("m_value_as_number", 6))
+
+
+# --------------------------------------------------------------------- export
+@register("project_concepts")
+def project_concepts(spark, sf_dir):
+    return export.project_concepts(Tables(spark, sf_dir))
+
+
+@register("project_synonyms")
+def project_synonyms(spark, sf_dir):
+    return export.project_synonyms(Tables(spark, sf_dir))
+
+
+@register("project_relations")
+def project_relations(spark, sf_dir):
+    return export.project_relations(Tables(spark, sf_dir))
+
+
+@register("latest_mapping")
+def latest_mapping(spark, sf_dir):
+    return export.latest_mapping(Tables(spark, sf_dir))
+
+
+@register("vote_score")
+def vote_score(spark, sf_dir):
+    return export.vote_score(Tables(spark, sf_dir))
+
+
+@register("mapping_pivot")
+def mapping_pivot(spark, sf_dir):
+    return export.mapping_pivot(Tables(spark, sf_dir))
+
+
+@register("relation_endpoints")
+def relation_endpoints(spark, sf_dir):
+    return export.relation_endpoints(Tables(spark, sf_dir))
