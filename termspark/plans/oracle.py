@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import oracle_changes as oc
 from . import oracle_documents as od
 from . import oracle_export as oe
 from . import oracle_stats as os_
@@ -28,4 +29,13 @@ ORACLE: dict[str, str] = {
     "vote_score": oe.vote_score(),
     "mapping_pivot": oe.mapping_pivot(),
     "relation_endpoints": oe.relation_endpoints(),
+    "import_valid": oc.import_valid(),
+    "import_rejects": oc.import_rejects(),
+    "import_report": oc.import_report(),
+    "cascade_delete_counts": oc.cascade_delete_counts(),
+    "insert_concepts": oc.insert_concepts(),
+    "insert_statistics": oc.insert_statistics(),
+    "replace_concepts": oc.replace_concepts(),
+    "document_upsert": oc.document_upsert(),
+    "scd2_merge": oc.scd2_merge(),
 }

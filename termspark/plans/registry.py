@@ -9,14 +9,15 @@ sum in a different order, so results compare exactly with the SQL twins in
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from ..operators import documents, export, stats
-from ..sources.tables import Tables
+from ..operators import changes, documents, export, ingest, stats
+from ..sources.tables import LOCAL_ID_BASE, Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -166,3 +167,123 @@ def mapping_pivot(spark, sf_dir):
 @register("relation_endpoints")
 def relation_endpoints(spark, sf_dir):
     return export.relation_endpoints(Tables(spark, sf_dir))
+
+
+# --------------------------------------------------------------------- import
+# Fixed parameters of the registered import: the term list belongs to project
+# type 'EUROPE', French, domain 'Observation', vocabulary 'LOCAL_TERMS'.
+IMPORT_ARGS = dict(project_type="EUROPE", language="FR", domain="Observation", vocabulary="LOCAL_TERMS")
+IMPORT_DATE = _dt.date(2025, 1, 1)
+
+
+def _import(t):
+    return ingest.import_terms(t.project_terms, **IMPORT_ARGS)
+
+
+@register("import_valid")
+def import_valid(spark, sf_dir):
+    good, _, _ = _import(Tables(spark, sf_dir))
+    return good
+
+
+@register("import_rejects")
+def import_rejects(spark, sf_dir):
+    _, rejects, _ = _import(Tables(spark, sf_dir))
+    return rejects
+
+
+@register("import_report")
+def import_report(spark, sf_dir):
+    _, _, report = _import(Tables(spark, sf_dir))
+    return report
+
+
+# ---------------------------------------------------------------- maintenance
+# Fixed parameters of the registered cascade delete (project type matched without case).
+DELETE_ARGS = dict(vocabulary="Brand#3", domain="ECONOMY", project="asia")
+
+
+def _count(name, df):
+    return df.agg(F.count(F.lit(1)).alias("rows_after")).select(F.lit(name).alias("table_name"), "rows_after")
+
+
+@register("cascade_delete_counts")
+def cascade_delete_counts(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    after = changes.cascade_delete(t, **DELETE_ARGS)
+    frames = [_count(k, v) for k, v in after.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("insert_concepts")
+def insert_concepts(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    good, _, _ = _import(t)
+    concepts, _ = changes.insert_concepts(t, good, IMPORT_DATE)
+    return concepts
+
+
+@register("insert_statistics")
+def insert_statistics(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    good, _, _ = _import(t)
+    _, st = changes.insert_concepts(t, good, IMPORT_DATE)
+    return st
+
+
+@register("replace_concepts")
+def replace_concepts(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    good, _, _ = _import(t)
+    args = dict(IMPORT_ARGS)
+    out = changes.replace_concepts(t, good, args["vocabulary"], args["domain"], args["project_type"],
+                                   IMPORT_DATE, mode="overwrite")
+    return out["concept"]
+
+
+def _renamed(t):
+    """Concept table after a batch of renames: the local concepts of users who
+    signed up, and the concepts those map to, get a revised name."""
+    users = (t.events.filter(F.col("event_type") == "signup")
+             .select((F.col("user_id") + LOCAL_ID_BASE).alias("concept_id")).distinct())
+    targets = (t.concept_relationship.join(users.withColumnRenamed("concept_id", "concept_id_1"),
+                                           "concept_id_1", "left_semi")
+               .select(F.col("concept_id_2").alias("concept_id")))
+    changed = users.unionByName(targets).distinct()
+    c = t.concept.join(changed.withColumn("_chg", F.lit(True)), "concept_id", "left")
+    renamed = c.withColumn("concept_name", F.when(F.col("_chg"), F.concat("concept_name", F.lit(" rev")))
+                           .otherwise(F.col("concept_name"))).drop("_chg")
+    return changed, renamed.select(*t.concept.columns)
+
+
+@register("document_upsert")
+def document_upsert(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    old_docs = documents.build(t)
+    changed, renamed = _renamed(t)
+    t2 = t.with_frames(concept=renamed)
+    fresh = documents.build(t2, ids=changes.affected_documents(t2, changed))
+    merged = changes.upsert(old_docs, fresh, ["id"])
+    return documents.joined_lists(merged, documents.LIST_COLUMNS)
+
+
+SCD_START = _dt.date(2024, 1, 1)
+
+
+@register("scd2_merge")
+def scd2_merge(spark, sf_dir):
+    """Concept history: snapshot 1 = the concept table, snapshot 2 = renames
+    applied, deprecated ('D') concepts removed, the imported terms added."""
+    t = Tables(spark, sf_dir)
+    cols = [c for c in t.concept.columns if c not in ("valid_start_date", "valid_end_date")]
+    hist = t.concept.select(*cols, F.lit(SCD_START).alias("valid_start_date"),
+                            F.lit(changes.OPEN_END).alias("valid_end_date"))
+    _, renamed = _renamed(t)
+    good, _, _ = _import(t)
+    new_concepts, _ = changes.insert_concepts(t, good, IMPORT_DATE)
+    snap = (renamed.filter(F.col("invalid_reason").isNull() | (F.col("invalid_reason") != "D"))
+            .select(*cols).unionByName(new_concepts.select(*cols)))
+    return changes.scd2(hist, snap, ["concept_id"], "valid_start_date", "valid_end_date", IMPORT_DATE)
