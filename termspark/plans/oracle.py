@@ -6,6 +6,7 @@ from . import oracle_changes as oc
 from . import oracle_documents as od
 from . import oracle_export as oe
 from . import oracle_stats as os_
+from . import oracle_text as ot
 
 ORACLE: dict[str, str] = {
     "concept_documents": od.concept_documents(),
@@ -38,4 +39,9 @@ ORACLE: dict[str, str] = {
     "replace_concepts": oc.replace_concepts(),
     "document_upsert": oc.document_upsert(),
     "scd2_merge": oc.scd2_merge(),
+    "tokens_en": ot.tokens("en"),
+    "tokens_fr": ot.tokens("fr"),
+    "tokens_de": ot.tokens("de"),
+    "tokens_es": ot.tokens("es"),
+    "path_hierarchy": ot.path_hierarchy(),
 }

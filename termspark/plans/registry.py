@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from ..functions import text
 from ..operators import changes, documents, export, ingest, stats
 from ..sources.tables import LOCAL_ID_BASE, Tables
 
@@ -287,3 +288,36 @@ def scd2_merge(spark, sf_dir):
     snap = (renamed.filter(F.col("invalid_reason").isNull() | (F.col("invalid_reason") != "D"))
             .select(*cols).unionByName(new_concepts.select(*cols)))
     return changes.scd2(hist, snap, ["concept_id"], "valid_start_date", "valid_end_date", IMPORT_DATE)
+
+
+# ----------------------------------------------------------------------- text
+def _doc_tokens(spark, sf_dir, lang):
+    docs = Tables(spark, sf_dir).documents.filter(F.col("lang") == lang)
+    return text.token_rows(docs, "text", lang, keep=["doc_id"])
+
+
+@register("tokens_en")
+def tokens_en(spark, sf_dir):
+    return _doc_tokens(spark, sf_dir, "en")
+
+
+@register("tokens_fr")
+def tokens_fr(spark, sf_dir):
+    return _doc_tokens(spark, sf_dir, "fr")
+
+
+@register("tokens_de")
+def tokens_de(spark, sf_dir):
+    return _doc_tokens(spark, sf_dir, "de")
+
+
+@register("tokens_es")
+def tokens_es(spark, sf_dir):
+    return _doc_tokens(spark, sf_dir, "es")
+
+
+@register("path_hierarchy")
+def path_hierarchy(spark, sf_dir):
+    pages = Tables(spark, sf_dir).pages
+    return pages.select("page_id", F.posexplode(text.path_prefixes(text.url_path(F.col("url"))))
+                        .alias("level", "prefix")).withColumn("level", F.col("level") + 1)
