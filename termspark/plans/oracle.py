@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import oracle_changes as oc
 from . import oracle_documents as od
 from . import oracle_export as oe
+from . import oracle_search as osr
 from . import oracle_stats as os_
 from . import oracle_text as ot
 
@@ -44,4 +45,15 @@ ORACLE: dict[str, str] = {
     "tokens_de": ot.tokens("de"),
     "tokens_es": ot.tokens("es"),
     "path_hierarchy": ot.path_hierarchy(),
+    "postings": osr.postings(),
+    "search_simple": osr.search(),
+    "search_weighted": osr.search(weights={"concept_name": 2.0, "concept_synonym_name": 1.0,
+                                           "concept_mapped_name": 1.0}),
+    "search_value_boost": osr.search(boost="value"),
+    "search_frequency_boost": osr.search(boost="frequency"),
+    "search_numerics_boost": osr.search(boost="numerics"),
+    "search_filtered": osr.search(doc_filter="regexp_matches(d.is_mapped, ' N?S$')"),
+    "search_page": osr.search(page=2),
+    "search_counts": osr.hit_counts(),
+    "facets": osr.facets(),
 }

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import changes, documents, export, ingest, stats
+from ..operators import changes, documents, export, ingest, search, stats
 from ..sources.tables import LOCAL_ID_BASE, Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -321,3 +321,82 @@ def path_hierarchy(spark, sf_dir):
     pages = Tables(spark, sf_dir).pages
     return pages.select("page_id", F.posexplode(text.path_prefixes(text.url_path(F.col("url"))))
                         .alias("level", "prefix")).withColumn("level", F.col("level") + 1)
+
+
+# ------------------------------------------------------------------ retrieval
+def _search_inputs(spark, sf_dir):
+    """Concept documents, their BM25 index, and the labels to map: the validated
+    project terms (label = term name, value = its local frequency)."""
+    t = Tables(spark, sf_dir)
+    docs = documents.build(t)
+    idx = search.index(docs)
+    good, _, _ = _import(t)
+    labels = good.select(F.col("src_order").alias("query_id"), F.col("concept_name").alias("text"),
+                         F.col("m_value_as_number").alias("value_avg"),
+                         F.col("m_value_as_number").alias("frequency"))
+    return t, docs, idx, labels
+
+
+def _ranked(spark, sf_dir, **kw):
+    _, docs, idx, labels = _search_inputs(spark, sf_dir)
+    out = search.rank(labels, idx, docs, **kw)
+    return out.withColumn("score", F.round("score", 6))
+
+
+# The filter of the registered filtered search (mapped concepts only).
+MAPPED_FILTER = r" N?S$"
+
+
+@register("postings")
+def postings(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    ix = search.index(documents.build(t))
+    return ix.select("concept_id", "field", "token", "tf", "dl", "df", F.round("bm25", 9).alias("bm25"))
+
+
+@register("search_simple")
+def search_simple(spark, sf_dir):
+    return _ranked(spark, sf_dir)
+
+
+@register("search_weighted")
+def search_weighted(spark, sf_dir):
+    return _ranked(spark, sf_dir, weights=search.WEIGHTS_NAME2)
+
+
+@register("search_value_boost")
+def search_value_boost(spark, sf_dir):
+    return _ranked(spark, sf_dir, boost="value")
+
+
+@register("search_frequency_boost")
+def search_frequency_boost(spark, sf_dir):
+    return _ranked(spark, sf_dir, boost="frequency")
+
+
+@register("search_numerics_boost")
+def search_numerics_boost(spark, sf_dir):
+    return _ranked(spark, sf_dir, boost="numerics")
+
+
+@register("search_filtered")
+def search_filtered(spark, sf_dir):
+    return _ranked(spark, sf_dir, doc_filter=F.col("is_mapped").rlike(MAPPED_FILTER))
+
+
+@register("search_page")
+def search_page(spark, sf_dir):
+    return _ranked(spark, sf_dir, k=10, page=2)
+
+
+@register("search_counts")
+def search_counts(spark, sf_dir):
+    _, docs, idx, labels = _search_inputs(spark, sf_dir)
+    return search.hit_counts(search.scores(labels, idx, docs))
+
+
+@register("facets")
+def facets(spark, sf_dir):
+    _, docs, idx, labels = _search_inputs(spark, sf_dir)
+    hits = search.scores(labels, idx, docs)
+    return search.facets(hits, docs, ["standard_concept", "is_mapped"], n=10)
