@@ -14,7 +14,9 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 
     The check is one ``limit(max_rows + 1).count()`` job, which stops early.
     Beyond the bound the frame is returned as is and the planner (AQE with its
-    runtime size check) picks a shuffle join.
+    runtime size check) picks a shuffle join.  Use it for user-supplied side
+    tables; frames the plan derives are left to AQE, which measures the real
+    size of each side at run time before it broadcasts.
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

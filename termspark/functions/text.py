@@ -171,11 +171,34 @@ def token_rows(df: DataFrame, text_col: str, lang: str = "en", keep: Iterable[st
     keep = list(keep)
     rows = df.select(*keep, F.posexplode(words(normalize(F.col(text_col), lang))).alias("pos", "token"))
     sl = stop_list(lang) if stop else []
-    if sl:
-        rows = rows.filter(~F.col("token").isin(sl))
-    if stem_tokens and lang in ("en", "fr", "fr_en"):
-        rows = rows.withColumn("token", stem(F.col("token"), lang, protected))
-    return rows
+    cond = ~F.col("token").isin(sl) if sl else None
+    tok = stem(F.col("token"), lang, protected) if stem_tokens else F.col("token")
+    if cond is not None:
+        rows = rows.filter(cond)
+    return rows.select(*keep, "pos", tok.alias("token"))
+
+
+def token_rows_by(df: DataFrame, text_col: str, lang_col: str, langs: Iterable[str],
+                  keep: Iterable[str] = (), protected: Iterable[str] = (), stem_tokens: bool = True) -> DataFrame:
+    """Like ``token_rows`` with the chain picked per row by ``lang_col`` (one of
+    ``langs``): a single pass over the input whatever the mix of languages."""
+    keep = list(keep)
+    langs = list(langs)
+    lang = F.col(lang_col)
+
+    def by_lang(fn):
+        expr = None
+        for lg in langs:
+            expr = F.when(lang == lg, fn(lg)) if expr is None else expr.when(lang == lg, fn(lg))
+        return expr
+
+    norm = by_lang(lambda lg: normalize(F.col(text_col), lg))
+    rows = df.select(*keep, lang_col, F.posexplode(words(norm)).alias("pos", "token"))
+    t = F.col("token")
+    is_stop = by_lang(lambda lg: t.isin(stop_list(lg)) if stop_list(lg) else F.lit(False))
+    rows = rows.filter(~is_stop)
+    tok = by_lang(lambda lg: stem(t, lg, protected) if stem_tokens else t)
+    return rows.select(*keep, lang_col, "pos", tok.alias("token"))
 
 
 # ------------------------------------------------------- other token forms

@@ -18,7 +18,6 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.plan_tools import checked_broadcast
 from ..sources.tables import LANG_EN, LANG_FR, LOCAL_ID_BASE
 
 # Relationship kinds (compared in lower case).
@@ -43,7 +42,7 @@ def _as_id_frame(ids, column: str = "concept_id") -> DataFrame | None:
 def _restrict(df: DataFrame, key: str, ids: DataFrame | None) -> DataFrame:
     if ids is None:
         return df
-    return df.join(checked_broadcast(ids.withColumnRenamed("concept_id", key)), key, "left_semi")
+    return df.join(ids.withColumnRenamed("concept_id", key), key, "left_semi")
 
 
 def live_edges(rel: DataFrame) -> DataFrame:
@@ -149,7 +148,7 @@ def build(t, ids=None, prefix: bool = True) -> DataFrame:
            .join(synonyms(t, ids), "concept_id", "left")
            .join(local_in_degree(t, ids), "concept_id", "left")
            .join(statistics(t, ids), "concept_id", "left")
-           .join(checked_broadcast(t.mapper_project), "m_project_id", "left"))
+           .join(t.mapper_project, "m_project_id", "left"))
 
     ptype = F.coalesce(F.col("m_project_type_id"), F.lit("OMOP"))
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.plan_tools import checked_broadcast
 
 CONCEPT_COLUMNS = ["concept_id", "concept_name", "domain_id", "vocabulary_id", "concept_class_id",
                    "standard_concept", "concept_code", "valid_start_date", "valid_end_date",
@@ -28,7 +27,7 @@ def projects(t, project: str | None = None) -> DataFrame:
     p = t.mapper_project.select("m_project_id", "m_project_type_id")
     if project is not None:
         p = p.filter(F.lower("m_project_type_id") == F.lower(F.lit(project)))
-    return checked_broadcast(p)
+    return p
 
 
 def project_concepts(t, project: str | None = None) -> DataFrame:

@@ -74,17 +74,18 @@ def field_values(docs: DataFrame, fields: Iterable[str]) -> DataFrame:
 
 def token_postings(docs: DataFrame, groups: Iterable[str] = tuple(GROUP_FIELDS),
                    protected: Iterable[str] = ()) -> DataFrame:
-    """(concept_id, group, field, value_idx, pos, token): positional postings."""
+    """(concept_id, group, field, value_idx, pos, token): positional postings,
+    every field analysed in one pass with its group's chain."""
     groups = list(groups)
     fields = [f for g in groups for f in GROUP_FIELDS[g]]
     fv = field_values(docs, fields)
-    out = None
+    grp = None
     for g in groups:
-        part = tx.token_rows(fv.filter(F.col("field").isin(GROUP_FIELDS[g])), "value", GROUP_LANG[g],
-                             keep=["concept_id", "field", "value_idx"], protected=protected)
-        part = part.withColumn("group", F.lit(g))
-        out = part if out is None else out.unionByName(part)
-    return out
+        cond = F.col("field").isin(GROUP_FIELDS[g])
+        grp = F.when(cond, F.lit(g)) if grp is None else grp.when(cond, F.lit(g))
+    fv = fv.withColumn("group", grp)
+    return tx.token_rows_by(fv, "value", "group", groups, keep=["concept_id", "field", "value_idx"],
+                            protected=protected)
 
 
 def index(docs: DataFrame, groups: Iterable[str] = tuple(GROUP_FIELDS), protected: Iterable[str] = (),
@@ -124,21 +125,21 @@ def _weight(weights: Mapping[str, float]) -> Column:
 
 def query_tokens(qtexts: DataFrame, key: str, groups: Mapping[str, str], protected: Iterable[str] = (),
                  expansions: DataFrame | None = None) -> DataFrame:
-    """(key, group, token, qtf) for each group whose text column is set.
+    """(key, group, token, qtf) for each group whose text column is set, all
+    groups analysed in one pass.
 
     ``expansions`` (token, extra_token) adds query-time synonyms: each matched
     token also brings its expansions (counted once per occurrence)."""
-    out = None
-    for g, col in groups.items():
-        rows = tx.token_rows(qtexts.filter(F.col(col).isNotNull()), col, GROUP_LANG[g], keep=[key],
-                             protected=protected)
-        rows = rows.select(key, F.lit(g).alias("group"), "token")
-        if expansions is not None:
-            extra = rows.join(F.broadcast(expansions), "token").select(
-                key, "group", F.col("extra_token").alias("token"))
-            rows = rows.unionByName(extra)
-        out = rows if out is None else out.unionByName(rows)
-    return out.groupBy(key, "group", "token").agg(F.count(F.lit(1)).alias("qtf"))
+    per_group = F.array(*[F.struct(F.lit(g).alias("group"), F.col(c).alias("qtext")) for g, c in groups.items()])
+    q = (qtexts.select(key, F.explode(per_group).alias("gq"))
+         .select(key, F.col("gq.group").alias("group"), F.col("gq.qtext").alias("qtext"))
+         .filter(F.col("qtext").isNotNull()))
+    rows = tx.token_rows_by(q, "qtext", "group", list(groups), keep=[key], protected=protected)
+    rows = rows.select(key, "group", "token")
+    if expansions is not None:
+        extra = rows.join(expansions, "token").select(key, "group", F.col("extra_token").alias("token"))
+        rows = rows.unionByName(extra)
+    return rows.groupBy(key, "group", "token").agg(F.count(F.lit(1)).alias("qtf"))
 
 
 def text_scores(qtexts: DataFrame, key: str, idx: DataFrame, groups: Mapping[str, str],

@@ -15,6 +15,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # no per-call call-site capture on the driver (plan building is py4j-bound)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
