@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from ..functions import text as tx
+from ..functions.plan_tools import analysis_partitions, cut_lineage
 
 K1 = 1.2
 B = 0.75
@@ -83,7 +84,9 @@ def token_postings(docs: DataFrame, groups: Iterable[str] = tuple(GROUP_FIELDS),
     for g in groups:
         cond = F.col("field").isin(GROUP_FIELDS[g])
         grp = F.when(cond, F.lit(g)) if grp is None else grp.when(cond, F.lit(g))
-    fv = fv.withColumn("group", grp)
+    # a real shuffle (not merged by AQE) so the regex work runs on every core;
+    # the term-frequency aggregate downstream reuses this partitioning
+    fv = fv.withColumn("group", grp).repartition(analysis_partitions(fv), "concept_id", "field")
     return tx.token_rows_by(fv, "value", "group", groups, keep=["concept_id", "field", "value_idx"],
                             protected=protected)
 
@@ -93,15 +96,16 @@ def index(docs: DataFrame, groups: Iterable[str] = tuple(GROUP_FIELDS), protecte
     """(group, field, token, concept_id, tf, dl, df, n_docs, avgdl, bm25).
 
     Term frequency and field length come from one aggregate partitioned on
-    (concept_id, field); document frequency from a (field, token) aggregate with
-    map-side partial counts (a very common token does not land whole in one
-    task); per-field totals are one row per field (broadcast, bounded by the
-    field list).
+    (concept_id, field), checkpointed once (it feeds three consumers);
+    document frequency from a (field, token) aggregate with map-side partial
+    counts (a very common token does not land whole in one task); per-field
+    totals are one row per field (broadcast, bounded by the field list).
     """
     tp = token_postings(docs, groups, protected)
-    tf = (tp.repartition("concept_id", "field")
-          .groupBy("concept_id", "group", "field", "token").agg(F.count(F.lit(1)).alias("tf")))
+    tf = tp.groupBy("concept_id", "group", "field", "token").agg(F.count(F.lit(1)).alias("tf"))
     tf = tf.withColumn("dl", F.sum("tf").over(Window.partitionBy("concept_id", "field")))
+    # three consumers below (df, field totals, the join): compute the postings once
+    tf = cut_lineage(tf, "postings")
     dfreq = tf.groupBy("field", "token").agg(F.count(F.lit(1)).alias("df"))
     fstats = (tf.select("concept_id", "field", "dl").distinct()
               .groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("dl").alias("sum_dl")))
@@ -201,33 +205,58 @@ def f_text(field: str, word: str, lang: str = "en") -> Column:
 
 
 # ------------------------------------------------------------------- rank
+def _label_keys(queries: DataFrame, groups: Mapping[str, str], boost: str | None, value_col: str,
+                frequency_col: str) -> tuple[DataFrame, list[str]]:
+    """Each label with its scoring key ``_qk``: the texts (``_tk``) and boost inputs
+    that decide its ranking.  Labels with equal keys rank identically, so each key
+    is ranked once, and each distinct text is matched against the index once."""
+    text_cols = sorted(set(groups.values()))
+    tk = F.struct(*[F.coalesce(F.col(c), F.lit("\u0000")).alias(c) for c in text_cols])
+    fields = [tk.alias("_tk")]
+    if boost is not None:
+        for src, name in ((value_col, "_q_v"), (frequency_col, "_q_f")):
+            v = F.col(src).cast("double") if src in queries.columns else F.lit(None).cast("double")
+            fields.append(F.coalesce(v, F.lit(0.0)).alias(name))  # a missing number counts as 0
+    return queries.withColumn("_qk", F.struct(*fields)), text_cols
+
+
+def key_scores(keys: DataFrame, idx: DataFrame, docs: DataFrame | None, groups: Mapping[str, str],
+               text_cols: list[str], weights: Mapping[str, float] | None = None, boost: str | None = None,
+               doc_filter: Column | None = None, protected: Iterable[str] = (),
+               expansions: DataFrame | None = None) -> DataFrame:
+    """(_qk, concept_id, score) for distinct scoring keys."""
+    keys = keys.select("_qk", F.col("_qk._tk").alias("_tk"))
+    qtexts = keys.select("_tk").distinct().select(
+        "_tk", *[F.when(F.col(f"_tk.{c}") != "\u0000", F.col(f"_tk.{c}")).alias(c) for c in text_cols])
+    hits = text_scores(qtexts, "_tk", idx, groups, weights, protected, expansions)
+    if doc_filter is not None:
+        if docs is None:
+            raise ValueError("docs are needed for filters")
+        hits = hits.join(docs.filter(doc_filter).select("concept_id"), "concept_id", "left_semi")
+    hits = keys.join(hits, "_tk")
+    if boost is not None:
+        if docs is None:
+            raise ValueError("docs are needed for boosts")
+        hits = hits.join(docs.select("concept_id", "value_avg", "frequency"), "concept_id")
+        hits = hits.withColumn("score", F.col("score") * boost_expr(boost, F.col("_qk._q_v"), F.col("_qk._q_f")))
+    return hits.select("_qk", "concept_id", "score")
+
+
 def scores(queries: DataFrame, idx: DataFrame, docs: DataFrame | None = None, *, id_col: str = "query_id",
            groups: Mapping[str, str] | None = None, weights: Mapping[str, float] | None = None,
            boost: str | None = None, value_col: str = "value_avg", frequency_col: str = "frequency",
            doc_filter: Column | None = None, protected: Iterable[str] = (),
-           expansions: DataFrame | None = None) -> DataFrame:
-    """All hits: (query_id, concept_id, score)."""
+           expansions: DataFrame | None = None, by_key: bool = False):
+    """All hits: (query_id, concept_id, score).  With ``by_key`` returns
+    (label map (query_id, _qk), hits per scoring key (_qk, concept_id, score))."""
     groups = dict(groups or {g: "text" for g in GROUP_FIELDS})
-    text_cols = sorted(set(groups.values()))
-    key = F.struct(*[F.coalesce(F.col(c), F.lit("\u0000")).alias(c) for c in text_cols])
-    qtexts = queries.select(*text_cols).distinct().withColumn("_qk", key)
-    ts = text_scores(qtexts, "_qk", idx, groups, weights, protected, expansions)
-    extra = []
-    if boost is not None:
-        extra = [F.col(value_col).cast("double").alias("_q_v") if value_col in queries.columns
-                 else F.lit(0.0).alias("_q_v"),
-                 F.col(frequency_col).cast("double").alias("_q_f") if frequency_col in queries.columns
-                 else F.lit(0.0).alias("_q_f")]
-    q = queries.select(id_col, key.alias("_qk"), *extra)
-    hits = q.join(ts, "_qk").drop("_qk")
-    if boost is not None or doc_filter is not None:
-        if docs is None:
-            raise ValueError("docs are needed for boosts and filters")
-        d = docs if doc_filter is None else docs.filter(doc_filter)
-        hits = hits.join(d.select("concept_id", "value_avg", "frequency"), "concept_id")
-        if boost is not None:
-            hits = hits.withColumn("score", F.col("score") * boost_expr(boost, F.col("_q_v"), F.col("_q_f")))
-    return hits.select(id_col, "concept_id", "score")
+    labeled, text_cols = _label_keys(queries, groups, boost, value_col, frequency_col)
+    label_map = labeled.select(id_col, "_qk")
+    hits = key_scores(label_map.select("_qk").distinct(), idx, docs, groups, text_cols, weights, boost,
+                      doc_filter, protected, expansions)
+    if by_key:
+        return label_map, hits
+    return label_map.join(hits, "_qk").select(id_col, "concept_id", "score")
 
 
 def top_k(hits: DataFrame, k: int = 10, page: int = 1, id_col: str = "query_id",
@@ -242,22 +271,38 @@ def top_k(hits: DataFrame, k: int = 10, page: int = 1, id_col: str = "query_id",
 
 def rank(queries: DataFrame, idx: DataFrame, docs: DataFrame | None = None, *, k: int = 10, page: int = 1,
          id_col: str = "query_id", fields: Iterable[str] = (), **kw) -> DataFrame:
-    """Top-k concepts per label: (query_id, rank, concept_id, score [, fields])."""
-    out = top_k(scores(queries, idx, docs, id_col=id_col, **kw), k, page, id_col)
+    """Top-k concepts per label: (query_id, rank, concept_id, score [, fields]).
+
+    Ranked once per scoring key; the k rows are then attached to every label
+    with that key."""
+    label_map, hits = scores(queries, idx, docs, id_col=id_col, by_key=True, **kw)
+    out = label_map.join(top_k(hits, k, page, "_qk"), "_qk")
     fields = list(fields)
     if fields:
         out = out.join(docs.select("concept_id", *fields), "concept_id")
     return out.select(id_col, "rank", "concept_id", "score", *fields)
 
 
-def hit_counts(hits: DataFrame, id_col: str = "query_id") -> DataFrame:
-    """Total hits per label (numFound)."""
-    return hits.groupBy(id_col).agg(F.count(F.lit(1)).alias("num_found"))
+def hit_counts(queries: DataFrame, idx: DataFrame, docs: DataFrame | None = None, *,
+               id_col: str = "query_id", **kw) -> DataFrame:
+    """Total hits per label (numFound), counted once per scoring key."""
+    label_map, hits = scores(queries, idx, docs, id_col=id_col, by_key=True, **kw)
+    counts = hits.groupBy("_qk").agg(F.count(F.lit(1)).alias("num_found"))
+    return label_map.join(counts, "_qk").select(id_col, "num_found")
+
+
+def facets(queries: DataFrame, idx: DataFrame, docs: DataFrame, fields: Iterable[str], n: int = 10,
+           min_count: int = 1, id_col: str = "query_id", **kw) -> DataFrame:
+    """Top-n values of each facet field over each label's hits (count desc, value),
+    counted once per scoring key."""
+    label_map, hits = scores(queries, idx, docs, id_col=id_col, by_key=True, **kw)
+    f = facet_counts(hits, docs, fields, n, min_count, "_qk")
+    return label_map.join(f, "_qk").select(id_col, "field", "value", "count")
 
 
-def facets(hits: DataFrame, docs: DataFrame, fields: Iterable[str], n: int = 10, min_count: int = 1,
-           id_col: str = "query_id") -> DataFrame:
-    """Top-n values of each facet field over each label's hits (count desc, value)."""
+def facet_counts(hits: DataFrame, docs: DataFrame, fields: Iterable[str], n: int = 10, min_count: int = 1,
+                 id_col: str = "query_id") -> DataFrame:
+    """Top-n values of each facet field over the hits of each ``id_col`` (count desc, value)."""
     fields = list(fields)
     stacked = docs.select("concept_id", F.explode(F.array(*[
         F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])).alias("fv"))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.plan_tools import cut_lineage, spread
 from ..operators import changes, documents, export, ingest, search, stats
 from ..sources.tables import LOCAL_ID_BASE, Tables
 
@@ -292,7 +293,7 @@ def scd2_merge(spark, sf_dir):
 
 # ----------------------------------------------------------------------- text
 def _doc_tokens(spark, sf_dir, lang):
-    docs = Tables(spark, sf_dir).documents.filter(F.col("lang") == lang)
+    docs = spread(Tables(spark, sf_dir).documents.filter(F.col("lang") == lang))
     return text.token_rows(docs, "text", lang, keep=["doc_id"])
 
 
@@ -328,7 +329,7 @@ def _search_inputs(spark, sf_dir):
     """Concept documents, their BM25 index, and the labels to map: the validated
     project terms (label = term name, value = its local frequency)."""
     t = Tables(spark, sf_dir)
-    docs = documents.build(t)
+    docs = cut_lineage(documents.build(t), "documents")  # read by the index and by boosts / filters / facets
     idx = search.index(docs)
     good, _, _ = _import(t)
     labels = good.select(F.col("src_order").alias("query_id"), F.col("concept_name").alias("text"),
@@ -392,11 +393,10 @@ def search_page(spark, sf_dir):
 @register("search_counts")
 def search_counts(spark, sf_dir):
     _, docs, idx, labels = _search_inputs(spark, sf_dir)
-    return search.hit_counts(search.scores(labels, idx, docs))
+    return search.hit_counts(labels, idx, docs)
 
 
 @register("facets")
 def facets(spark, sf_dir):
     _, docs, idx, labels = _search_inputs(spark, sf_dir)
-    hits = search.scores(labels, idx, docs)
-    return search.facets(hits, docs, ["standard_concept", "is_mapped"], n=10)
+    return search.facets(labels, idx, docs, ["standard_concept", "is_mapped"], n=10)
