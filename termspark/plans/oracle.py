@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from ..operators.quality import NOT_NULL
+from .registry import FR_EN_WORDS
+
 from . import oracle_changes as oc
 from . import oracle_documents as od
+from . import oracle_lexicon as ol
 from . import oracle_export as oe
 from . import oracle_search as osr
 from . import oracle_stats as os_
@@ -56,4 +60,15 @@ ORACLE: dict[str, str] = {
     "search_page": osr.search(page=2),
     "search_counts": osr.hit_counts(),
     "facets": osr.facets(),
+    "synonym_groups": ol.synonym_groups(),
+    "bilingual_lexicon": ol.bilingual_lexicon(),
+    "translate_words": ol.translate_words(FR_EN_WORDS),
+    "translation_batches": ol.translation_batches(),
+    "code_mapping": ol.code_mapping(),
+    "bidirectional_edges": ol.bidirectional_edges(),
+    "two_hop": ol.two_hop(),
+    "code_list_concepts": ol.code_list_concepts(),
+    "quality_duplicates": ol.quality_duplicates(),
+    "quality_orphans": ol.quality_orphans(),
+    "quality_checks": ol.quality_checks(NOT_NULL),
 }

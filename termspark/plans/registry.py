@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.plan_tools import cut_lineage, spread
-from ..operators import changes, documents, export, ingest, search, stats
+from ..operators import changes, documents, export, ingest, lexicon, quality, search, stats
 from ..sources.tables import LOCAL_ID_BASE, Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -400,3 +400,106 @@ def search_counts(spark, sf_dir):
 def facets(spark, sf_dir):
     _, docs, idx, labels = _search_inputs(spark, sf_dir)
     return search.facets(labels, idx, docs, ["standard_concept", "is_mapped"], n=10)
+
+
+# -------------------------------------------------------------------- lexicon
+# A small French -> English word lexicon (word, lemma, rank) used
+# by the word-by-word translation of the French documents.
+FR_EN_WORDS = [
+    ("le", "the", 1), ("la", "the", 1), ("les", "the", 1), ("un", "a", 1), ("une", "a", 1),
+    ("des", "some", 1), ("du", "of the", 1), ("de", "of", 1), ("de", "from", 2), ("et", "and", 1),
+    ("en", "in", 1), ("dans", "in", 1), ("pour", "for", 1), ("par", "by", 1), ("sur", "on", 1),
+    ("avec", "with", 1), ("qui", "who", 1), ("elle", "she", 1), ("il", "he", 1), ("au", "at the", 1),
+]
+CODE_DATE = _dt.date(2025, 1, 1)
+
+
+def _local_codes(t):
+    """Local code list: each local concept with code 'K' + part key mod 300."""
+    return t.part.select((F.col("p_partkey") + LOCAL_ID_BASE).alias("concept_id"),
+                         F.concat(F.lit("K"), (F.col("p_partkey") % 300).cast("string")).alias("concept_code"),
+                         F.col("p_name").alias("lib"))
+
+
+def _standard_codes(t):
+    """Standard code list with dotted codes: 'K.' + supplier key."""
+    return t.supplier.select((F.col("s_suppkey") + 1).alias("concept_id"),
+                             F.concat(F.lit("K."), F.col("s_suppkey").cast("string")).alias("concept_code"))
+
+
+@register("synonym_groups")
+def synonym_groups(spark, sf_dir):
+    part = Tables(spark, sf_dir).part
+    return lexicon.groups(part.select(F.col("p_type").alias("_c0"), F.col("p_name").alias("_c1")))
+
+
+@register("bilingual_lexicon")
+def bilingual_lexicon(spark, sf_dir):
+    """fr -> en lexicon from parallel labels: the French and English synonyms of
+    the same concept (the concept's own name ranked after its longer label)."""
+    t = Tables(spark, sf_dir)
+    syn = t.concept_synonym
+    fr = syn.filter(F.col("language_concept_id") == 4180190).select("concept_id", F.col("concept_synonym_name").alias("fr"))
+    en = syn.filter(F.col("language_concept_id") == 4180186).join(
+        t.concept.select("concept_id", "concept_name"), "concept_id").select(
+        "concept_id", F.col("concept_synonym_name").alias("en"),
+        F.when(F.col("concept_synonym_name") == F.col("concept_name"), 2).otherwise(1).alias("rank"))
+    return lexicon.bilingual(fr.join(en, "concept_id")).select("word", "rule")
+
+
+@register("translate_words")
+def translate_words(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    docs = spread(t.documents.filter(F.col("lang") == "fr").select("doc_id", "text"))
+    lex = spark.createDataFrame(FR_EN_WORDS, "word string, lemma string, rank int")
+    return lexicon.translate(docs, "doc_id", "text", lex)
+
+
+@register("translation_batches")
+def translation_batches(spark, sf_dir):
+    c = Tables(spark, sf_dir).concept
+    labels = c.select(F.col("vocabulary_id").alias("bucket"), F.col("concept_code").alias("cd"),
+                      F.col("concept_name").alias("lib"))
+    return lexicon.batches(labels, "bucket", ["lib", "cd"])
+
+
+@register("code_mapping")
+def code_mapping(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return lexicon.map_codes(_local_codes(t), _standard_codes(t))
+
+
+@register("bidirectional_edges")
+def bidirectional_edges(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return lexicon.both_directions(lexicon.map_codes(_local_codes(t), _standard_codes(t)), CODE_DATE)
+
+
+@register("two_hop")
+def two_hop(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    first = lexicon.both_directions(lexicon.map_codes(_local_codes(t), _standard_codes(t)), CODE_DATE)
+    live = t.concept_relationship.filter(F.col("m_modif_end_datetime").isNull())
+    return lexicon.two_hop(first, live)
+
+
+@register("code_list_concepts")
+def code_list_concepts(spark, sf_dir):
+    codes = _local_codes(Tables(spark, sf_dir)).select(F.col("concept_code").alias("cd"), "lib")
+    return lexicon.code_list_concepts(codes, CODE_DATE)
+
+
+# -------------------------------------------------------------------- quality
+@register("quality_duplicates")
+def quality_duplicates(spark, sf_dir):
+    return quality.duplicates(Tables(spark, sf_dir))
+
+
+@register("quality_orphans")
+def quality_orphans(spark, sf_dir):
+    return quality.orphans(Tables(spark, sf_dir))
+
+
+@register("quality_checks")
+def quality_checks(spark, sf_dir):
+    return quality.checks(Tables(spark, sf_dir))
