@@ -44,6 +44,7 @@ ORACLE: dict[str, str] = {
     "replace_concepts": oc.replace_concepts(),
     "document_upsert": oc.document_upsert(),
     "scd2_merge": oc.scd2_merge(),
+    "stream_refresh": oc.document_upsert(),
     "tokens_en": ot.tokens("en"),
     "tokens_fr": ot.tokens("fr"),
     "tokens_de": ot.tokens("de"),

@@ -10,6 +10,7 @@ sum in a different order, so results compare exactly with the SQL twins in
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,9 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.plan_tools import cut_lineage, spread
 from ..operators import changes, documents, export, ingest, lexicon, quality, search, stats
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import LOCAL_ID_BASE, Tables
+from ..streaming import refresh
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -503,3 +506,24 @@ def quality_orphans(spark, sf_dir):
 @register("quality_checks")
 def quality_checks(spark, sf_dir):
     return quality.checks(Tables(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ streaming
+@register("stream_refresh")
+def stream_refresh(spark, sf_dir):
+    """Change feed -> incremental refresh of the document store.
+
+    The store starts as the full build; the concepts renamed by a batch of
+    changes arrive as feed files (several micro-batches); after the stream has
+    drained the feed the store must equal a full rebuild over the renamed
+    tables.  All files go under the session's checkpoint folder."""
+    t = Tables(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/termspark-stream-{uuid.uuid4().hex}"
+    store, feed, ckpt = f"{root}/store", f"{root}/feed", f"{root}/checkpoint"
+    refresh.initialise_store(t, store)
+    changed, renamed = _renamed(t)
+    changed.repartitionByRange(2, "concept_id").write.parquet(feed)
+    q = refresh.refresh(spark, feed, t.with_frames(concept=renamed), store, ckpt, max_files_per_trigger=1)
+    q.awaitTermination()
+    docs = spark.read.parquet(store).drop("bucket")
+    return documents.joined_lists(docs, documents.LIST_COLUMNS)
