@@ -249,8 +249,8 @@ def payload_tokens(c: Column, delimiter: str = "|") -> Column:
     esc = "\\" + delimiter
     return F.transform(
         whitespace_tokens(c),
-        lambda x: F.struct(F.split(x, esc).getItem(0).alias("token"),
-                           F.coalesce(F.split(x, esc).getItem(1).try_cast("float"), F.lit(1.0).cast("float"))
+        lambda x: F.struct(F.get(F.split(x, esc), 0).alias("token"),
+                           F.coalesce(F.get(F.split(x, esc), 1).try_cast("float"), F.lit(1.0).cast("float"))
                            .alias("payload")))
 
 

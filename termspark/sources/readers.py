@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions.plan_tools import cut_lineage
 from ..operators import ingest
 
 CORRUPT = "_corrupt_record"
@@ -72,6 +73,9 @@ def read_csv_strict(spark: SparkSession, path: str, sep: str = ",", quote: str =
     schema = StructType([StructField(c, StringType()) for c in header] + [StructField(CORRUPT, StringType())])
     df = (spark.read.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **opts)
           .schema(schema).csv(path))
+    # parsed once into a staged table: the quarantine column cannot be queried
+    # alone on a raw CSV, and both outputs (and the checks after) read it
+    df = cut_lineage(df, "csv")
     good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     quarantine = df.filter(F.col(CORRUPT).isNotNull())
     return good, quarantine
