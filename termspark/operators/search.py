@@ -323,3 +323,83 @@ def match_all(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "q
     first = first.withColumn("rank", F.row_number().over(Window.orderBy("concept_id")))
     return queries.select(id_col).crossJoin(F.broadcast(first)).select(
         id_col, "rank", "concept_id", F.lit(1.0).alias("score"))
+
+
+# ------------------------------------------------------------ phrase boost
+# Phrase fields and weights of the reference's keyword search (pf3, slop 2).
+PHRASE_WEIGHTS = {"concept_name": 6.0, "concept_synonym_name": 3.0, "concept_mapped_name": 3.0}
+PHRASE_SLOP = 2
+
+
+def query_shingles(qtexts: DataFrame, key: str, groups: Mapping[str, str], size: int = 3,
+                   protected: Iterable[str] = ()) -> DataFrame:
+    """(key, group, sh, t0..t{size-1}): consecutive analysed query terms."""
+    per_group = F.array(*[F.struct(F.lit(g).alias("group"), F.col(c).alias("qtext")) for g, c in groups.items()])
+    q = (qtexts.select(key, F.explode(per_group).alias("gq"))
+         .select(key, F.col("gq.group").alias("group"), F.col("gq.qtext").alias("qtext"))
+         .filter(F.col("qtext").isNotNull()))
+    rows = tx.token_rows_by(q, "qtext", "group", list(groups), keep=[key], protected=protected)
+    w = Window.partitionBy(key, "group").orderBy("pos")
+    rows = rows.withColumn("sh", F.row_number().over(w))
+    for i in range(1, size):
+        rows = rows.withColumn(f"t{i}", F.lead("token", i).over(w))
+    return rows.filter(F.col(f"t{size - 1}").isNotNull()).select(
+        key, "group", "sh", F.col("token").alias("t0"), *[f"t{i}" for i in range(1, size)])
+
+
+def phrase_scores(qtexts: DataFrame, key: str, docs: DataFrame, idx: DataFrame, groups: Mapping[str, str],
+                  weights: Mapping[str, float] = PHRASE_WEIGHTS, slop: int = PHRASE_SLOP, size: int = 3,
+                  k1: float = K1, b: float = B, protected: Iterable[str] = ()) -> DataFrame:
+    """(key, concept_id, pscore): sloppy phrase matches of the query's term
+    shingles.  A match is one position of each term in the same field value with
+    match length (spread of pos_i - i) <= slop; its frequency counts 1/(1 + length);
+    the phrase is scored like a term (BM25 with the summed idf of its terms),
+    weighted per field, best field per shingle, summed over shingles."""
+    sh = query_shingles(qtexts, key, groups, size, protected)
+    tp = token_postings(docs, list(groups), protected).select("group", "field", "concept_id", "value_idx", "pos", "token")
+    j = sh.join(tp.select("group", F.col("token").alias("t0"), "concept_id", "field", "value_idx",
+                          F.col("pos").alias("p0")), ["group", "t0"])
+    for i in range(1, size):
+        j = j.join(tp.select("group", F.col("token").alias(f"t{i}"), "concept_id", "field", "value_idx",
+                             F.col("pos").alias(f"p{i}")), ["group", f"t{i}", "concept_id", "field", "value_idx"])
+    rel = [F.col(f"p{i}") - i for i in range(size)]
+    length = F.greatest(*rel) - F.least(*rel)
+    distinct_pos = F.size(F.array_distinct(F.array(*[F.col(f"p{i}") for i in range(size)]))) == size
+    m = j.filter((length <= slop) & distinct_pos).withColumn("freq", 1.0 / (1 + length))
+    freq = m.groupBy(key, "group", "sh", "concept_id", "field").agg(F.sum("freq").alias("freq"),
+                                                                      *[F.first(f"t{i}").alias(f"t{i}") for i in range(size)])
+    stats = idx.select("field", "token", "concept_id", "dl", "df", "n_docs", "avgdl")
+    fl = stats.select("field", "concept_id", "dl", "n_docs", "avgdl").distinct()
+    idf_t = stats.select("field", "token", "df", "n_docs").distinct().select(
+        "field", "token", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    s = freq.join(fl, ["field", "concept_id"])
+    for i in range(size):
+        s = s.join(idf_t.select("field", F.col("token").alias(f"t{i}"), F.col("idf").alias(f"idf{i}")),
+                   ["field", f"t{i}"])
+    idf = sum((F.col(f"idf{i}") for i in range(1, size)), F.col("idf0"))
+    norm = F.col("freq") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
+    s = s.withColumn("field_base", F.regexp_replace("field", "_(en|fr|fr_en)$", ""))
+    s = s.withColumn("ps", _weight(weights) * idf * F.col("freq") / norm)
+    per_sh = s.groupBy(key, "group", "sh", "concept_id").agg(F.max("ps").alias("ps"))
+    return per_sh.groupBy(key, "concept_id").agg(F.sum("ps").alias("pscore"))
+
+
+def rank_with_phrases(queries: DataFrame, idx: DataFrame, docs: DataFrame, *, k: int = 10, page: int = 1,
+                      id_col: str = "query_id", groups: Mapping[str, str] | None = None,
+                      weights: Mapping[str, float] | None = None,
+                      phrase_weights: Mapping[str, float] = PHRASE_WEIGHTS, slop: int = PHRASE_SLOP) -> DataFrame:
+    """Top-k with term score + phrase boost (documents matching only through a
+    phrase are term matches too, so the term hits are the candidate set)."""
+    groups = dict(groups or {g: "text" for g in GROUP_FIELDS})
+    labeled, text_cols = _label_keys(queries, groups, None, "", "")
+    label_map = labeled.select(id_col, "_qk")
+    keys = label_map.select("_qk").distinct().select("_qk", F.col("_qk._tk").alias("_tk"))
+    qtexts = keys.select("_tk").distinct().select(
+        "_tk", *[F.when(F.col(f"_tk.{c}") != "\u0000", F.col(f"_tk.{c}")).alias(c) for c in text_cols])
+    ts = text_scores(qtexts, "_tk", idx, groups, weights)
+    ps = phrase_scores(qtexts, "_tk", docs, idx, groups, phrase_weights, slop)
+    both = ts.join(ps, ["_tk", "concept_id"], "left").select(
+        "_tk", "concept_id", (F.col("score") + F.coalesce(F.col("pscore"), F.lit(0.0))).alias("score"))
+    hits = keys.join(both, "_tk").select("_qk", "concept_id", "score")
+    out = label_map.join(top_k(hits, k, page, "_qk"), "_qk")
+    return out.select(id_col, "rank", "concept_id", "score")

@@ -63,10 +63,11 @@ def _weight_sql(weights: dict[str, float]) -> str:
     return f"CASE {cases} ELSE 1.0 END"
 
 
-def _query_ctes(weights: dict[str, float], boost: str | None, doc_filter: str | None) -> dict[str, str]:
+def _query_ctes(weights: dict[str, float], boost: str | None, doc_filter: str | None,
+                labels: str | None = None) -> dict[str, str]:
     ctes = dict(_IMPORT)
     ctes.update(_index_ctes())
-    ctes["q"] = "SELECT src_order AS query_id, concept_name AS text, m_value_as_number AS qv FROM good"
+    ctes["q"] = labels or "SELECT src_order AS query_id, concept_name AS text, m_value_as_number AS qv FROM good"
     ctes["qtexts"] = "SELECT DISTINCT text FROM q"
     qparts = []
     for g in GROUP_FIELDS:
@@ -125,3 +126,59 @@ GROUP BY s.query_id, v.field, v.value"""
 SELECT query_id, field, value, count FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id, field ORDER BY count DESC, value) AS r FROM fcount
   WHERE count >= 1) x WHERE r <= {n}""", ctes)
+
+
+_PHRASE_LABELS = """
+SELECT s.concept_id AS query_id, s.concept_synonym_name AS text, CAST(NULL AS DOUBLE) AS qv
+FROM concept_synonym s JOIN concept c ON c.concept_id = s.concept_id
+WHERE s.language_concept_id = 4180186 AND s.concept_synonym_name <> c.concept_name"""
+
+
+def search_phrase(weights=None, pweights=None, slop=2, k=10) -> str:
+    pweights = pweights or {"concept_name": 6.0, "concept_synonym_name": 3.0, "concept_mapped_name": 3.0}
+    ctes = _query_ctes(weights or {}, None, None, labels=_PHRASE_LABELS)
+    qparts = []
+    for g in GROUP_FIELDS:
+        rows = ot.token_rows_sql("(SELECT text FROM qtexts) qq", "text", "text", GROUP_LANG[g])
+        qparts.append(f"SELECT text, '{g}' AS grp, pos, token FROM ({rows}) qp_{g}")
+    ctes["qpos"] = "\nUNION ALL\n".join(qparts)
+    ctes["qsh"] = """
+SELECT * FROM (
+  SELECT text, grp, row_number() OVER w AS sh, token AS t0, lead(token, 1) OVER w AS t1, lead(token, 2) OVER w AS t2
+  FROM qpos WINDOW w AS (PARTITION BY text, grp ORDER BY pos)) x WHERE t2 IS NOT NULL"""
+    ctes["pm"] = f"""
+SELECT q.text, q.grp, q.sh, a.concept_id, a.field, q.t0, q.t1, q.t2,
+       greatest(a.pos, b.pos - 1, c.pos - 2) - least(a.pos, b.pos - 1, c.pos - 2) AS len
+FROM qsh q
+JOIN tp a ON a.grp = q.grp AND a.token = q.t0
+JOIN tp b ON b.grp = q.grp AND b.token = q.t1 AND b.concept_id = a.concept_id AND b.field = a.field
+         AND b.value_idx = a.value_idx
+JOIN tp c ON c.grp = q.grp AND c.token = q.t2 AND c.concept_id = a.concept_id AND c.field = a.field
+         AND c.value_idx = a.value_idx
+WHERE greatest(a.pos, b.pos - 1, c.pos - 2) - least(a.pos, b.pos - 1, c.pos - 2) <= {slop}
+  AND a.pos <> b.pos AND a.pos <> c.pos AND b.pos <> c.pos"""
+    ctes["pf"] = """
+SELECT text, grp, sh, concept_id, field, sum(CAST(1 AS DOUBLE) / (1 + len)) AS freq,
+       any_value(t0) AS t0, any_value(t1) AS t1, any_value(t2) AS t2
+FROM pm GROUP BY text, grp, sh, concept_id, field"""
+    base = "regexp_replace(pf.field, '_(en|fr|fr_en)$', '')"
+    wcase = "CASE " + " ".join(f"WHEN {base} = '{b}' THEN {float(w)}" for b, w in pweights.items()) + " ELSE 1.0 END"
+    idf = "ln(1 + (fs.n_docs - {d}.df + 0.5) / ({d}.df + 0.5))"
+    ctes["pscore_sh"] = f"""
+SELECT pf.text, pf.grp, pf.sh, pf.concept_id,
+       max({wcase} * ({idf.format(d='d0')} + {idf.format(d='d1')} + {idf.format(d='d2')}) * pf.freq
+           / (pf.freq + 1.2 * (1 - 0.75 + 0.75 * dl.dl / (fs.sum_dl / fs.n_docs)))) AS ps
+FROM pf JOIN dl ON dl.concept_id = pf.concept_id AND dl.field = pf.field
+JOIN fs ON fs.field = pf.field
+JOIN dfq d0 ON d0.field = pf.field AND d0.token = pf.t0
+JOIN dfq d1 ON d1.field = pf.field AND d1.token = pf.t1
+JOIN dfq d2 ON d2.field = pf.field AND d2.token = pf.t2
+GROUP BY pf.text, pf.grp, pf.sh, pf.concept_id"""
+    ctes["pscore"] = "SELECT text, concept_id, sum(ps) AS pscore FROM pscore_sh GROUP BY text, concept_id"
+    ctes["scored"] = """
+SELECT q.query_id, t.concept_id, t.score + COALESCE(p.pscore, 0) AS score
+FROM q JOIN tscore t ON t.text = q.text LEFT JOIN pscore p ON p.text = t.text AND p.concept_id = t.concept_id"""
+    order = [n for n in ctes if n not in ("scored", "qranked")] + ["scored", "qranked"]
+    ctes = {name: ctes[name] for name in order}
+    return with_views(f"""
+SELECT query_id, rank, concept_id, round(score, 6) AS score FROM qranked WHERE rank BETWEEN 1 AND {k}""", ctes)

@@ -527,3 +527,18 @@ def stream_refresh(spark, sf_dir):
     q.awaitTermination()
     docs = spark.read.parquet(store).drop("bucket")
     return documents.joined_lists(docs, documents.LIST_COLUMNS)
+
+
+@register("search_phrase")
+def search_phrase(spark, sf_dir):
+    """Labels = the three-word English synonyms (whole table); term score plus
+    the pf3 phrase boost (slop 2, name 6 / synonym 3 / mapped 3)."""
+    t = Tables(spark, sf_dir)
+    docs = cut_lineage(documents.build(t), "documents")
+    idx = search.index(docs)
+    labels = (t.concept_synonym.filter(F.col("language_concept_id") == 4180186)
+              .join(t.concept.select("concept_id", "concept_name"), "concept_id")
+              .filter(F.col("concept_synonym_name") != F.col("concept_name"))
+              .select(F.col("concept_id").alias("query_id"), F.col("concept_synonym_name").alias("text")))
+    out = search.rank_with_phrases(labels, idx, docs)
+    return out.withColumn("score", F.round("score", 6))
