@@ -403,3 +403,51 @@ def rank_with_phrases(queries: DataFrame, idx: DataFrame, docs: DataFrame, *, k:
     hits = keys.join(both, "_tk").select("_qk", "concept_id", "score")
     out = label_map.join(top_k(hits, k, page, "_qk"), "_qk")
     return out.select(id_col, "rank", "concept_id", "score")
+
+
+# ------------------------------------------------------------- highlighting
+RUN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
+HL_PRE, HL_POST = "<em>", "</em>"
+HL_SNIPPETS = 10
+
+
+def highlight(top: DataFrame, queries: DataFrame, docs: DataFrame, *, id_col: str = "query_id",
+              groups: Mapping[str, str] | None = None, snippets: int = HL_SNIPPETS,
+              protected: Iterable[str] = ()) -> DataFrame:
+    """Matched words of the top hits marked in their field values.
+
+    Only the top-k rows are touched.  Each value is split into word and
+    separator runs, each word is analysed with its field's chain, words whose
+    token is one of the label's query tokens (same group) are wrapped in
+    <em></em>, and the runs are joined back, so the text is kept exactly.
+    Returns (query_id, rank, concept_id, field, snippet); fields without a match
+    give no row (matched fields only), at most ``snippets`` values per field."""
+    groups = dict(groups or {g: "text" for g in GROUP_FIELDS})
+    labeled, text_cols = _label_keys(queries, groups, None, "", "")
+    hits = top.select(id_col, "rank", "concept_id").join(labeled.select(id_col, F.col("_qk._tk").alias("_tk")), id_col)
+    qtexts = hits.select("_tk").distinct().select(
+        "_tk", *[F.when(F.col(f"_tk.{c}") != "\u0000", F.col(f"_tk.{c}")).alias(c) for c in text_cols])
+    qt = query_tokens(qtexts, "_tk", groups, protected).select("_tk", "group", "token").distinct()
+    fields = [f for g in groups for f in GROUP_FIELDS[g]]
+    vals = field_values(docs.join(hits.select("concept_id").distinct(), "concept_id", "left_semi"), fields)
+    grp = None
+    for g in groups:
+        cond = F.col("field").isin(GROUP_FIELDS[g])
+        grp = F.when(cond, F.lit(g)) if grp is None else grp.when(cond, F.lit(g))
+    runs = vals.withColumn("group", grp).select(
+        "concept_id", "field", "value_idx", "group",
+        F.posexplode(F.regexp_extract_all("value", F.lit(RUN), 0)).alias("rpos", "run"))
+    analysed = tx.token_rows_by(runs, "run", "group", list(groups),
+                                keep=["concept_id", "field", "value_idx", "rpos", "run"], protected=protected)
+    per_hit = hits.join(runs, "concept_id")
+    tagged = (per_hit.join(analysed.select("concept_id", "field", "value_idx", "rpos", "token"),
+                           ["concept_id", "field", "value_idx", "rpos"], "left")
+              .join(qt.withColumn("_m", F.lit(True)), ["_tk", "group", "token"], "left"))
+    marked = F.when(F.col("_m"), F.concat(F.lit(HL_PRE), F.col("run"), F.lit(HL_POST))).otherwise(F.col("run"))
+    per_value = tagged.groupBy(id_col, "rank", "concept_id", "field", "value_idx").agg(
+        F.array_sort(F.collect_list(F.struct("rpos", marked.alias("m")))).alias("parts"),
+        F.max(F.coalesce(F.col("_m"), F.lit(False))).alias("hit"))
+    snip = per_value.filter("hit").select(id_col, "rank", "concept_id", "field",
+                                          F.array_join(F.transform("parts", lambda x: x["m"]), "").alias("snippet"))
+    w = Window.partitionBy(id_col, "concept_id", "field").orderBy("snippet")
+    return snip.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= snippets).drop("_n")

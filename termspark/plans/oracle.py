@@ -62,6 +62,7 @@ ORACLE: dict[str, str] = {
     "search_counts": osr.hit_counts(),
     "facets": osr.facets(),
     "search_phrase": osr.search_phrase(),
+    "highlight": osr.highlight(),
     "synonym_groups": ol.synonym_groups(),
     "bilingual_lexicon": ol.bilingual_lexicon(),
     "translate_words": ol.translate_words(FR_EN_WORDS),

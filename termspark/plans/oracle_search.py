@@ -182,3 +182,38 @@ FROM q JOIN tscore t ON t.text = q.text LEFT JOIN pscore p ON p.text = t.text AN
     ctes = {name: ctes[name] for name in order}
     return with_views(f"""
 SELECT query_id, rank, concept_id, round(score, 6) AS score FROM qranked WHERE rank BETWEEN 1 AND {k}""", ctes)
+
+
+def highlight(k=10, snippets=10) -> str:
+    ctes = _query_ctes({}, None, None)
+    grp_case = "CASE " + " ".join(
+        "WHEN field IN (" + ", ".join(f"'{f}'" for f in fields) + f") THEN '{g}'"
+        for g, fields in GROUP_FIELDS.items()) + " END"
+    ctes["top"] = f"SELECT query_id, rank, concept_id FROM qranked WHERE rank BETWEEN 1 AND {k}"
+    ctes["hitq"] = "SELECT t.query_id, t.rank, t.concept_id, q.text FROM top t JOIN q ON q.query_id = t.query_id"
+    ctes["runs"] = f"""
+SELECT concept_id, field, value_idx, grp, CAST(unnest(range(len(r))) AS INTEGER) AS rpos, unnest(r) AS run
+FROM (SELECT concept_id, field, value_idx, {grp_case} AS grp,
+             regexp_extract_all(value, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+') AS r
+      FROM fv WHERE concept_id IN (SELECT concept_id FROM top)) x"""
+    parts = []
+    for g in GROUP_FIELDS:
+        rows = ot.token_rows_sql(f"(SELECT * FROM runs WHERE grp = '{g}') r_{g}",
+                                 "concept_id, field, value_idx, rpos", "run", GROUP_LANG[g])
+        parts.append(f"SELECT concept_id, field, value_idx, rpos, token FROM ({rows}) a_{g}")
+    ctes["an"] = "\nUNION ALL\n".join(parts)
+    ctes["qts"] = "SELECT DISTINCT text, grp, token FROM qtok"
+    ctes["hl_tagged"] = """
+SELECT h.query_id, h.rank, h.concept_id, r.field, r.value_idx, r.rpos, r.run, (m.token IS NOT NULL) AS hitw
+FROM hitq h JOIN runs r ON r.concept_id = h.concept_id
+LEFT JOIN an a ON a.concept_id = r.concept_id AND a.field = r.field AND a.value_idx = r.value_idx AND a.rpos = r.rpos
+LEFT JOIN qts m ON m.text = h.text AND m.grp = r.grp AND m.token = a.token"""
+    ctes["pv"] = """
+SELECT query_id, rank, concept_id, field, value_idx,
+       string_agg(CASE WHEN hitw THEN '<em>' || run || '</em>' ELSE run END, '' ORDER BY rpos) AS snippet,
+       bool_or(hitw) AS hit
+FROM hl_tagged GROUP BY query_id, rank, concept_id, field, value_idx"""
+    return with_views(f"""
+SELECT query_id, rank, concept_id, field, snippet FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id, concept_id, field ORDER BY snippet) AS n FROM pv WHERE hit) x
+WHERE n <= {snippets}""", ctes)

@@ -542,3 +542,10 @@ def search_phrase(spark, sf_dir):
               .select(F.col("concept_id").alias("query_id"), F.col("concept_synonym_name").alias("text")))
     out = search.rank_with_phrases(labels, idx, docs)
     return out.withColumn("score", F.round("score", 6))
+
+
+@register("highlight")
+def highlight(spark, sf_dir):
+    _, docs, idx, labels = _search_inputs(spark, sf_dir)
+    top = search.rank(labels, idx, docs)
+    return search.highlight(top, labels, docs)
