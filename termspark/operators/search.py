@@ -451,3 +451,55 @@ def highlight(top: DataFrame, queries: DataFrame, docs: DataFrame, *, id_col: st
                                           F.array_join(F.transform("parts", lambda x: x["m"]), "").alias("snippet"))
     w = Window.partitionBy(id_col, "concept_id", "field").orderBy("snippet")
     return snip.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= snippets).drop("_n")
+
+
+# ------------------------------------------------------ synonym expansion
+def _analysed(df: DataFrame, col: str, lang: str, protected: Iterable[str]) -> Column:
+    return tx.token_array(F.col(col), lang, protected)
+
+
+def expand_tokens(qtexts: DataFrame, key: str, text_col: str, lang: str, groups: DataFrame | None = None,
+                  rewrites: DataFrame | None = None, protected: Iterable[str] = ()) -> DataFrame:
+    """(key, token) after query-time synonym expansion (multi-word aware: the
+    query is not split on spaces before matching).
+
+    ``groups`` (group_key, member): a query n-gram equal to a member (after
+    analysis) adds the tokens of every member of its group - joined per group,
+    never as member pairs.  ``rewrites`` (term, replacement): the matched words
+    are replaced by the replacement's tokens (``term => replacement``)."""
+    terms = []
+    if groups is not None:
+        g = groups.select("group_key", _analysed(groups, "member", lang, protected).alias("tt")).filter(F.size("tt") > 0)
+        terms.append(g.select(F.array_join("tt", " ").alias("term_key"), F.size("tt").alias("n"), "group_key",
+                              F.lit(None).cast("array<string>").alias("repl")).distinct())
+        group_tokens = g.select("group_key", F.explode("tt").alias("token")).distinct()
+    if rewrites is not None:
+        r = rewrites.select(_analysed(rewrites, "term", lang, protected).alias("tt"),
+                            _analysed(rewrites, "replacement", lang, protected).alias("repl")).filter(F.size("tt") > 0)
+        terms.append(r.select(F.array_join("tt", " ").alias("term_key"), F.size("tt").alias("n"),
+                              F.lit(None).cast("string").alias("group_key"), "repl"))
+    ar = terms[0] if len(terms) == 1 else terms[0].unionByName(terms[1])
+    max_n = ar.agg(F.max("n")).first()[0] or 1  # one number: the longest rule term
+    rows = tx.token_rows(qtexts.filter(F.col(text_col).isNotNull()), text_col, lang, keep=[key], protected=protected)
+    seq = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("s"))
+    seq = seq.select(key, F.transform("s", lambda x: x["token"]).alias("toks"))
+
+    def grams_of(n):
+        return F.transform(F.sequence(F.lit(1), F.size("toks") - n + 1),
+                           lambda i: F.struct(i.alias("start"), n.alias("n"),
+                                              F.array_join(F.slice("toks", i, n), " ").alias("term_key")))
+
+    lengths = F.sequence(F.lit(1), F.least(F.lit(int(max_n)), F.size("toks")))
+    grams = (seq.filter(F.size("toks") > 0)
+             .select(key, F.explode(F.flatten(F.transform(lengths, grams_of))).alias("g"))
+             .select(key, "g.start", "g.n", "g.term_key"))
+    hit = grams.join(ar.drop("n"), "term_key")
+    extra = hit.filter(F.col("repl").isNotNull()).select(key, F.explode("repl").alias("token"))
+    if groups is not None:
+        gh = hit.filter(F.col("group_key").isNotNull()).select(key, "group_key").distinct()
+        extra = extra.unionByName(gh.join(group_tokens, "group_key").select(key, "token"))
+    replaced = (hit.filter(F.col("repl").isNotNull())
+                .select(key, F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("idx")))
+    orig = seq.select(key, F.posexplode("toks").alias("idx", "token")).withColumn("idx", F.col("idx") + 1)
+    kept = orig.join(replaced, [key, "idx"], "left_anti").select(key, "token")
+    return kept.unionByName(extra).distinct()

@@ -63,6 +63,8 @@ ORACLE: dict[str, str] = {
     "facets": osr.facets(),
     "search_phrase": osr.search_phrase(),
     "highlight": osr.highlight(),
+    "synonym_expand": osr.synonym_expand(),
+    "crosslingual_expand": osr.crosslingual_expand(),
     "synonym_groups": ol.synonym_groups(),
     "bilingual_lexicon": ol.bilingual_lexicon(),
     "translate_words": ol.translate_words(FR_EN_WORDS),

@@ -217,3 +217,67 @@ FROM hl_tagged GROUP BY query_id, rank, concept_id, field, value_idx"""
 SELECT query_id, rank, concept_id, field, snippet FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id, concept_id, field ORDER BY snippet) AS n FROM pv WHERE hit) x
 WHERE n <= {snippets}""", ctes)
+
+
+def _expand_sql(labels: str, lang: str, members: str | None = None, rewrites: str | None = None) -> dict[str, str]:
+    """CTEs: labels (query_id, text); members (group_key, member); rewrites (term,
+    replacement) -> exp (query_id, token)."""
+    c = {"lbl": labels}
+    parts = []
+    if members:
+        c["gm"] = f"SELECT row_number() OVER () AS mid, * FROM ({members}) m0"
+        m_rows = ot.token_rows_sql("(SELECT mid, member FROM gm) a", "mid", "member", lang)
+        c["gmt"] = f"SELECT mid, list(token ORDER BY pos) AS tt FROM ({m_rows}) x GROUP BY mid"
+        c["gtok"] = "SELECT DISTINCT gm.group_key, unnest(gmt.tt) AS token FROM gm JOIN gmt USING (mid)"
+        parts.append("""SELECT DISTINCT array_to_string(gmt.tt, ' ') AS term_key, len(gmt.tt) AS n, gm.group_key,
+                               CAST(NULL AS VARCHAR[]) AS repl FROM gm JOIN gmt USING (mid)""")
+    if rewrites:
+        c["rr"] = f"SELECT row_number() OVER () AS rid, * FROM ({rewrites}) r0"
+        t_rows = ot.token_rows_sql("(SELECT rid, term FROM rr) a", "rid", "term", lang)
+        r_rows = ot.token_rows_sql("(SELECT rid, replacement FROM rr) b", "rid", "replacement", lang)
+        c["rt"] = f"SELECT rid, list(token ORDER BY pos) AS tt FROM ({t_rows}) x GROUP BY rid"
+        c["rp"] = f"SELECT rid, list(token ORDER BY pos) AS repl FROM ({r_rows}) y GROUP BY rid"
+        parts.append("""SELECT array_to_string(rt.tt, ' ') AS term_key, len(rt.tt) AS n, CAST(NULL AS VARCHAR) AS group_key,
+                               COALESCE(rp.repl, CAST([] AS VARCHAR[])) AS repl
+                        FROM rr JOIN rt USING (rid) LEFT JOIN rp USING (rid)""")
+    c["ar"] = "\nUNION ALL\n".join(parts)
+    q_rows = ot.token_rows_sql("(SELECT query_id, text FROM lbl WHERE text IS NOT NULL) l", "query_id", "text", lang)
+    c["qseq"] = f"SELECT query_id, list(token ORDER BY pos) AS toks FROM ({q_rows}) z GROUP BY query_id"
+    c["grams"] = """
+SELECT q.query_id, u.i AS start, t.n, array_to_string(q.toks[u.i:u.i + t.n - 1], ' ') AS term_key
+FROM qseq q, LATERAL range(1, least((SELECT max(n) FROM ar), len(q.toks)) + 1) AS t(n),
+     LATERAL range(1, len(q.toks) - t.n + 2) AS u(i)"""
+    c["hit"] = """SELECT g.query_id, g.start, g.n, ar.repl, ar.group_key FROM grams g JOIN ar ON ar.term_key = g.term_key"""
+    extra = "SELECT query_id, unnest(repl) AS token FROM hit WHERE repl IS NOT NULL"
+    if members:
+        extra += """ UNION ALL SELECT h.query_id, gt.token FROM (SELECT DISTINCT query_id, group_key FROM hit
+                     WHERE group_key IS NOT NULL) h JOIN gtok gt ON gt.group_key = h.group_key"""
+    c["extra"] = extra
+    c["replaced"] = "SELECT DISTINCT query_id, unnest(range(start, start + n)) AS idx FROM hit WHERE repl IS NOT NULL"
+    c["orig"] = "SELECT query_id, unnest(range(1, len(toks) + 1)) AS idx, unnest(toks) AS token FROM qseq"
+    c["exp"] = """
+SELECT DISTINCT query_id, token FROM (
+  SELECT o.query_id, o.token FROM orig o
+  WHERE NOT EXISTS (SELECT 1 FROM replaced r WHERE r.query_id = o.query_id AND r.idx = o.idx)
+  UNION ALL SELECT query_id, token FROM extra) e"""
+    return c
+
+
+def synonym_expand() -> str:
+    ctes = dict(_IMPORT)
+    ctes.update(_expand_sql(
+        "SELECT src_order AS query_id, concept_name AS text FROM good", "en",
+        members="""SELECT DISTINCT p_type AS group_key, p_name AS member FROM part
+                   WHERE p_type IN (SELECT p_type FROM part GROUP BY p_type HAVING count(*) > 1)"""))
+    return with_views("SELECT query_id, token FROM exp", ctes)
+
+
+def crosslingual_expand() -> str:
+    fr = "SELECT concept_id, concept_synonym_name FROM concept_synonym WHERE language_concept_id = 4180190"
+    en = """SELECT s.concept_id, s.concept_synonym_name FROM concept_synonym s JOIN concept c ON c.concept_id = s.concept_id
+            WHERE s.language_concept_id = 4180186 AND s.concept_synonym_name <> c.concept_name"""
+    ctes = _expand_sql(
+        f"SELECT concept_id AS query_id, concept_synonym_name AS text FROM ({fr}) f", "fr_en",
+        rewrites=f"""SELECT f.concept_synonym_name AS term, e.concept_synonym_name AS replacement
+                     FROM ({fr}) f JOIN ({en}) e ON e.concept_id = f.concept_id""")
+    return with_views("SELECT query_id, token FROM exp", ctes)

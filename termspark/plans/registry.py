@@ -549,3 +549,33 @@ def highlight(spark, sf_dir):
     _, docs, idx, labels = _search_inputs(spark, sf_dir)
     top = search.rank(labels, idx, docs)
     return search.highlight(top, labels, docs)
+
+
+# ------------------------------------------------------ query-time expansion
+@register("synonym_expand")
+def synonym_expand(spark, sf_dir):
+    """Validated project labels expanded with the synonym groups of the
+    type dictionary (every name of a type is a synonym of the others)."""
+    t = Tables(spark, sf_dir)
+    good, _, _ = _import(t)
+    labels = good.select(F.col("src_order").alias("query_id"), F.col("concept_name").alias("text"))
+    dic = t.part.select(F.col("p_type").alias("_c0"), F.col("p_name").alias("_c1"))
+    members = lexicon.groups(dic).select("group_key", F.explode(F.split("result", ",")).alias("member"))
+    return search.expand_tokens(labels, "query_id", "text", "en", groups=members)
+
+
+@register("crosslingual_expand")
+def crosslingual_expand(spark, sf_dir):
+    """French labels (the French synonyms) rewritten with the fr -> en lexicon
+    built from parallel labels, analysed with the fr_en chain."""
+    t = Tables(spark, sf_dir)
+    syn = t.concept_synonym
+    fr = syn.filter(F.col("language_concept_id") == 4180190)
+    en = syn.filter(F.col("language_concept_id") == 4180186).join(
+        t.concept.select("concept_id", "concept_name"), "concept_id").filter(
+        F.col("concept_synonym_name") != F.col("concept_name"))
+    rules = fr.select("concept_id", F.col("concept_synonym_name").alias("term")).join(
+        en.select("concept_id", F.col("concept_synonym_name").alias("replacement")), "concept_id").select(
+        "term", "replacement")
+    labels = fr.select(F.col("concept_id").alias("query_id"), F.col("concept_synonym_name").alias("text"))
+    return search.expand_tokens(labels, "query_id", "text", "fr_en", rewrites=rules)
