@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from ..functions import text as tx
-from ..functions.plan_tools import analysis_partitions, cut_lineage
+from ..functions.plan_tools import analysis_partitions, cut_lineage, spread
 
 K1 = 1.2
 B = 0.75
@@ -91,8 +91,15 @@ def token_postings(docs: DataFrame, groups: Iterable[str] = tuple(GROUP_FIELDS),
                             protected=protected)
 
 
+def positional_postings(docs: DataFrame, groups: Iterable[str] = tuple(GROUP_FIELDS),
+                        protected: Iterable[str] = ()) -> DataFrame:
+    """Token postings with positions, analysed once and written once (the index
+    and the phrase matcher both read them)."""
+    return cut_lineage(token_postings(docs, groups, protected), "positions")
+
+
 def index(docs: DataFrame, groups: Iterable[str] = tuple(GROUP_FIELDS), protected: Iterable[str] = (),
-          k1: float = K1, b: float = B) -> DataFrame:
+          k1: float = K1, b: float = B, positions: DataFrame | None = None) -> DataFrame:
     """(group, field, token, concept_id, tf, dl, df, n_docs, avgdl, bm25).
 
     Term frequency and field length come from one aggregate partitioned on
@@ -101,7 +108,7 @@ def index(docs: DataFrame, groups: Iterable[str] = tuple(GROUP_FIELDS), protecte
     counts (a very common token does not land whole in one task); per-field
     totals are one row per field (broadcast, bounded by the field list).
     """
-    tp = token_postings(docs, groups, protected)
+    tp = positions if positions is not None else token_postings(docs, groups, protected)
     tf = tp.groupBy("concept_id", "group", "field", "token").agg(F.count(F.lit(1)).alias("tf"))
     tf = tf.withColumn("dl", F.sum("tf").over(Window.partitionBy("concept_id", "field")))
     # three consumers below (df, field totals, the join): compute the postings once
@@ -155,6 +162,9 @@ def text_scores(qtexts: DataFrame, key: str, idx: DataFrame, groups: Mapping[str
     ix = idx.filter(F.col("group").isin(list(groups))).select("group", "field", "token", "concept_id", "bm25")
     ix = ix.withColumn("field_base", F.regexp_replace("field", "_(en|fr|fr_en)$", ""))
     ix = ix.withColumn("fscore", F.col("bm25") * _weight(weights or {}))
+    # the token join multiplies rows; split the (small) query side so the
+    # probe runs on every core whichever side AQE decides to broadcast
+    qt = qt.repartition(analysis_partitions(qt))
     hits = qt.join(ix, ["group", "token"])
     per_term = hits.groupBy(key, "concept_id", "group", "token").agg(
         (F.max("fscore") * F.first("qtf")).alias("ts"))
@@ -349,14 +359,19 @@ def query_shingles(qtexts: DataFrame, key: str, groups: Mapping[str, str], size:
 
 def phrase_scores(qtexts: DataFrame, key: str, docs: DataFrame, idx: DataFrame, groups: Mapping[str, str],
                   weights: Mapping[str, float] = PHRASE_WEIGHTS, slop: int = PHRASE_SLOP, size: int = 3,
-                  k1: float = K1, b: float = B, protected: Iterable[str] = ()) -> DataFrame:
+                  k1: float = K1, b: float = B, protected: Iterable[str] = (),
+                  positions: DataFrame | None = None) -> DataFrame:
     """(key, concept_id, pscore): sloppy phrase matches of the query's term
     shingles.  A match is one position of each term in the same field value with
     match length (spread of pos_i - i) <= slop; its frequency counts 1/(1 + length);
     the phrase is scored like a term (BM25 with the summed idf of its terms),
     weighted per field, best field per shingle, summed over shingles."""
     sh = query_shingles(qtexts, key, groups, size, protected)
-    tp = token_postings(docs, list(groups), protected).select("group", "field", "concept_id", "value_idx", "pos", "token")
+    sh = sh.repartition(analysis_partitions(sh))  # the shingle join multiplies rows: probe on every core
+    tp = positions if positions is not None else token_postings(docs, list(groups), protected)
+    # the shingle join multiplies rows; keep the postings split across every core
+    tp = spread(tp.filter(F.col("group").isin(list(groups)))
+                .select("group", "field", "concept_id", "value_idx", "pos", "token"))
     j = sh.join(tp.select("group", F.col("token").alias("t0"), "concept_id", "field", "value_idx",
                           F.col("pos").alias("p0")), ["group", "t0"])
     for i in range(1, size):
@@ -387,7 +402,8 @@ def phrase_scores(qtexts: DataFrame, key: str, docs: DataFrame, idx: DataFrame,
 def rank_with_phrases(queries: DataFrame, idx: DataFrame, docs: DataFrame, *, k: int = 10, page: int = 1,
                       id_col: str = "query_id", groups: Mapping[str, str] | None = None,
                       weights: Mapping[str, float] | None = None,
-                      phrase_weights: Mapping[str, float] = PHRASE_WEIGHTS, slop: int = PHRASE_SLOP) -> DataFrame:
+                      phrase_weights: Mapping[str, float] = PHRASE_WEIGHTS, slop: int = PHRASE_SLOP,
+                      positions: DataFrame | None = None) -> DataFrame:
     """Top-k with term score + phrase boost (documents matching only through a
     phrase are term matches too, so the term hits are the candidate set)."""
     groups = dict(groups or {g: "text" for g in GROUP_FIELDS})
@@ -397,7 +413,7 @@ def rank_with_phrases(queries: DataFrame, idx: DataFrame, docs: DataFrame, *, k:
     qtexts = keys.select("_tk").distinct().select(
         "_tk", *[F.when(F.col(f"_tk.{c}") != "\u0000", F.col(f"_tk.{c}")).alias(c) for c in text_cols])
     ts = text_scores(qtexts, "_tk", idx, groups, weights)
-    ps = phrase_scores(qtexts, "_tk", docs, idx, groups, phrase_weights, slop)
+    ps = phrase_scores(qtexts, "_tk", docs, idx, groups, phrase_weights, slop, positions=positions)
     both = ts.join(ps, ["_tk", "concept_id"], "left").select(
         "_tk", "concept_id", (F.col("score") + F.coalesce(F.col("pscore"), F.lit(0.0))).alias("score"))
     hits = keys.join(both, "_tk").select("_qk", "concept_id", "score")

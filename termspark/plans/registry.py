@@ -535,12 +535,13 @@ def search_phrase(spark, sf_dir):
     the pf3 phrase boost (slop 2, name 6 / synonym 3 / mapped 3)."""
     t = Tables(spark, sf_dir)
     docs = cut_lineage(documents.build(t), "documents")
-    idx = search.index(docs)
+    pos = search.positional_postings(docs)
+    idx = search.index(docs, positions=pos)
     labels = (t.concept_synonym.filter(F.col("language_concept_id") == 4180186)
               .join(t.concept.select("concept_id", "concept_name"), "concept_id")
               .filter(F.col("concept_synonym_name") != F.col("concept_name"))
               .select(F.col("concept_id").alias("query_id"), F.col("concept_synonym_name").alias("text")))
-    out = search.rank_with_phrases(labels, idx, docs)
+    out = search.rank_with_phrases(labels, idx, docs, positions=pos)
     return out.withColumn("score", F.round("score", 6))
 
 
