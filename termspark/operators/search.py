@@ -273,10 +273,12 @@ def top_k(hits: DataFrame, k: int = 10, page: int = 1, id_col: str = "query_id",
           digits: int = SCORE_DIGITS) -> DataFrame:
     """Rank by score (rounded to ``digits`` so float noise does not break ties)
     then concept id; keep ranks of page ``page`` of size ``k``."""
-    w = Window.partitionBy(id_col).orderBy(F.round("score", digits).desc(), F.col("concept_id"))
+    # the rounded score is a column, not an order expression: a sort evaluates
+    # order expressions inside every comparison, and rounding is not cheap
+    w = Window.partitionBy(id_col).orderBy(F.col("_rs").desc(), F.col("concept_id"))
     lo, hi = (page - 1) * k + 1, page * k
-    ranked = hits.withColumn("rank", F.row_number().over(w))
-    return ranked.filter((F.col("rank") >= lo) & (F.col("rank") <= hi))
+    ranked = hits.withColumn("_rs", F.round("score", digits)).withColumn("rank", F.row_number().over(w))
+    return ranked.filter((F.col("rank") >= lo) & (F.col("rank") <= hi)).drop("_rs")
 
 
 def rank(queries: DataFrame, idx: DataFrame, docs: DataFrame | None = None, *, k: int = 10, page: int = 1,
