@@ -329,12 +329,12 @@ def facet_counts(hits: DataFrame, docs: DataFrame, fields: Iterable[str], n: int
 def match_all(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "query_id") -> DataFrame:
     """No-query fallback: every document matches with score 1.0; ranks by id.
 
-    The k first documents are found once (a global top-k) and attached to each
-    empty label through a broadcast of those k rows."""
-    first = docs.select("concept_id").orderBy("concept_id").limit(k)
-    first = first.withColumn("rank", F.row_number().over(Window.orderBy("concept_id")))
-    return queries.select(id_col).crossJoin(F.broadcast(first)).select(
-        id_col, "rank", "concept_id", F.lit(1.0).alias("score"))
+    The k first documents are found once (a global top-k, k rows) and attached
+    to each empty label as one k-element array (a scalar subquery), no join."""
+    first = (docs.select("concept_id").orderBy("concept_id").limit(k)
+             .agg(F.array_sort(F.collect_list("concept_id")).alias("ids")).scalar())
+    return queries.select(id_col, F.posexplode(first).alias("rank", "concept_id")).select(
+        id_col, (F.col("rank") + 1).alias("rank"), "concept_id", F.lit(1.0).alias("score"))
 
 
 # ------------------------------------------------------------ phrase boost

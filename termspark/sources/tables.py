@@ -200,11 +200,12 @@ class Tables:
                 F.lit("AVG").alias("m_statistic_type_id"),
                 F.col("avg_q").alias("m_value_as_number"),
                 F.lit(None).cast("string").alias("m_value_as_string"), *audit)
-            pct = per_part.agg(F.percentile_approx("ct", [0.75, 0.5, 0.25], 10000).alias("p"))
-            freq = per_part.crossJoin(F.broadcast(pct)).select(
+            # the three cut points are one scalar subquery (a single sketch result)
+            cuts = per_part.agg(F.percentile_approx("ct", [0.75, 0.5, 0.25], 10000)).scalar()
+            freq = per_part.select(
                 (F.col("l_partkey") + LOCAL_ID_BASE).alias("m_concept_id"),
                 F.lit("FREQ").alias("m_statistic_type_id"),
-                frequency_class_expr(F.col("ct"), F.col("p")).cast("double").alias("m_value_as_number"),
+                frequency_class_expr(F.col("ct"), cuts).cast("double").alias("m_value_as_number"),
                 F.lit(None).cast("string").alias("m_value_as_string"), *audit)
             ev = self.raw("events")
             cr = self.concept_relationship.select("m_concept_relationship_id", "concept_id_1")
