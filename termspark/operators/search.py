@@ -521,3 +521,24 @@ def expand_tokens(qtexts: DataFrame, key: str, text_col: str, lang: str, groups:
     orig = seq.select(key, F.posexplode("toks").alias("idx", "token")).withColumn("idx", F.col("idx") + 1)
     kept = orig.join(replaced, [key, "idx"], "left_anti").select(key, "token")
     return kept.unionByName(extra).distinct()
+
+
+def rank_expanded(queries: DataFrame, idx: DataFrame, *, lang_group: str = "en", groups: DataFrame | None = None,
+                  rewrites: DataFrame | None = None, k: int = 10, page: int = 1, id_col: str = "query_id",
+                  text_col: str = "text", protected: Iterable[str] = ()) -> DataFrame:
+    """Top-k per label after query-time synonym expansion in one field group.
+
+    Each distinct label text is expanded (group / rewrite rules) and scored once
+    (dismax over the group's fields, each expanded token counted once), then
+    ranked and attached to every label with that text."""
+    texts = queries.select(text_col).filter(F.col(text_col).isNotNull()).distinct()
+    toks = expand_tokens(texts, text_col, text_col, GROUP_LANG[lang_group], groups=groups, rewrites=rewrites,
+                         protected=protected)
+    qt = toks.select(text_col, F.lit(lang_group).alias("group"), "token", F.lit(1).cast("long").alias("qtf"))
+    qt = qt.repartition(analysis_partitions(qt))
+    ix = idx.filter(F.col("group") == lang_group).select("group", "field", "token", "concept_id", "bm25")
+    per_term = qt.join(ix, ["group", "token"]).groupBy(text_col, "concept_id", "token").agg(
+        F.max("bm25").alias("ts"))
+    hits = per_term.groupBy(text_col, "concept_id").agg(F.sum("ts").alias("score"))
+    top = top_k(hits, k, page, text_col)
+    return queries.select(id_col, text_col).join(top, text_col).select(id_col, "rank", "concept_id", "score")

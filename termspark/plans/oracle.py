@@ -65,6 +65,7 @@ ORACLE: dict[str, str] = {
     "highlight": osr.highlight(),
     "synonym_expand": osr.synonym_expand(),
     "crosslingual_expand": osr.crosslingual_expand(),
+    "search_expanded": osr.search_expanded(),
     "synonym_groups": ol.synonym_groups(),
     "bilingual_lexicon": ol.bilingual_lexicon(),
     "translate_words": ol.translate_words(FR_EN_WORDS),

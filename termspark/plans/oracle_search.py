@@ -281,3 +281,25 @@ def crosslingual_expand() -> str:
         rewrites=f"""SELECT f.concept_synonym_name AS term, e.concept_synonym_name AS replacement
                      FROM ({fr}) f JOIN ({en}) e ON e.concept_id = f.concept_id""")
     return with_views("SELECT query_id, token FROM exp", ctes)
+
+
+def search_expanded(k=10) -> str:
+    ctes = dict(_IMPORT)
+    ctes.update(_index_ctes())
+    ex = _expand_sql(
+        "SELECT text AS query_id, text FROM (SELECT DISTINCT concept_name AS text FROM good) d", "en",
+        members="""SELECT DISTINCT p_type AS group_key, p_name AS member FROM part
+                   WHERE p_type IN (SELECT p_type FROM part GROUP BY p_type HAVING count(*) > 1)""")
+    ctes.update(ex)
+    ctes["xhits"] = """
+SELECT e.query_id AS text, ix.concept_id, e.token, max(ix.bm25) AS ts
+FROM exp e JOIN ix ON ix.grp = 'en' AND ix.token = e.token
+GROUP BY e.query_id, ix.concept_id, e.token"""
+    ctes["xscore"] = "SELECT text, concept_id, sum(ts) AS score FROM xhits GROUP BY text, concept_id"
+    ctes["xranked"] = """
+SELECT text, concept_id, score,
+       CAST(row_number() OVER (PARTITION BY text ORDER BY round(score, 6) DESC, concept_id) AS INTEGER) AS rank
+FROM xscore"""
+    return with_views(f"""
+SELECT g.src_order AS query_id, r.rank, r.concept_id, round(r.score, 6) AS score
+FROM good g JOIN xranked r ON r.text = g.concept_name WHERE r.rank BETWEEN 1 AND {k}""", ctes)

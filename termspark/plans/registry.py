@@ -580,3 +580,14 @@ def crosslingual_expand(spark, sf_dir):
         "term", "replacement")
     labels = fr.select(F.col("concept_id").alias("query_id"), F.col("concept_synonym_name").alias("text"))
     return search.expand_tokens(labels, "query_id", "text", "fr_en", rewrites=rules)
+
+
+@register("search_expanded")
+def search_expanded(spark, sf_dir):
+    """Validated project labels ranked in the English fields after query-time
+    expansion with the synonym groups of the type dictionary."""
+    t, docs, idx, labels = _search_inputs(spark, sf_dir)
+    dic = t.part.select(F.col("p_type").alias("_c0"), F.col("p_name").alias("_c1"))
+    members = lexicon.groups(dic).select("group_key", F.explode(F.split("result", ",")).alias("member"))
+    out = search.rank_expanded(labels.select("query_id", "text"), idx, groups=members)
+    return out.withColumn("score", F.round("score", 6))
