@@ -14,7 +14,6 @@ every operator works the same.
 from __future__ import annotations
 
 import datetime as _dt
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
