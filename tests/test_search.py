@@ -67,3 +67,15 @@ def test_filter_and_match_all(spark):
     assert [r.concept_id for r in out] == [1]
     ma = search.match_all(d, q, k=2).collect()
     assert [(r.rank, r.concept_id, r.score) for r in ma] == [(1, 1, 1.0), (2, 2, 1.0)]
+
+
+def test_expand_tokens_group_and_rewrite(spark):
+    groups = spark.createDataFrame([("g", "heart attack"), ("g", "myocardial infarction")], "group_key string, member string")
+    rewrites = spark.createDataFrame([("MI", "myocardial infarction")], "term string, replacement string")
+    q = spark.createDataFrame([(1, "acute heart attack"), (2, "old MI"), (3, "nothing")], "k long, text string")
+    got = {}
+    for r in search.expand_tokens(q, "k", "text", "en", groups=groups, rewrites=rewrites).collect():
+        got.setdefault(r.k, set()).add(r.token)
+    assert got[1] == {"acute", "heart", "attack", "myocardial", "infarction"}  # multi-word group member matched
+    assert got[2] == {"old", "myocardial", "infarction"}                       # 'mi' rewritten away
+    assert got[3] == {"nothing"}
