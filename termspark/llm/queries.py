@@ -6,10 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, quality_rules, sharding
+from . import chat, exact_dedup, langid, mixing, ngram_join, ordinal_quality, packing, quality_rules, sharding, url_filter
 from .common import documents
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (exact_dedup.dedup(documents(spark, sf_dir))
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
@@ -20,11 +24,30 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.maximal(turns).select("conv_id", "n_turns", "snapshots", "text")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    pieces = packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.plan(documents(spark, sf_dir))
             .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return ordinal_quality.rate(documents(spark, sf_dir), labels)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
@@ -34,4 +57,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_chat_format, op6_mixing, op9_quality_rules, op10_sharding)}
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_join, op2_exact_dedup, op3_chat_format, op4_packing, op5_url_filter, op6_mixing, op7_language_id,
+    op8_quality_classifier, op9_quality_rules, op10_sharding)}
