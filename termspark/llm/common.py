@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,17 @@ def staged(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def located(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a column ``_at`` (file, row): a stable place for every row, repeated
+    ones too.  A frame that is no plain scan of Parquet files is written first."""
+    def place(x: DataFrame) -> DataFrame:
+        return x.withColumn("_at", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")))
+    try:
+        return place(df)
+    except AnalysisException:
+        return place(staged(df, name))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

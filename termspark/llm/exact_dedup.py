@@ -15,14 +15,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_path, staged
+from .common import located, shared_path, staged
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: settings of the stream: state on disk, changes logged and not whole stores, and no file space set aside ahead
+#: of need (some megabytes for each of many small stores)
+STATE = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 BYTES_PER_BATCH = 16 << 30
 
 
@@ -30,18 +33,6 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def _located(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, text, file, row): rows with a stable content locator, the file and the
-    place in it.  A frame that is no plain scan of Parquet files is written first."""
-    def pick(df: DataFrame) -> DataFrame:
-        return df.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-                         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    try:
-        return pick(docs)
-    except AnalysisException:
-        return pick(staged(docs.select(key, text), "dedup-docs"))
-
-
 def remember(spark: SparkSession, source: str, schema, state: str, out: str,
              bytes_per_batch: int = BYTES_PER_BATCH) -> DataFrame:
     """Run the keyed stream over the files of ``source`` that ``state``, its checkpoint,
@@ -49,15 +40,17 @@ def remember(spark: SparkSession, source: str, schema, state: str, out: str,
     (digest, last, n), one row per digest."""
     stream = (spark.readStream.schema(schema).option("maxBytesPerTrigger", str(bytes_per_batch)).parquet(source)
               .groupBy("digest").agg(F.max(F.struct("id", "file", "row")).alias("last"), F.count(F.lit(1)).alias("n")))
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         query = (stream.writeStream.outputMode("update").option("checkpointLocation", state)
                  .foreachBatch(lambda df, batch: df.write.mode("overwrite").parquet(f"{out}/batch={batch}"))
                  .trigger(availableNow=True).start())
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     spark.createDataFrame([], stream.schema).write.mode("append").parquet(f"{out}/batch=-1")  # so that it exists
     return (spark.read.schema(stream.schema).parquet(f"{out}/batch=*")
             .groupBy("digest").agg(F.max("last").alias("last"), F.max("n").alias("n")))
@@ -73,7 +66,9 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
     columns are ignored.
     """
     spark = docs.sparkSession
-    rows = _located(docs, key, text).withColumn("digest", digest(F.col("text")))
+    rows = docs if "_at" in docs.columns else located(docs.select(key, text), "dedup-docs")
+    rows = (rows.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), "_at.file", "_at.row")
+            .withColumn("digest", digest(F.col("text"))))
     folder = shared_path(spark, "dedup")
     narrow = rows.select("digest", "id", "file", "row", sha256(F.col("text")).alias("text_sha256"))
     narrow.write.parquet(f"{folder}/entries")
@@ -100,3 +95,10 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
                  .withColumn("last", F.coalesce("own_last", "last")))
     return found.select(F.col("id").alias(key), F.col("last.id").alias("keep_id"), F.col("n").cast("long").alias("group_size"),
                         at_last.alias("kept"), "text_sha256", "file", "row")
+
+
+def distinct(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``dedup`` keeps."""
+    placed = located(docs, "dedup-docs")
+    gone = dedup(placed, key, text).where(~F.col("kept")).select(F.struct("file", "row").alias("_at"))
+    return placed.join(gone, "_at", "left_anti").select(*docs.columns)
