@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 11
 PER_LANGUAGE = 1000
 UNKNOWN = "und"
+#: a text whose best language scores less is taken for noise
+MIN_SCORE = 0.2
 FAMILIES = {"en": "germanic", "de": "germanic", "nl": "germanic", "sv": "germanic", "da": "germanic", "no": "germanic",
             "fr": "romance", "es": "romance", "it": "romance", "pt": "romance", "ro": "romance", "ca": "romance",
             "ru": "slavic", "uk": "slavic", "pl": "slavic", "cs": "slavic", "sk": "slavic", "bg": "slavic"}
@@ -146,18 +148,31 @@ def predictor(model: Model) -> Callable[[Column], Column]:
     return predict
 
 
+def accepted(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
+             min_score: float = MIN_SCORE, model: Model | None = None) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that have a language: not ``und``,
+    and a score of at least ``min_score``."""
+    model = model or fit(docs, key, text, lang)
+
+    @F.pandas_udf("boolean")
+    def accept(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            vectors = [features(t) if t else None for t in texts]
+            yield pd.Series([v is not None and model.predict(v)[1] >= min_score for v in vectors], dtype=bool)
+    return docs.where(accept(F.col(text).cast("string")))
+
+
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-             model: Model | None = None, keep: tuple = ()) -> DataFrame:
-    """One row per row of ``docs``: key, held_out, lang_pred, score, and the columns of
-    ``keep``.
+             model: Model | None = None) -> DataFrame:
+    """One row per row of ``docs``: key, held_out, lang_pred, score.
 
     Null texts and texts without letters are ``und`` with score 0; so is everything when
     no labelled text exists.  A null key is never held out and never learned from.  Of
     languages with equal votes the larger pairwise sum wins, then the later name.
-    Repeated rows are predicted alike; an empty table gives no rows; columns outside
-    ``keep`` are ignored.
+    Repeated rows are predicted alike; an empty table gives no rows; other columns are
+    ignored.
     """
     model = model or fit(docs, key, text, lang)
-    rows = docs.select(*{c: F.col(c) for c in (key, *keep)}.values(), predictor(model)(F.col(text).cast("string")).alias("_p"))
-    return rows.select(*{c: 0 for c in (key, *keep)}, held_out(F.col(key)).alias("held_out"),
-                       F.col("_p.lang").alias("lang_pred"), F.col("_p.score").alias("score"))
+    rows = docs.select(F.col(key).alias("k"), predictor(model)(F.col(text).cast("string")).alias("p"))
+    return rows.select(F.col("k").alias(key), held_out(F.col("k")).alias("held_out"),
+                       F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))

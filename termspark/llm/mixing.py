@@ -25,10 +25,11 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, word_count
+from .common import located, staged, word_count
 
-BLOCK_ROWS = 4096
-SHARD_WORDS = 1 << 24
+BLOCK_ROWS = 256
+#: words of an output shard; the driver's tree holds at most MAX_SHARDS counts for each source, beyond that shards grow
+SHARD_WORDS, MAX_SHARDS = 1 << 20, 1 << 17
 #: source tables up to so many rows (about 1 MB) are broadcast, larger ones are joined by a shuffle
 BROADCAST_SOURCES = 10_000
 _SPAN = float(1 << 53)
@@ -154,7 +155,7 @@ def plan(docs: DataFrame, weights=default_weights, volume: float = 1.5, max_repe
     blocks = staged(blocks, "mix-blocks")
     counts = {r["source"]: r["c"] for r in blocks.groupBy("source").agg(F.sum("copies").alias("c")).collect()}
     names = [r["_source"] for r in found]
-    shards = max(1, math.ceil(sum(wanted.values()) / shard_words))
+    shards = min(MAX_SHARDS, max(1, math.ceil(sum(wanted.values()) / shard_words)))
     quotas = splitting_tree([counts.get(s) or 0 for s in names], shards, seed)
     ranges, done = [], [0] * len(names)
     for shard, quota in enumerate(quotas):
@@ -196,10 +197,12 @@ def plan(docs: DataFrame, weights=default_weights, volume: float = 1.5, max_repe
 
 
 def mix(docs: DataFrame, seed: int = 6, key: str = "doc_id", **options) -> DataFrame:
-    """The mixed stream: the plan's rows with copies spread out, one row per copy, with
-    shard, copy number and ``slot``, the row's place in its shard after the shuffle."""
-    drawn = plan(docs, seed=seed, key=key, **options)
-    rows = drawn.select("*", F.posexplode("shards").alias("copy", "shard")).drop("shards")
-    local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), F.lit("slot"), F.col("shard"), F.col(key), F.col("copy")),
-                                                F.col(key), F.col("copy"))
-    return rows.withColumn("slot", (F.row_number().over(local) - 1).cast("long"))
+    """The mixed stream: rows of ``docs`` with all their columns, one for each copy, and
+    the output shard as ``mix_shard``.  Partitions hold whole shards; inside a shard rows
+    are in a seeded random order."""
+    placed = located(docs, "mix-docs")
+    drawn = plan(placed, seed=seed, key=key, keep=("_at",), **options).where("copies > 0")
+    drawn = drawn.select("_at", F.col("shards").alias("_shards"))
+    rows = placed.join(drawn, "_at").select(*docs.columns, F.posexplode("_shards").alias("_copy", "mix_shard"))
+    local = F.xxhash64(F.lit(seed), F.lit("slot"), F.col(key), F.col("_copy"))
+    return rows.repartition("mix_shard").sortWithinPartitions("mix_shard", local).drop("_copy")

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, workers
+from .common import located, staged, workers
 
 WIDTH, PERCENT = 5, 75
 CHUNK_SHINGLES, CHUNK_SETS = 2_000_000, 60_000
@@ -503,3 +503,13 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     return rows.drop("sketch").join(named, "id", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"),
         F.col("id").alias("set_id"))
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, less all but the first of each
+    component (smallest key, then place in the table)."""
+    placed = located(docs, "join-docs")
+    ranked = placed.select(F.struct(F.col(key).alias("key"), "_at").alias("key"), F.col(text).alias("text"))
+    found = join(ranked, "key", "text", **options)
+    gone = found.where(F.col("key") != F.col("component_id")).select("key._at")
+    return placed.join(gone, "_at", "left_anti").select(*docs.columns)

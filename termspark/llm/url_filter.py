@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 LABELLED = os.path.join(os.path.dirname(os.path.abspath(__file__)), "labelled_urls.csv")
 MAX_LABELLED = 10_000
 BUCKETS = 1 << 14
-SIZES = (3, 4, 5)
+SIZES = (2, 3, 4, 5)
 THRESHOLD = 0.5
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
          ("net/es/", "block"), ("net/fr/", "block"))
@@ -64,7 +64,7 @@ def _split(url: str) -> tuple[str, str]:
     return body[:cut].lower(), path[:end]
 
 
-def fit(rows: list[tuple[str, int]], steps: int = 400, rate: float = 0.5, l2: float = 1e-3) -> tuple[np.ndarray, float]:
+def fit(rows: list[tuple[str, int]], steps: int = 800, rate: float = 0.5, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and intercept by gradient descent from zero; both classes weigh the same."""
     if len(rows) > MAX_LABELLED:
         raise ValueError(f"more than {MAX_LABELLED} labelled urls")
