@@ -25,6 +25,13 @@ TRANSLATE_TOKEN = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
 
 
 # ---------------------------------------------------------------- groups (A10)
+def group_members(df: DataFrame, group_col: str = "_c0", variant_col: str = "_c1") -> DataFrame:
+    """(group_key, member) rows: the distinct variants of groups with more than one row."""
+    many = df.groupBy(F.col(group_col).alias("group_key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows = df.select(F.col(group_col).alias("group_key"), F.col(variant_col).alias("member")).filter("member is not null")
+    return rows.distinct().join(many.select("group_key"), "group_key", "left_semi")
+
+
 def groups(df: DataFrame, group_col: str = "_c0", variant_col: str = "_c1", sep: str = ",") -> DataFrame:
     """Synonym groups: distinct variants of each group joined by ``sep``, for
     groups with more than one row."""
@@ -52,6 +59,7 @@ def expansions_from_rules(rules: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------- translation (L3)
+# Minimal length and the two ending rules of the word reduction.
 def reduce_word(w: Column) -> Column:
     """Words longer than 4 characters: trailing 's' removed, then 'é', 'ée', 'és',
     'ées' at the end become 'er'."""
@@ -76,6 +84,17 @@ def translate(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
                       .alias("translation"))
 
 
+def word_lexicon(pairs: DataFrame, src: str, dst: str) -> DataFrame:
+    """(word, lemma, rank) from parallel texts: for each reduced word of ``src`` the words
+    of ``dst`` in the same pairs, the most frequent first, then by name."""
+    left = pairs.select(dst, F.array_distinct(F.transform(F.regexp_extract_all(src, F.lit(r"[\p{L}\p{N}]+"), 0),
+                                                          lambda x: F.lower(reduce_word(x)))).alias("ws"))
+    both = left.select(F.explode("ws").alias("word"), dst).select(
+        "word", F.explode(F.regexp_extract_all(dst, F.lit(r"[\p{L}\p{N}]+"), 0)).alias("lemma"))
+    counted = both.groupBy("word", F.lower("lemma").alias("lemma")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("word", "lemma", (-F.col("n")).alias("rank"))
+
+
 def as_synonyms(translated: DataFrame, id_col: str = "concept_id", language_concept_id: int = 4180186) -> DataFrame:
     """Translations stored as synonyms of the concept (English by default)."""
     return translated.select(F.col(id_col).alias("concept_id"),
@@ -126,135 +145,103 @@ def code_list_concepts(codes: DataFrame, as_of: _dt.date, domain: str = "Conditi
 
 
 # -------------------------------------------------------------- batches (L5)
-def _clamp(c):
-    return np.minimum(c, BATCH_BUDGET)
+def next_resets(w: np.ndarray, r: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of ``w``, and for every row the row of the next reset after a reset
+    there (the row count if none follows)."""
+    upto = np.cumsum(w)
+    after = np.searchsorted(upto, budget - np.minimum(r, budget) + upto, side="left")
+    return upto, np.maximum(after, np.arange(1, len(w) + 1))
 
 
-def _chunk_summary(w: np.ndarray, r: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+def chunk_summary(w: np.ndarray, r: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
     """Transition of one chunk for every carried count 0..budget: (end count, resets).
 
-    Step: c += w_i; if c >= budget: resets += 1, c = r_i.  Before its first reset
-    a start state only adds the prefix sum, so the first reset row of each start
-    state is a search in the prefix sums; after it the path depends only on that
-    row.  The path from the last such row is walked once and recorded; paths
-    from earlier rows are walked until they meet it (same count on the same
-    row), after which they coincide."""
-    states = np.arange(budget + 1)
-    n = len(w)
-    cw = np.cumsum(w)
-    first = np.searchsorted(cw, budget - states, side="left")  # first i with s + cw[i] >= budget
-    end = np.empty(budget + 1, dtype=np.int64)
-    resets = np.zeros(budget + 1, dtype=np.int64)
-    no_reset = first >= n
-    end[no_reset] = _clamp(states[no_reset] + (cw[-1] if n else 0))
-    js = sorted(set(first[~no_reset].tolist()), reverse=True)
-    tails: dict[int, tuple[int, int]] = {}
-    if js:
-        jm = js[0]
-        tc = np.empty(n, dtype=np.int64)
-        tk = np.empty(n, dtype=np.int64)
-        c, k = min(int(r[jm]), budget), 1
-        tc[jm], tk[jm] = c, k
-        for i in range(jm + 1, n):
-            c += int(w[i])
-            if c >= budget:
-                k += 1
-                c = int(r[i])
-            c = min(c, budget)
-            tc[i], tk[i] = c, k
-        tails[jm] = (int(tc[n - 1]), int(tk[n - 1]))
-        for j in js[1:]:
-            c, k = min(int(r[j]), budget), 1
-            done = False
-            for i in range(j + 1, n):
-                c += int(w[i])
-                if c >= budget:
-                    k += 1
-                    c = int(r[i])
-                c = min(c, budget)
-                if i >= jm and c == tc[i]:
-                    tails[j] = (int(tc[n - 1]), k + int(tk[n - 1] - tk[i]))
-                    done = True
-                    break
-            if not done:
-                tails[j] = (c, k)
-    for s in np.nonzero(~no_reset)[0]:
-        end[s], resets[s] = tails[int(first[s])]
-    return end, resets
+    Step: c += w_i; if c >= budget: resets += 1, c = r_i; counts stop at ``budget``.
+    A start state only adds prefix sums up to its first reset; from there the path is
+    the chain of next resets, whose length and last row come by doubling."""
+    states, n = np.arange(budget + 1), len(w)
+    upto, hop = next_resets(w, r, budget)
+    first = np.searchsorted(upto, budget - states, side="left")
+    hop = np.append(hop, n)
+    many, last = np.append(np.ones(n, dtype=np.int64), 0), np.arange(n + 1)
+    while (hop < n).any():
+        go = hop < n
+        many[go] += many[hop[go]]
+        last[go] = last[hop[go]]
+        hop = hop[hop]
+    total = int(upto[-1]) if n else 0
+    tail = np.append(np.minimum(np.minimum(r, budget) + total - upto, budget), 0)
+    end = np.where(first < n, tail[last[first]], np.minimum(states + total, budget))
+    return end.astype(np.int64), many[first].astype(np.int64)
+
+
+CHUNK_ROWS = 50_000
 
 
 def batches(labels: DataFrame, bucket: str, order: list[str], lib: str = "lib", cd: str = "cd",
-            sep: str = BATCH_SEP, budget: int = BATCH_BUDGET, partitions: int | None = None) -> DataFrame:
+            sep: str = BATCH_SEP, budget: int = BATCH_BUDGET, partitions: int | None = None,
+            chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Next-fit packing of labels into request texts, per bucket, in ``order``.
 
     Count rule (kept as the reference counts): nchar = length(lib) + len(sep);
     each label adds nchar + len(sep); when the running count reaches ``budget`` a
-    new batch starts and the count restarts at that label's nchar.
-
-    Distributed exact scan: labels are range-partitioned on (bucket, order) and
-    written once; each chunk is summarised as a transition table over the
-    carried count (0..budget); a fold over the chunk tables of each bucket (at
-    most one row per partition) gives each chunk its starting count and batch
-    number; each chunk is then replayed in parallel.  Returns
+    new batch starts and the count restarts at that label's nchar.  A null label counts
+    as empty; null buckets are one bucket.
+
+    Distributed exact scan: labels are range-partitioned on (bucket, order), numbered and
+    written once, and cut into chunks of at most ``chunk_rows`` rows of one bucket.  Each
+    chunk is summarised as a transition table over the carried count (0..budget); a fold
+    over the tables of a bucket (one row per chunk) gives each chunk its starting count
+    and batch number; each chunk is then replayed in parallel.  Returns
     (bucket, batch, n, group_cd, group_lib)."""
     spark = labels.sparkSession
     n_parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                                 spark.sparkContext.defaultParallelism)
-    seplen = len(sep)
     rows = labels.select(F.col(bucket).alias("bucket"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                          F.col(lib).alias("lib"), F.col(cd).alias("cd"))
     okeys = ["bucket"] + [f"_o{i}" for i in range(len(order))]
-    ranged = (rows.repartitionByRange(n_parts, *okeys).sortWithinPartitions(*okeys)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_w", (F.length("lib") + 2 * seplen).cast("long"))
-              .withColumn("_r", (F.length("lib") + seplen).cast("long")))
-    ranged = cut_lineage(ranged, "batches")  # both passes must see the same chunks
-
-    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(okeys, kind="mergesort", na_position="first")
-        out = []
-        for b, seg in pdf.groupby("bucket", sort=True, dropna=False):
-            end, resets = _chunk_summary(seg["_w"].to_numpy(np.int64), seg["_r"].to_numpy(np.int64), budget)
-            out.append((b, int(seg["_pid"].iloc[0]), end.tolist(), resets.tolist()))
-        return pd.DataFrame(out, columns=["bucket", "_pid", "end", "resets"])
-
-    summary = ranged.groupBy("_pid").applyInPandas(
-        summarise, "bucket string, _pid int, end array<long>, resets array<long>")
+    size = F.coalesce(F.length("lib"), F.lit(0)).cast("long")
+    # the number holds the partition and the place in it, in sorted order
+    ranged = cut_lineage(rows.repartitionByRange(n_parts, *okeys).sortWithinPartitions(*okeys)
+                         .withColumn("_nr", F.monotonically_increasing_id())
+                         .withColumn("_w", size + 2 * len(sep)).withColumn("_r", size + len(sep)), "batches")
+    # chunk: rows of one bucket, one partition and one run of chunk_rows places
+    run = F.floor(F.col("_nr") / chunk_rows)
+    chunked = ranged.withColumn("_b", F.coalesce(F.concat(F.lit("="), F.col("bucket").cast("string")), F.lit(""))).withColumn(
+        "_chunk", F.struct(F.shiftrightunsigned("_nr", 33).alias("p"), run.alias("run")))
+    cols = ["_b", "_chunk.p", "_chunk.run", "_nr", "_w", "_r"]
+
+    def summarise(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_nr")
+        end, resets = chunk_summary(pdf["_w"].to_numpy(np.int64), pdf["_r"].to_numpy(np.int64), budget)
+        return pd.DataFrame([(*key, end.tolist(), resets.tolist())], columns=["_b", "p", "run", "end", "resets"])
+
+    summary = chunked.select(*cols).groupBy("_b", "p", "run").applyInPandas(
+        summarise, "_b string, p long, run long, end array<long>, resets array<long>")
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_pid")
         c, g, out = 0, 0, []
-        for _, row in pdf.iterrows():
-            out.append((row["bucket"], int(row["_pid"]), c, g))
-            g += int(row["resets"][c])
-            c = int(row["end"][c])
-        return pd.DataFrame(out, columns=["bucket", "_pid", "_c0", "_g0"])
+        for row in pdf.sort_values(["p", "run"]).itertuples(index=False):
+            out.append((row[0], row[1], row[2], c, g))
+            c, g = int(row[3][c]), g + int(row[4][c])
+        return pd.DataFrame(out, columns=["_b", "p", "run", "_c0", "_g0"])
 
-    starts = summary.groupBy("bucket").applyInPandas(fold, "bucket string, _pid int, _c0 long, _g0 long")
+    starts = summary.groupBy("_b").applyInPandas(fold, "_b string, p long, run long, _c0 long, _g0 long")
 
     def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(okeys, kind="mergesort", na_position="first").reset_index(drop=True)
-        batch = np.empty(len(pdf), dtype=np.int64)
-        pos = 0
-        for _, seg in pdf.groupby("bucket", sort=True, dropna=False):
-            c, g = int(seg["_c0"].iloc[0]), int(seg["_g0"].iloc[0])
-            w, r = seg["_w"].to_numpy(np.int64), seg["_r"].to_numpy(np.int64)
-            for i in range(len(seg)):
-                c += int(w[i])
-                if c >= budget:
-                    g += 1
-                    c = int(r[i])
-                c = min(c, budget)
-                batch[pos + i] = g
-            pos += len(seg)
-        return pdf.assign(batch=batch)[okeys + ["lib", "cd", "batch"]]
-
-    schema = ", ".join(
-        [f"{f.name} {f.dataType.simpleString()}" for f in ranged.select(*okeys, "lib", "cd").schema.fields]
-        + ["batch long"])
-    tagged = ranged.join(starts, ["bucket", "_pid"]).groupBy("_pid").applyInPandas(replay, schema)
-    ordered = F.array_sort(F.collect_list(F.struct(*[F.col(k) for k in okeys[1:]], "lib", "cd")))
-    g = tagged.groupBy("bucket", "batch").agg(ordered.alias("items"), F.count(F.lit(1)).alias("n"))
-    return g.select(F.col("bucket"), "batch", "n",
+        pdf = pdf.sort_values("_nr")
+        upto, hop = next_resets(pdf["_w"].to_numpy(np.int64), pdf["_r"].to_numpy(np.int64), budget)
+        opens = np.zeros(len(pdf), dtype=np.int64)
+        at = int(np.searchsorted(upto, budget - int(pdf["_c0"].iloc[0]), side="left"))
+        while at < len(pdf):  # one step per batch
+            opens[at] = 1
+            at = int(hop[at])
+        return pd.DataFrame({"_nr": pdf["_nr"], "batch": int(pdf["_g0"].iloc[0]) + np.cumsum(opens)})
+
+    numbers = (chunked.select(*cols).join(starts, ["_b", "p", "run"]).groupBy("_b", "p", "run")
+               .applyInPandas(replay, "_nr long, batch long"))
+    ordered = F.array_sort(F.collect_list(F.struct("_nr", "lib", "cd")))
+    g = ranged.join(numbers, "_nr").groupBy("bucket", "batch").agg(ordered.alias("items"), F.count(F.lit(1)).alias("n"))
+    return g.select("bucket", "batch", "n",
                     F.array_join(F.transform("items", lambda x: x["cd"]), sep).alias("group_cd"),
                     F.array_join(F.transform("items", lambda x: x["lib"]), sep).alias("group_lib"))

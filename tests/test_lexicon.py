@@ -59,3 +59,46 @@ def test_code_mapping_both_directions_and_two_hop(spark):
     rel = spark.createDataFrame([(1, 5, "Is a"), (1, 10, "Mapped from")], "concept_id_1 long, concept_id_2 long, relationship_id string")
     hop = sorted(tuple(r) for r in lexicon.two_hop(edges, rel).collect())
     assert hop == [(10, 5, "Is a")]  # 10 -> 1 -> 5; 10 -> 1 -> 10 dropped (a == c)
+
+
+def test_batches_null_keys_budgets_and_chunks(spark):
+    rnd = random.Random(11)
+    labels = [(rnd.choice(["a", "b", None]), f"c{i}", None if i % 41 == 0 else "w" * rnd.randint(1, 400)) for i in range(400)]
+    df = spark.createDataFrame(labels, "bucket string, cd string, lib string")
+    key = lambda b: "" if b is None else "=" + b
+    for budget, parts, chunk in ((300, 3, 10), (500, 7, 50), (1000, 5, 7), (1000, 2, 10_000)):
+        got = {(key(r.bucket), r.batch): r.n for r in
+               lexicon.batches(df, "bucket", ["cd"], budget=budget, partitions=parts, chunk_rows=chunk).collect()}
+        want = {}
+        for b in ("a", "b", None):
+            count, group = 0, 0
+            for _, cd, lib in sorted((x for x in labels if x[0] == b), key=lambda x: x[1]):
+                n = len(lib or "") + 6
+                count += n + 6
+                if count >= budget:
+                    group, count = group + 1, n
+                want[key(b), group] = want.get((key(b), group), 0) + 1
+        assert got == want
+        assert sum(got.values()) == len(labels)
+
+
+def test_chunk_summary_against_steps():
+    import numpy as np
+    rnd = random.Random(5)
+    for budget in (300, 500, 1000):
+        size = np.array([rnd.randint(0, 700) for _ in range(60)])
+        w, r = size + 12, size + 6
+        end, resets = lexicon.chunk_summary(w, r, budget)
+        for s in range(budget + 1):
+            c, k = s, 0
+            for a, b in zip(w, r):
+                c += a
+                if c >= budget:
+                    k, c = k + 1, b
+                c = min(c, budget)
+            assert (end[s], resets[s]) == (c, k)
+
+
+def test_group_members_keep_commas(spark):
+    d = spark.createDataFrame([("g", "a, b"), ("g", "c"), ("h", "x")], "_c0 string, _c1 string")
+    assert sorted(r.member for r in lexicon.group_members(d).collect()) == ["a, b", "c"]
