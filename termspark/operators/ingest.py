@@ -93,8 +93,12 @@ def validate(df: DataFrame, not_null: Sequence[str] = ("concept_name",),
     rejects = failed.unionByName(
         dups.select(*[F.col(c).cast("string") if c in numeric else F.col(c) for c in dups.columns])
         .withColumn("reject_reason", F.lit("duplicate")))
-    report = rejects.groupBy(F.col("reject_reason").alias("check")).agg(F.count(F.lit(1)).alias("bad_rows"))
-    return good, rejects, report
+    return good, rejects, report_of(rejects)
+
+
+def report_of(rejects: DataFrame) -> DataFrame:
+    """Rejected rows by reason."""
+    return rejects.groupBy(F.col("reject_reason").alias("check")).agg(F.count(F.lit(1)).alias("bad_rows"))
 
 
 def import_terms(terms: DataFrame, project_type: str, language: str, domain: str, vocabulary: str):

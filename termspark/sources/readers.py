@@ -58,12 +58,13 @@ def restrict_ids(df: DataFrame, column: str, ids) -> DataFrame:
 
 # ----------------------------------------------------------------- CSV
 def read_csv_strict(spark: SparkSession, path: str, sep: str = ",", quote: str = '"', escape: str | None = None,
-                    multiline: bool = True, strict: bool = False):
+                    multiline: bool = False, strict: bool = False):
     """Header-driven all-string CSV.
 
     ``strict``: any malformed record fails the read (FAILFAST).  Otherwise the
     file is read PERMISSIVE with a quarantine column and (good, quarantine) is
-    returned: malformed records are kept aside, not dropped."""
+    returned: malformed records are kept aside, not dropped.  ``multiline`` allows line
+    breaks inside quotes, but then a file is read by one task, so it is asked for."""
     opts = {"header": "true", "sep": sep, "quote": quote, "multiLine": str(multiline).lower()}
     if escape is not None:
         opts["escape"] = escape
@@ -88,27 +89,34 @@ def read_control(spark: SparkSession, path: str) -> DataFrame:
 
 def import_from_control(spark: SparkSession, control: DataFrame, root: str):
     """Read every active term file named by the control rows (each with its own
-    separator and quote), stage it with its project, language, domain and
-    vocabulary, and validate all of them in one plan.  The control table is a
-    handful of configuration rows, read on the driver; the term data never is.
+    separator and quote, and line breaks in quotes where a column ``multiline`` is 1),
+    stage it with its project, language, domain and vocabulary, and validate all of them
+    in one plan.  Rows are ordered by file, then by row.  Malformed records become
+    rejects with the reason ``malformed`` and the raw record as their name.  The control
+    table is a handful of configuration rows, read on the driver; the term data never is.
     Returns (good, rejects, report, skipped files)."""
-    staged, skipped = [], []
-    for row in control.filter(F.col("active").cast("string") == "1").collect():
+    staged, skipped, broken = [], [], []
+    for number, row in enumerate(control.filter(F.col("active").cast("string") == "1").collect()):
         path = f"{root.rstrip('/')}/{str(row['project']).lower()}/{row['file']}"
-        good, _ = read_csv_strict(spark, path, sep=str(row["sep"]), quote='"', escape=str(row["quote"]))
+        lines = "multiline" in control.columns and str(row["multiline"]) == "1"
+        good, bad = read_csv_strict(spark, path, sep=str(row["sep"]), quote='"', escape=str(row["quote"]), multiline=lines)
         s = ingest.stage(good, str(row["project"]), str(row["language"]), str(row["domain"]),
                          str(row["vocabulary"]))
         if s is None:
             skipped.append(path)
         else:
-            staged.append(s.withColumn("src_file", F.lit(path)))
+            staged.append(s.withColumn("src_file", F.lit(path)).withColumn("src_file_no", F.lit(number)))
+            broken.append(bad.select(F.col(CORRUPT).alias("concept_name"), F.lit(path).alias("src_file"),
+                                     F.lit(number).alias("src_file_no"), F.lit("malformed").alias("reject_reason")))
     if not staged:
         return None, None, None, skipped
     allrows = staged[0]
     for s in staged[1:]:
         allrows = allrows.unionByName(s)
-    good, rejects, report = ingest.validate(allrows, unique=("src_file", "concept_code", "concept_name"))
-    return good, rejects, report, skipped
+    good, rejects, _ = ingest.validate(allrows, unique=("src_file", "concept_code", "concept_name"))
+    for bad in broken:
+        rejects = rejects.unionByName(bad, allowMissingColumns=True)
+    return good, rejects, ingest.report_of(rejects), skipped
 
 
 def read_tab_pairs(spark: SparkSession, path: str) -> DataFrame:
@@ -121,6 +129,22 @@ def read_codes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(header="true", sep=",", quote='"').csv(path)
 
 
+def read_synonym_rules(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Synonym rule file -> (groups, rewrites).
+
+    ``a, b, c`` is a group (group_key, member), ``x, y => z`` rewrites each left term
+    (term, replacement); ``#`` starts a comment; blank lines and groups of one are skipped."""
+    lines = spark.read.text(path).select(F.trim(F.regexp_replace("value", "#.*$", "")).alias("line")).filter("line <> ''")
+    arrow = F.instr("line", "=>") > 0
+    terms = lambda c: F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: x != "")
+    groups = (lines.filter(~arrow).select(F.sha2("line", 256).alias("group_key"), F.array_distinct(terms(F.col("line"))).alias("m"))
+              .filter(F.size("m") > 1).select("group_key", F.explode("m").alias("member")).distinct())
+    sides = lines.filter(arrow).select(F.split("line", "=>", 2).alias("s"))
+    rewrites = (sides.select(F.explode(terms(F.get("s", 0))).alias("term"), terms(F.get("s", 1)).alias("r"))
+                .select("term", F.explode("r").alias("replacement")).distinct())
+    return groups, rewrites
+
+
 # ----------------------------------------------------- vocabulary snapshot
 def read_vocabulary_file(spark: SparkSession, path: str, table: str) -> DataFrame:
     sep, quote = VOCABULARY_FORMATS[table]

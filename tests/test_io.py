@@ -57,14 +57,14 @@ def test_vocabulary_snapshot_and_small_readers(spark, tmp_path):
 
 def test_import_from_control(spark, tmp_path):
     root = tmp_path / "terms"
-    (root / "aphp").mkdir(parents=True)
-    (root / "aphp" / "a.csv").write_text("local_concept_name;local_concept_code;local_frequency\nx;1;2\nx;1;3\n;2;1\n")
-    (root / "aphp" / "b.csv").write_text("something_else\nz\n")
+    (root / "north").mkdir(parents=True)
+    (root / "north" / "a.csv").write_text("local_concept_name;local_concept_code;local_frequency\nx;1;2\nx;1;3\n;2;1\n")
+    (root / "north" / "b.csv").write_text("something_else\nz\n")
     (tmp_path / "control.csv").write_text(
         "active,file,project,domain,vocabulary,language,mode,sep,quote\n"
-        "1,a.csv,APHP,Condition,LOCAL,FR,overwrite,;,\\\n"
-        "1,b.csv,APHP,Condition,LOCAL,FR,overwrite,;,\\\n"
-        "0,c.csv,APHP,Condition,LOCAL,FR,overwrite,;,\\\n")
+        "1,a.csv,NORTH,Condition,LOCAL,FR,overwrite,;,\\\n"
+        "1,b.csv,NORTH,Condition,LOCAL,FR,overwrite,;,\\\n"
+        "0,c.csv,NORTH,Condition,LOCAL,FR,overwrite,;,\\\n")
     control = readers.read_control(spark, str(tmp_path / "control.csv"))
     good, rejects, report, skipped = readers.import_from_control(spark, control, str(root))
     assert good.count() == 1 and rejects.count() == 2
@@ -76,3 +76,28 @@ def test_restrict_ids(spark):
     assert readers.restrict_ids(df, "concept_id", [1, 2]).count() == 2
     ids = spark.range(5).withColumnRenamed("id", "x")
     assert readers.restrict_ids(df, "concept_id", ids).count() == 5
+
+
+def test_import_two_files_order_and_quarantine(spark, tmp_path):
+    """Rows of two files keep their own statistics; malformed records are rejects."""
+    from frames import tables
+    from termspark.operators import changes
+    root = tmp_path / "terms"
+    for name, letter in (("north", "a"), ("south", "b")):
+        (root / name).mkdir(parents=True)
+        rows = "".join(f"{letter}{i},k{letter}{i},{100 * (letter == 'b') + i}\n" for i in range(20))
+        extra = "broken,one,2,three,four\n" if letter == "a" else ""
+        (root / name / "t.csv").write_text("local_concept_name,local_concept_code,local_frequency\n" + rows + extra)
+    control = spark.createDataFrame([(1, "t.csv", p, "D", "L", "EN", "overwrite", ",", '"') for p in ("NORTH", "SOUTH")],
+                                    "active int, file string, project string, domain string, vocabulary string, language string, mode string, sep string, quote string")
+    good, rejects, report, _ = readers.import_from_control(spark, control, str(root))
+    assert [(r.check, r.bad_rows) for r in report.collect()] == [("malformed", 1)]
+    assert rejects.first().concept_name.startswith("broken")
+    t = tables(spark, [], projects=[(1, "NORTH"), (2, "SOUTH")])
+    concepts, stats = changes.insert_concepts(t, good, dt.date(2025, 1, 1))
+    names = {r.concept_id: r.concept_name for r in concepts.collect()}
+    values = {r.m_concept_id: r.m_value_as_number for r in stats.collect()}
+    assert sorted(names) == list(range(min(names), min(names) + 40))
+    for i, name in names.items():
+        assert values[i] == 100 * (name[0] == "b") + int(name[1:])
+    assert [names[i][0] for i in sorted(names)] == ["a"] * 20 + ["b"] * 20
