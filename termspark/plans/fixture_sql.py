@@ -38,7 +38,7 @@ SELECT l_partkey * 1000000 + l_suppkey AS m_concept_relationship_id,
        CASE WHEN (l_partkey + l_suppkey) % 7 = 0 THEN TIMESTAMP '2024-06-01 00:00:00' END AS m_modif_end_datetime,
        CASE WHEN l_suppkey % 2 = 0 THEN 'checked' END AS m_mapping_comment,
        CAST((l_partkey + l_suppkey) % 5 AS INTEGER) AS m_mapping_rate
-FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_linenumber = 1 AND l_quantity < 11) d"""
+FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) d"""
 
 VIEWS["concept_synonym"] = """
 SELECT p_partkey + 2000000000 AS concept_id, p_name || ' ' || p_type AS concept_synonym_name,
