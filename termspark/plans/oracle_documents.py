@@ -12,32 +12,26 @@ def documents_select(concept: str = "concept", ids: str | None = None) -> str:
     that restricts the output rows only.
     """
     id_filter = f"WHERE c.concept_id IN (SELECT concept_id FROM {ids})" if ids else ""
+    empty = lambda col: f"coalesce({col}, 'EMPTY')"
+    out = {"id": "CAST(c.concept_id AS VARCHAR)", "concept_id": "c.concept_id", "concept_name": empty("c.concept_name"),
+           "concept_code": empty("c.concept_code")}
+    # a name goes to the fields of its language; French ones also to the field analysed for English queries
+    routes = {"en": "coalesce(c.m_language_id, 'EN') = 'EN'", "fr": "c.m_language_id = 'FR'"}
+    for suffix, lang in (("en", "en"), ("fr", "fr"), ("fr_en", "fr")):
+        out[f"concept_name_{suffix}"] = f"if({routes[lang]}, {empty('c.concept_name')}, NULL)"
+        out[f"concept_synonym_name_{suffix}"] = f"syn.syn_{lang}"
+        out[f"concept_mapped_name_{suffix}"] = f"rel.map_{lang}"
+    # enumerations carry the project in front
+    status = "CASE WHEN rel.n_s > 0 THEN 'S' WHEN rel.n_ns > 0 THEN 'NS' WHEN rel.n_r > 0 THEN 'R' ELSE 'EMPTY' END"
+    project = "coalesce(p.m_project_type_id, 'OMOP')"
+    enums = {f: empty(f"c.{f}") for f in ("domain_id", "vocabulary_id", "concept_class_id", "standard_concept", "invalid_reason")}
+    for name, value in {**enums, "m_language_id": "coalesce(c.m_language_id, 'EN')", "is_mapped": status}.items():
+        out[name] = f"concat_ws(' ', {project}, {value})"
+    out |= {"frequency": "CAST(st.freq AS INTEGER)", "value_avg": "st.avg_v", "value_is_numeric": "st.avg_v IS NOT NULL",
+            "local_map_number": "coalesce(lm.n, 0)", "m_project_type_id": project}
+    select = ",\n  ".join(f"{expr} AS {name}" for name, expr in out.items())
     return f"""
-SELECT CAST(c.concept_id AS VARCHAR) AS id, c.concept_id,
-  COALESCE(c.concept_name, 'EMPTY') AS concept_name,
-  CASE WHEN c.m_language_id IS NULL OR c.m_language_id = 'EN' THEN COALESCE(c.concept_name, 'EMPTY') END AS concept_name_en,
-  CASE WHEN c.m_language_id = 'FR' THEN COALESCE(c.concept_name, 'EMPTY') END AS concept_name_fr,
-  CASE WHEN c.m_language_id = 'FR' THEN COALESCE(c.concept_name, 'EMPTY') END AS concept_name_fr_en,
-  COALESCE(p.m_project_type_id, 'OMOP') || ' ' || COALESCE(c.domain_id, 'EMPTY') AS domain_id,
-  COALESCE(p.m_project_type_id, 'OMOP') || ' ' || COALESCE(c.vocabulary_id, 'EMPTY') AS vocabulary_id,
-  COALESCE(p.m_project_type_id, 'OMOP') || ' ' || COALESCE(c.concept_class_id, 'EMPTY') AS concept_class_id,
-  COALESCE(p.m_project_type_id, 'OMOP') || ' ' || COALESCE(c.standard_concept, 'EMPTY') AS standard_concept,
-  COALESCE(p.m_project_type_id, 'OMOP') || ' ' || COALESCE(c.invalid_reason, 'EMPTY') AS invalid_reason,
-  COALESCE(c.concept_code, 'EMPTY') AS concept_code,
-  syn.syn_en AS concept_synonym_name_en,
-  syn.syn_fr AS concept_synonym_name_fr,
-  syn.syn_fr AS concept_synonym_name_fr_en,
-  rel.map_en AS concept_mapped_name_en,
-  rel.map_fr AS concept_mapped_name_fr,
-  rel.map_fr AS concept_mapped_name_fr_en,
-  COALESCE(p.m_project_type_id, 'OMOP') || ' ' || COALESCE(c.m_language_id, 'EN') AS m_language_id,
-  CAST(st.freq AS INTEGER) AS frequency,
-  COALESCE(p.m_project_type_id, 'OMOP') || ' ' ||
-    CASE WHEN rel.n_s > 0 THEN 'S' WHEN rel.n_ns > 0 THEN 'NS' WHEN rel.n_r > 0 THEN 'R' ELSE 'EMPTY' END AS is_mapped,
-  COALESCE(lm.n, 0) AS local_map_number,
-  st.avg_v AS value_avg,
-  st.avg_v IS NOT NULL AS value_is_numeric,
-  COALESCE(p.m_project_type_id, 'OMOP') AS m_project_type_id
+SELECT {select}
 FROM {concept} c
 LEFT JOIN (
   SELECT s.concept_id,
