@@ -1,28 +1,10 @@
-"""Small plan helpers a Spark user writes: size-checked broadcast, lineage cut."""
+"""Small plan helpers a Spark user writes: lineage cut, spreading work over the cores."""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows a side may have to be broadcast by an explicit hint.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check is one ``limit(max_rows + 1).count()`` job, which stops early.
-    Beyond the bound the frame is returned as is and the planner (AQE with its
-    runtime size check) picks a shuffle join.  Use it for user-supplied side
-    tables; frames the plan derives are left to AQE, which measures the real
-    size of each side at run time before it broadcasts.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def cut_lineage(df: DataFrame, name: str = "frame") -> DataFrame:
     """Write ``df`` once as a Parquet table under the session's checkpoint folder

@@ -43,12 +43,8 @@ def upsert_store(spark: SparkSession, new: DataFrame, path: str, key: str, bucke
     merged = old_touched.join(new.select(key), key, "left_anti").unionByName(new.select(*old.columns))
     stage = f"{ensure_checkpoint_dir(spark).rstrip('/')}/termspark-stage-{uuid.uuid4().hex}"
     merged.write.mode("error").partitionBy(BUCKET).parquet(stage)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        spark.read.parquet(stage).repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (spark.read.parquet(stage).repartition(BUCKET).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
 
 
 def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite") -> None:
