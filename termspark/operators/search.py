@@ -37,10 +37,12 @@ GROUP_FIELDS = {
 # analysis chain of each group (fr_en indexes with the French chain)
 GROUP_LANG = {"en": "en", "fr": "fr", "fr_en": "fr_en"}
 
-# Per-field weights of the two ranking set-ups of the reference.
+# Per-field weights of the ranking set-ups.
 WEIGHTS_FLAT: dict[str, float] = {}
 WEIGHTS_NAME2 = {"concept_name": 2.0, "concept_synonym_name": 1.0, "concept_mapped_name": 1.0}
 
+WEIGHTS_5_3 = {"concept_name": 5.0, "concept_synonym_name": 3.0}
+
 SCORE_DIGITS = 6
 
 
@@ -434,41 +436,44 @@ def highlight(top: DataFrame, queries: DataFrame, docs: DataFrame, *, id_col: st
               protected: Iterable[str] = ()) -> DataFrame:
     """Matched words of the top hits marked in their field values.
 
-    Only the top-k rows are touched.  Each value is split into word and
-    separator runs, each word is analysed with its field's chain, words whose
-    token is one of the label's query tokens (same group) are wrapped in
-    <em></em>, and the runs are joined back, so the text is kept exactly.
+    Only the values of the top-k rows are touched, once per distinct label text.  Each
+    value is split into word and separator runs; a word whose token (its field's chain)
+    is one of the label's query tokens of the same group is wrapped in <em></em>, and
+    the runs are put together again, so the text is kept exactly.
     Returns (query_id, rank, concept_id, field, snippet); fields without a match
-    give no row (matched fields only), at most ``snippets`` values per field."""
+    give no row (matched fields only), at most ``snippets`` values per field, those with
+    the most marked words first, then by their place."""
     groups = dict(groups or {g: "text" for g in GROUP_FIELDS})
     labeled, text_cols = _label_keys(queries, groups, None, "", "")
     hits = top.select(id_col, "rank", "concept_id").join(labeled.select(id_col, F.col("_qk._tk").alias("_tk")), id_col)
+    pairs = hits.select("_tk", "concept_id").distinct()
     qtexts = hits.select("_tk").distinct().select(
         "_tk", *[F.when(F.col(f"_tk.{c}") != "\u0000", F.col(f"_tk.{c}")).alias(c) for c in text_cols])
-    qt = query_tokens(qtexts, "_tk", groups, protected).select("_tk", "group", "token").distinct()
+    wanted = query_tokens(qtexts, "_tk", groups, protected).groupBy("_tk", "group").agg(F.collect_set("token").alias("wanted"))
     fields = [f for g in groups for f in GROUP_FIELDS[g]]
     vals = field_values(docs.join(hits.select("concept_id").distinct(), "concept_id", "left_semi"), fields)
     grp = None
     for g in groups:
         cond = F.col("field").isin(GROUP_FIELDS[g])
         grp = F.when(cond, F.lit(g)) if grp is None else grp.when(cond, F.lit(g))
-    runs = vals.withColumn("group", grp).select(
-        "concept_id", "field", "value_idx", "group",
-        F.posexplode(F.regexp_extract_all("value", F.lit(RUN), 0)).alias("rpos", "run"))
-    analysed = tx.token_rows_by(runs, "run", "group", list(groups),
-                                keep=["concept_id", "field", "value_idx", "rpos", "run"], protected=protected)
-    per_hit = hits.join(runs, "concept_id")
-    tagged = (per_hit.join(analysed.select("concept_id", "field", "value_idx", "rpos", "token"),
-                           ["concept_id", "field", "value_idx", "rpos"], "left")
-              .join(qt.withColumn("_m", F.lit(True)), ["_tk", "group", "token"], "left"))
-    marked = F.when(F.col("_m"), F.concat(F.lit(HL_PRE), F.col("run"), F.lit(HL_POST))).otherwise(F.col("run"))
-    per_value = tagged.groupBy(id_col, "rank", "concept_id", "field", "value_idx").agg(
-        F.array_sort(F.collect_list(F.struct("rpos", marked.alias("m")))).alias("parts"),
-        F.max(F.coalesce(F.col("_m"), F.lit(False))).alias("hit"))
-    snip = per_value.filter("hit").select(id_col, "rank", "concept_id", "field",
-                                          F.array_join(F.transform("parts", lambda x: x["m"]), "").alias("snippet"))
-    w = Window.partitionBy(id_col, "concept_id", "field").orderBy("snippet")
-    return snip.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= snippets).drop("_n")
+    rows = pairs.join(vals.withColumn("group", grp), "concept_id").join(wanted, ["_tk", "group"])
+    rows = rows.repartition(analysis_partitions(rows))
+
+    def marks(lang: str) -> Column:
+        return F.transform(F.regexp_extract_all("value", F.lit(RUN), 0), lambda r: F.struct(
+            r.alias("run"), F.arrays_overlap(tx.token_array(r, lang, protected), F.col("wanted")).alias("m")))
+
+    parts = None
+    for g in groups:
+        own = marks(GROUP_LANG[g])
+        parts = F.when(F.col("group") == g, own) if parts is None else parts.when(F.col("group") == g, own)
+    rows = rows.select("_tk", "concept_id", "field", "value_idx", parts.alias("parts"))
+    marked = rows.withColumn("hits", F.size(F.filter("parts", lambda x: x["m"]))).filter("hits > 0")
+    w = Window.partitionBy("_tk", "concept_id", "field").orderBy(F.col("hits").desc(), F.col("value_idx"))
+    best = marked.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= snippets)
+    snip = best.select("_tk", "concept_id", "field", F.array_join(F.transform("parts", lambda x: F.when(
+        x["m"], F.concat(F.lit(HL_PRE), x["run"], F.lit(HL_POST))).otherwise(x["run"])), "").alias("snippet"))
+    return hits.join(snip, ["_tk", "concept_id"]).select(id_col, "rank", "concept_id", "field", "snippet")
 
 
 # ------------------------------------------------------ synonym expansion

@@ -211,11 +211,11 @@ LEFT JOIN qts m ON m.text = h.text AND m.grp = r.grp AND m.token = a.token"""
     ctes["pv"] = """
 SELECT query_id, rank, concept_id, field, value_idx,
        string_agg(CASE WHEN hitw THEN '<em>' || run || '</em>' ELSE run END, '' ORDER BY rpos) AS snippet,
-       bool_or(hitw) AS hit
+       count(*) FILTER (WHERE hitw) AS hits
 FROM hl_tagged GROUP BY query_id, rank, concept_id, field, value_idx"""
     return with_views(f"""
 SELECT query_id, rank, concept_id, field, snippet FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id, concept_id, field ORDER BY snippet) AS n FROM pv WHERE hit) x
+  SELECT *, row_number() OVER (PARTITION BY query_id, concept_id, field ORDER BY hits DESC, value_idx) AS n FROM pv WHERE hits > 0) x
 WHERE n <= {snippets}""", ctes)
 
 

@@ -328,12 +328,25 @@ def path_hierarchy(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ retrieval
+_INDEXES: dict[tuple[str, str], tuple] = {}
+
+
+def persisted_index(spark: SparkSession, sf_dir: str):
+    """(tables, documents, positions, index) of a data folder: built and written once
+    for an application, then read by every retrieval query."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEXES:
+        docs = cut_lineage(documents.build(Tables(spark, sf_dir)), "documents")
+        positions = search.positional_postings(docs)
+        idx = cut_lineage(search.index(docs, positions=positions), "index")
+        _INDEXES[key] = (docs, positions, idx)
+    return Tables(spark, sf_dir), *_INDEXES[key]
+
+
 def _search_inputs(spark, sf_dir):
     """Concept documents, their BM25 index, and the labels to map: the validated
     project terms (label = term name, value = its local frequency)."""
-    t = Tables(spark, sf_dir)
-    docs = cut_lineage(documents.build(t), "documents")  # read by the index and by boosts / filters / facets
-    idx = search.index(docs)
+    t, docs, _, idx = persisted_index(spark, sf_dir)
     good, _, _ = _import(t)
     labels = good.select(F.col("src_order").alias("query_id"), F.col("concept_name").alias("text"),
                          F.col("m_value_as_number").alias("value_avg"),
@@ -353,8 +366,7 @@ MAPPED_FILTER = r" N?S$"
 
 @register("postings")
 def postings(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    ix = search.index(documents.build(t))
+    _, _, _, ix = persisted_index(spark, sf_dir)
     return ix.select("concept_id", "field", "token", "tf", "dl", "df", F.round("bm25", 9).alias("bm25"))
 
 
@@ -368,6 +380,11 @@ def search_weighted(spark, sf_dir):
     return _ranked(spark, sf_dir, weights=search.WEIGHTS_NAME2)
 
 
+@register("search_weighted_5_3")
+def search_weighted_5_3(spark, sf_dir):
+    return _ranked(spark, sf_dir, weights=search.WEIGHTS_5_3)
+
+
 @register("search_value_boost")
 def search_value_boost(spark, sf_dir):
     return _ranked(spark, sf_dir, boost="value")
@@ -533,10 +550,7 @@ def stream_refresh(spark, sf_dir):
 def search_phrase(spark, sf_dir):
     """Labels = the three-word English synonyms (whole table); term score plus
     the pf3 phrase boost (slop 2, name 6 / synonym 3 / mapped 3)."""
-    t = Tables(spark, sf_dir)
-    docs = cut_lineage(documents.build(t), "documents")
-    pos = search.positional_postings(docs)
-    idx = search.index(docs, positions=pos)
+    t, docs, pos, idx = persisted_index(spark, sf_dir)
     labels = (t.concept_synonym.filter(F.col("language_concept_id") == 4180186)
               .join(t.concept.select("concept_id", "concept_name"), "concept_id")
               .filter(F.col("concept_synonym_name") != F.col("concept_name"))
@@ -561,7 +575,7 @@ def synonym_expand(spark, sf_dir):
     good, _, _ = _import(t)
     labels = good.select(F.col("src_order").alias("query_id"), F.col("concept_name").alias("text"))
     dic = t.part.select(F.col("p_type").alias("_c0"), F.col("p_name").alias("_c1"))
-    members = lexicon.groups(dic).select("group_key", F.explode(F.split("result", ",")).alias("member"))
+    members = lexicon.group_members(dic)
     return search.expand_tokens(labels, "query_id", "text", "en", groups=members)
 
 
@@ -588,6 +602,9 @@ def search_expanded(spark, sf_dir):
     expansion with the synonym groups of the type dictionary."""
     t, docs, idx, labels = _search_inputs(spark, sf_dir)
     dic = t.part.select(F.col("p_type").alias("_c0"), F.col("p_name").alias("_c1"))
-    members = lexicon.groups(dic).select("group_key", F.explode(F.split("result", ",")).alias("member"))
+    members = lexicon.group_members(dic)
     out = search.rank_expanded(labels.select("query_id", "text"), idx, groups=members)
     return out.withColumn("score", F.round("score", 6))
+
+
+from . import registry_io  # noqa: E402,F401  (registers its queries)

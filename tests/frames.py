@@ -27,7 +27,7 @@ def rel(c1, c2, kind="Maps to", ended=False, rid=None):
             dt.datetime(2024, 1, 1) if ended else None, None, None)
 
 
-def tables(spark, concepts, rels=(), syns=(), stats=(), projects=((1, "APHP"),)):
+def tables(spark, concepts, rels=(), syns=(), stats=(), projects=((1, "NORTH"),)):
     return Tables.from_frames(
         spark,
         concept=spark.createDataFrame(list(concepts), CONCEPT),

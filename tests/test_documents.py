@@ -20,8 +20,8 @@ def test_mapping_status_and_lists(spark):
               rel(2000000004, 1, ended=True), rel(2000000004, 99),       # ended edge, missing target -> EMPTY
               rel(2000000005, 2000000005)])                               # self loop ignored
     d = docs(t)
-    assert d[2000000001].is_mapped == "APHP S"
-    assert d[2000000002].is_mapped == "APHP NS"
+    assert d[2000000001].is_mapped == "NORTH S"
+    assert d[2000000002].is_mapped == "NORTH NS"
     assert d[2000000003].is_mapped == "OMOP R"
     assert d[2000000004].is_mapped == "OMOP EMPTY"
     assert d[2000000005].is_mapped == "OMOP EMPTY"
@@ -41,7 +41,7 @@ def test_language_routing_and_defaults(spark):
     assert (d[1].concept_name_en, d[1].concept_name_fr) == ("n1", None)
     assert (d[2].concept_name_en, d[2].m_language_id) == ("n2", "OMOP EN")
     assert (d[3].concept_name_fr, d[3].concept_name_fr_en, d[3].concept_name_en) == ("n3", "n3", None)
-    assert d[4].concept_name == "EMPTY" and d[4].standard_concept == "APHP EMPTY"
+    assert d[4].concept_name == "EMPTY" and d[4].standard_concept == "NORTH EMPTY"
     assert d[1].value_is_numeric is False and d[1].frequency is None
 
 

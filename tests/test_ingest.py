@@ -20,7 +20,7 @@ def test_validate_semantics(spark):
             ("n1", "c1", "7", 4), ("n4", None, None, 5), ("n4", None, "2", 6)]
     df = spark.createDataFrame(rows, "local_concept_name string, local_concept_code string, "
                                      "local_frequency string, src_order long")
-    good, rejects, report = ingest.import_terms(df, "APHP", "FR", "Condition", "LOCAL")
+    good, rejects, report = ingest.import_terms(df, "NORTH", "FR", "Condition", "LOCAL")
     g = {r.src_order: r for r in good.collect()}
     assert sorted(g) == [1, 5]  # dup (c1, n1) keeps lowest order; null codes are equal keys
     assert g[1].m_value_as_number == 5.0 and g[5].m_value_as_number is None
