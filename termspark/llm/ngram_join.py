@@ -20,12 +20,13 @@ aggregate over the table).
 Jobs.  (1) Tasks turn texts into sets and send keys, packed in binary blocks by key
 hash; each key block finds keys that several sets share.  Sets are named by a digest, so
 copies count once.  (2) Each set is held against the smallest set that it shares a key
-with; verified links are parent pointers, which give first components.  (3) Whatever
-pairs share a key but not yet a component are held against each other too, in blocks, so
-no link between components is missed and no group of copies is spread into pairs.
-Before the exact count over the texts, a parity sketch (one bit per hashed slot, about
-as many bits as elements) bounds the difference from below; it only drops pairs that
-cannot link.
+with; verified links give first components.  (3) Sets that share a key are gathered
+around the smallest set of that key.  In each gathering every set is held against its
+nearest in another component; then whatever pairs are still in different components are
+held against each other too, in blocks.  So no link between components is missed, and
+no group of copies is spread into pairs.  Before the exact count over the texts, a
+parity sketch (one bit per hashed slot, four to eight slots an element) bounds the
+difference from below; it only drops pairs that cannot link.
 """
 
 from __future__ import annotations
@@ -42,11 +43,15 @@ from pyspark.sql import functions as F
 from .common import located, staged, workers
 
 WIDTH, PERCENT = 5, 75
-CHUNK_SHINGLES, CHUNK_SETS = 2_000_000, 60_000
+CHUNK_SHINGLES, CHUNK_SETS = 1_000_000, 60_000
 KEYS_PER_ROW = 4096
 BLOCK = 2048
-#: cost model: cost of a chance pair in keys, share of pairs with a passage in common, its shingles
-PAIR_COST, SHARING, PASSAGE = 4.0, 0.01, 40
+#: cost model: cost of a chance pair (one comparison of sketches, tens of nanoseconds) in keys (hashed, sent and
+#: sorted, about a microsecond), share of pairs with a passage in common, its shingles
+PAIR_COST, SHARING, PASSAGE = 0.05, 0.01, 40
+#: keys of documents up to so many are broadcast to pick their texts; more are joined by a shuffle
+BROADCAST_KEYS = 100_000
+PAIRS_PER_FLUSH = 500_000
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                   0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
@@ -155,14 +160,14 @@ def set_id(h: np.ndarray) -> int:
 
 
 def sketch(h: np.ndarray) -> bytes:
-    """Parity of the elements in each of 2**j slots, about as many slots as elements."""
-    slots = 1 << max(6, (len(h) - 1).bit_length())
+    """Parity of the elements in each of 2**j slots, four to eight slots an element."""
+    slots = 1 << max(6, (4 * len(h) - 1).bit_length())
     return np.packbits((np.bincount((h & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1).astype(np.uint8)).tobytes()
 
 
 def least_apart(a: bytes, b: bytes) -> int:
     """Lower bound of the symmetric difference of two sets from their sketches."""
-    x, y = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
+    x, y = np.frombuffer(a, dtype="<u8"), np.frombuffer(b, dtype="<u8")
     return int(np.bitwise_count(_fold(x, len(y)) ^ _fold(y, len(x))).sum())
 
 
@@ -178,7 +183,7 @@ def _map_side(width: int, percent: int, parts: int, ends: list[int], schemes: li
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["part", "kind", "key", "n", "id", "payload"]
         ids: dict[int, int] = {}
-        sizes, keys, owner = [], [], []
+        keys, owner = [], []
         held, turn = 0, 0
 
         def blocks() -> Iterator[pa.RecordBatch]:
@@ -187,13 +192,12 @@ def _map_side(width: int, percent: int, parts: int, ends: list[int], schemes: li
             order = np.argsort(part, kind="stable")
             key, own, cut = key[order], own[order], np.searchsorted(part[order], np.arange(parts + 1))
             sid = np.fromiter(ids, dtype=np.uint64, count=len(ids))
-            num = np.array(sizes, dtype=np.int64)
             rows, where = [], []
             for p in range(parts):
                 k, o = key[cut[p]:cut[p + 1]], own[cut[p]:cut[p + 1]]
                 if len(k):
                     have, o = np.unique(o, return_inverse=True)
-                    rows.append(np.array([len(have), len(k)], dtype="<i8").tobytes() + sid[have].tobytes() + num[have].astype("<i4").tobytes()
+                    rows.append(np.array([len(have), len(k)], dtype="<i8").tobytes() + sid[have].tobytes()
                                 + (k & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (k >> np.uint64(32) & np.uint64(0xFFFF)).astype("<u2").tobytes()
                                 + o.astype("<u2").tobytes())
                     where.append(p)
@@ -202,7 +206,7 @@ def _map_side(width: int, percent: int, parts: int, ends: list[int], schemes: li
                 yield pa.RecordBatch.from_arrays([
                     pa.array(where[lo:lo + 32], pa.int32()), pa.array([0] * n, pa.int32()), pa.nulls(n, key_type),
                     pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(rows[lo:lo + 32], pa.binary())], names=names)
-            ids.clear(), sizes.clear(), keys.clear(), owner.clear()
+            ids.clear(), keys.clear(), owner.clear()
 
         for batch in batches:
             key_type = batch.schema.field(0).type
@@ -220,7 +224,7 @@ def _map_side(width: int, percent: int, parts: int, ends: list[int], schemes: li
                 if sid not in ids:
                     k = index_keys(h, ends, schemes, percent)
                     if len(k):
-                        keys.append(k), owner.append(np.full(len(k), len(ids), dtype=np.int64)), sizes.append(len(h))
+                        keys.append(k), owner.append(np.full(len(k), len(ids), dtype=np.int64))
                         ids[sid] = len(ids)
                         held += len(k)
             n = len(n_of)
@@ -237,25 +241,23 @@ def _map_side(width: int, percent: int, parts: int, ends: list[int], schemes: li
     return run
 
 
-def _shared(blobs: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of one key block: (center, member) links to try, and the groups of three or more
-    sets with a key in common, each once."""
-    sid, num, key, own, base = [], [], [], [], 0
+def _shared(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of one key block: (center, member) for every set that shares a key with others;
+    the center is the smallest set of the key."""
+    sid, key, own, base = [], [], [], 0
     for b in blobs:
         sets, n = np.frombuffer(b, dtype="<i8", count=2)
         at = 16
-        for kind, size, to in (("<u8", sets, sid), ("<i4", sets, num), ("<u4", n, key), ("<u2", n, key), ("<u2", n, own)):
-            x = np.frombuffer(b, dtype=kind, count=size, offset=at)
-            at += x.nbytes
-            to.append(x)
-        own[-1] = own[-1].astype(np.int64) + base
-        key[-2:] = [key[-2].astype(np.uint64) | key[-1].astype(np.uint64) << np.uint64(32)]
+        sid.append(np.frombuffer(b, dtype="<u8", count=sets, offset=at))
+        at += 8 * sets
+        low, high = np.frombuffer(b, dtype="<u4", count=n, offset=at), np.frombuffer(b, dtype="<u2", count=n, offset=at + 4 * n)
+        key.append(low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32))
+        own.append(np.frombuffer(b, dtype="<u2", count=n, offset=at + 6 * n).astype(np.int64) + base)
         base += int(sets)
     if not sid:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64), []
-    sid, num, key, own = map(np.concatenate, (sid, num, key, own))
-    names, first, own_set = np.unique(sid, return_index=True, return_inverse=True)
-    num, own = num[first].astype(np.int64), own_set[own]
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+    names, own_set = np.unique(np.concatenate(sid), return_inverse=True)
+    key, own = np.concatenate(key), own_set[np.concatenate(own)]
     order = np.argsort(key)
     key, own = key[order], own[order]
     again = np.zeros(len(key), dtype=bool)
@@ -264,24 +266,13 @@ def _shared(blobs: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray, l
     key, own = key[again], own[again]
     order = np.lexsort((own, key))
     key, own = key[order], own[order]
-    fresh = np.ones(len(key), dtype=bool)
-    fresh[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
-    key, own = key[fresh], own[fresh]
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=np.int64)
-    length = np.diff(np.append(start, len(key)))
-    center = np.repeat(own[start], length)
-    a, b = np.minimum(num[center], num[own]), np.maximum(num[center], num[own])
-    pair = np.unique((center * len(names) + own)[(center != own) & (100 * a >= percent * b)])
-    groups = []
-    big = np.flatnonzero(length >= 3)
-    if len(big):
-        total = np.add.reduceat(mix(names[own]), start)
-        _, one = np.unique(total[big], return_index=True)
-        groups = [names[own[start[g]:start[g] + length[g]]] for g in big[one]]
-    return names[pair // len(names)], names[pair % len(names)], groups
-
-
-def _reduce_side(percent: int) -> Callable:
+    center = np.repeat(own[start], np.diff(np.append(start, len(key))))
+    pair = np.unique((center * len(names) + own)[center != own])
+    return names[pair // len(names)], names[pair % len(names)]
+
+
+def _reduce_side() -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["kind", "key", "n", "id", "sketch", "center", "members"]
         blobs: dict[int, list[bytes]] = {}
@@ -297,11 +288,7 @@ def _reduce_side(percent: int) -> Callable:
             for i in np.flatnonzero(kind == 0):
                 blobs.setdefault(batch.column(0)[i].as_py(), []).append(batch.column(5)[i].as_py())
         for part in sorted(blobs):
-            center, member, groups = _shared(blobs.pop(part), percent)
-            rows = [(2, int(c), m) for c, m in _runs(center, member)]
-            for g in groups:
-                gid = xxhash.xxh3_64_intdigest(g.tobytes())
-                rows += [(3, gid, g[lo:lo + KEYS_PER_ROW]) for lo in range(0, len(g), KEYS_PER_ROW)]
+            rows = [(2, int(c), m) for c, m in _runs(*_shared(blobs.pop(part)))]
             for lo in range(0, len(rows), 256):
                 some = rows[lo:lo + 256]
                 n = len(some)
@@ -339,10 +326,12 @@ def _verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, perc
              .select(F.xxhash64("a", "salt").alias("unit"), "a", "b"))
     sides = pairs.select("unit", F.lit(0).alias("side"), F.col("a").alias("id")).distinct().unionByName(
         pairs.select("unit", F.lit(1).alias("side"), F.col("b").alias("id")))
-    sides = sides.join(sets.select("id", "rep"), "id")
-    parts = workers(docs.sparkSession)
+    sides = staged(sides.join(sets.select("id", "rep"), "id"), "join-sides")
+    need = sides.select("rep").distinct()
+    if need.count() <= BROADCAST_KEYS:
+        docs = docs.join(F.broadcast(need), need["rep"].eqNullSafe(docs["key"]), "left_semi")
     texts = (sides.join(docs, sides["rep"].eqNullSafe(docs["key"])).select("unit", "side", "id", "text")
-             .repartition(parts, "unit").sortWithinPartitions("unit", "side"))
+             .repartition(workers(docs.sparkSession), "unit").sortWithinPartitions("unit", "side"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, whole, unit = None, None, None
@@ -386,10 +375,13 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             return labels
 
 
-def _residual(groups: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets that share a key, lie in different components and may link by their
-    sketches.  Groups are held against themselves in blocks of about ``BLOCK`` sets."""
-    members = groups.select("gid", F.explode("members").alias("id")).distinct()
+def _residual(edges: DataFrame, sets: DataFrame, roots: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs (a, b) of sets of one gathering (a center a and its members b) that lie in
+    different components and may link by their sketches: all of them, or for each set the
+    one whose sketch is nearest.  Gatherings are held against themselves in blocks of
+    about ``BLOCK`` sets."""
+    members = edges.select(F.col("a").alias("gid"), F.col("b").alias("id")).unionByName(
+        edges.select(F.col("a").alias("gid"), F.col("a").alias("id")).distinct())
     members = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     size = members.groupBy("gid").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     open_ = size.where("lo != hi").select("gid", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
@@ -400,46 +392,57 @@ def _residual(groups: DataFrame, sets: DataFrame, roots: DataFrame, percent: int
                     (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right"), "id", "root", "n", "sketch"))
     rows = rows.repartition(workers(sets.sparkSession), "unit").sortWithinPartitions("unit", "n", "id")
 
-    def pairs(some: list) -> tuple[list, list]:
+    def pairs(some: list) -> np.ndarray:
+        """(a, b, gap) of one unit, an array of three rows."""
         left, right = [r for r in some if r[1]], [r for r in some if r[2]]
-        a, b = [], []
+        out = []
         n = np.array([r[5] for r in right])
         root, name = np.array([r[4] for r in right]), np.array([r[3] for r in right])
         by_width: dict[int, np.ndarray] = {}
         for _, _, _, i, own, size, bits in left:
             lo, hi = np.searchsorted(n, [-(-size * percent // 100), size * 100 // percent + 1])
             at = np.arange(lo, hi)
-            at = at[(root[lo:hi] != own) & (name[lo:hi] != i)]
+            at = at[root[lo:hi] != own]
             if not len(at):
                 continue
-            w = min(len(bits), *(len(right[j][6]) for j in (lo, hi - 1)))
+            w = min(len(bits), len(right[lo][6]), len(right[hi - 1][6]))
             if w not in by_width:
-                by_width[w] = np.array([_fold(np.frombuffer(r[6], dtype=np.uint8), w) if len(r[6]) >= w else np.zeros(w, np.uint8)
-                                        for r in right]).reshape(len(right), w)
-            own_bits = _fold(np.frombuffer(bits, dtype=np.uint8), w)
-            gap = np.bitwise_count(by_width[w][at] ^ own_bits).sum(axis=1)
-            at = at[gap <= (n[at] + size) * (100 - percent) // (100 + percent)]
-            a += [i] * len(at)
-            b += name[at].tolist()
-        return a, b
+                by_width[w] = np.array([_fold(np.frombuffer(r[6], dtype="<u8"), w // 8) if len(r[6]) >= w else np.zeros(w // 8, "<u8")
+                                        for r in right]).reshape(len(right), w // 8)
+            gap = np.bitwise_count(by_width[w][at] ^ _fold(np.frombuffer(bits, dtype="<u8"), w // 8)).sum(axis=1, dtype=np.int64)
+            may = gap <= (n[at] + size) * (100 - percent) // (100 + percent)
+            at, gap = at[may], gap[may]
+            if len(at) and nearest:
+                at, gap = at[[gap.argmin()]], gap[[gap.argmin()]]
+            other, me = name[at], np.full(len(at), i, dtype=np.int64)
+            out.append((me, other, gap) if nearest else (np.minimum(me, other), np.maximum(me, other), gap))
+        return np.array([np.concatenate(x) for x in zip(*out)], dtype=np.int64).reshape(3, -1) if out else np.zeros((3, 0), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some: list = []
+        found: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
-            a, b = pairs(some)
-            a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            x = np.unique(np.concatenate(found, axis=1), axis=1)  # a pair may share many keys
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in x], names=["a", "b", "gap"])
 
         for batch in batches:
             for r in zip(*map(pa.Array.to_pylist, batch.columns)):
                 if some and some[0][0] != r[0]:
-                    yield out()
+                    found.append(pairs(some))
                     some = []
+                    if sum(x.shape[1] for x in found) >= PAIRS_PER_FLUSH:
+                        yield out()
                 some.append(r)
         if some:
+            found.append(pairs(some))
+        if found:
             yield out()
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    found = rows.mapInArrow(run, "a long, b long, gap long")
+    if nearest:
+        found = found.groupBy("a").agg(F.min(F.struct("gap", "b")).alias("m")).select("a", "m.b")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
@@ -469,34 +472,30 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     sent = docs.mapInArrow(_map_side(width, percent, parts, ends, schemes),
                            f"part int, kind int, key {kind}, n long, id long, payload binary")
     found = staged(sent.repartition(parts, "part").mapInArrow(
-        _reduce_side(percent), f"kind int, key {kind}, n long, id long, sketch binary, center long, members array<long>"),
+        _reduce_side(), f"kind int, key {kind}, n long, id long, sketch binary, center long, members array<long>"),
         "join-found", "kind")
     rows = found.where("kind = 1").select("key", "n", "id", "sketch")
     sets = staged(rows.where("id is not null").groupBy("id").agg(
         F.min("key").alias("rep"), F.max("n").alias("n"), F.max("sketch").alias("sketch")), "join-sets")
-    edges = staged(found.where("kind = 2").select(F.col("center").alias("a"), F.explode("members").alias("b")).distinct(), "join-edges")
+    edges = staged(found.where("kind = 2").select(F.col("center").alias("a"), F.explode("members").alias("b")).distinct(),
+                   "join-edges")
     may = _may_link(percent)
 
     def likely(pairs: DataFrame) -> DataFrame:
         x, y = (sets.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in "ab")
         return pairs.join(x, "a").join(y, "b").where(may("sa", "sb", "na", "nb")).select("a", "b")
 
-    near = staged(likely(edges), "join-near")
-    tried = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")  # one center for each set
-    links = staged(_verify(tried, docs, sets, width, percent), "join-links")
-    roots = components(links, "join-first")
-    # whatever shares a key but no component yet
-    rest = _residual(found.where("kind = 3").select(F.col("center").alias("gid"), "members"), sets, roots, percent)
-    r1, r2 = (roots.select(F.col("id").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
-    apart = (near.join(r1, "a", "left").join(r2, "b", "left")
-             .where(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = staged(rest.unionByName(apart).distinct().join(done, ["a", "b"], "left_anti"), "join-rest")
-    if not rest.isEmpty():
-        more = staged(_verify(rest, docs, sets, width, percent), "join-more")
-        if not more.isEmpty():
-            roots = components(links.unionByName(more), "join-all")
+    # each set and the smallest one that it shares a key with
+    first = staged(likely(edges.groupBy("b").agg(F.min("a").alias("a"))), "join-first")
+    links = staged(_verify(first, docs, sets, width, percent), "join-links")
+    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    roots = components(links, "join-roots")
+    for nearest in (True, False):
+        rest = staged(_residual(edges, sets, roots, percent, nearest).join(tried, ["a", "b"], "left_anti"), "join-rest")
+        if not rest.isEmpty():
+            tried = tried.unionByName(rest)
+            links = links.unionByName(staged(_verify(rest, docs, sets, width, percent), "join-more"))
+            roots = components(links, "join-roots")
     named = sets.join(roots, "id", "left").select("id", "rep", F.coalesce("root", "id").alias("root"))
     smallest = named.groupBy("root").agg(F.min("rep").alias("component"))
     named = named.join(smallest, "root").select("id", "component")
