@@ -112,8 +112,14 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     with the smallest key hashes, outside the held-out fifth."""
     rows = docs.select(F.col(key).alias("k"), F.col(lang).alias("y"), F.col(text).alias("t"))
     known = rows.where(F.col("y").isNotNull() & F.col("k").isNotNull() & F.col("t").isNotNull() & ~held_out(F.col("k")))
-    first = Window.partitionBy("y").orderBy(F.xxhash64("k"), "k")
-    chosen = (known.select("k", "y").withColumn("nr", F.row_number().over(first)).where(F.col("nr") <= per_language)
+    # only about twice as many rows of a language as asked for are ranked, however many there are
+    counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}  # one row a language
+    share = F.lit(1.0)
+    for name, n in counts.items():
+        share = F.when(F.col("y") == name, min(1.0, 2 * per_language / n)).otherwise(share) if n > 2 * per_language else share
+    early = F.shiftrightunsigned(F.xxhash64("k"), 11).cast("double") / float(1 << 53) < share
+    first = Window.partitionBy("y").orderBy(F.shiftrightunsigned(F.xxhash64("k"), 11), "k")
+    chosen = (known.select("k", "y").where(early).withColumn("nr", F.row_number().over(first)).where(F.col("nr") <= per_language)
               .select("k", "y").distinct())
     vectors = _vectors(known.join(F.broadcast(chosen), ["k", "y"]))  # at most per_language rows a language
     seen: dict[str, int] = {}
@@ -133,7 +139,7 @@ def _vectors(rows: DataFrame) -> DataFrame:
             f = f.assign(v=[None if x is None else x.astype(np.float16).tobytes() for x in v])
             yield f[f["v"].notna()][["k", "y", "h", "v"]]
     key = rows.schema["k"].dataType.simpleString()
-    return rows.withColumn("h", F.xxhash64("k")).mapInPandas(run, f"k {key}, y string, h long, v binary")
+    return rows.withColumn("h", F.shiftrightunsigned(F.xxhash64("k"), 11)).mapInPandas(run, f"k {key}, y string, h long, v binary")
 
 
 def predictor(model: Model) -> Callable[[Column], Column]:
