@@ -4,10 +4,3 @@ Ten operators over ``documents``, ``pages``, ``labels`` and ``conversations``.
 else in the library imports this subpackage.  ``queries.py`` registers one thin query
 per operator, ``oracle.py`` holds the SQL twins of those that SQL can express.
 """
-
-import sys
-
-from pyspark import cloudpickle
-
-# task functions travel by value: workers need not have this package on their path
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

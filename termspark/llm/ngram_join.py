@@ -40,10 +40,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import located, staged, workers
+from .common import arrow_rows, located, staged, workers
 
 WIDTH, PERCENT = 5, 75
-CHUNK_SHINGLES, CHUNK_SETS = 1_000_000, 60_000
+CHUNK_SHINGLES, CHUNK_SETS = 500_000, 60_000
+ARROW_ROWS = 2000
 KEYS_PER_ROW = 4096
 BLOCK = 2048
 #: cost model: cost of a chance pair (one comparison of sketches, tens of nanoseconds) in keys (hashed, sent and
@@ -456,6 +457,11 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     there; an empty table gives no rows; other columns are ignored.  Sets are told apart
     by a 64-bit digest of their hashed shingles.
     """
+    with arrow_rows(docs.sparkSession, ARROW_ROWS):
+        return _join(docs, key, text, width, percent)
+
+
+def _join(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     ends = bands(percent=percent)
