@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 11
 PER_LANGUAGE = 1000
 UNKNOWN = "und"
-#: a text whose best language scores less is taken for noise
-MIN_SCORE = 0.2
 FAMILIES = {"en": "germanic", "de": "germanic", "nl": "germanic", "sv": "germanic", "da": "germanic", "no": "germanic",
             "fr": "romance", "es": "romance", "it": "romance", "pt": "romance", "ro": "romance", "ca": "romance",
             "ru": "slavic", "uk": "slavic", "pl": "slavic", "cs": "slavic", "sk": "slavic", "bg": "slavic"}
@@ -155,16 +153,16 @@ def predictor(model: Model) -> Callable[[Column], Column]:
 
 
 def accepted(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-             min_score: float = MIN_SCORE, model: Model | None = None) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that have a language: not ``und``,
-    and a score of at least ``min_score``."""
+             model: Model | None = None) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that have a language: only ``und`` is
+    rejected (null texts and texts without letters), whatever the score of the others."""
     model = model or fit(docs, key, text, lang)
 
     @F.pandas_udf("boolean")
     def accept(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             vectors = [features(t) if t else None for t in texts]
-            yield pd.Series([v is not None and model.predict(v)[1] >= min_score for v in vectors], dtype=bool)
+            yield pd.Series([v is not None and model.predict(v)[0] != UNKNOWN for v in vectors], dtype=bool)
     return docs.where(accept(F.col(text).cast("string")))
 
 

@@ -230,6 +230,19 @@ def test_language_odd_rows(spark, odd_rows):
     assert langid.identify(df.limit(0)).count() == 0
 
 
+def test_only_und_is_rejected(spark, odd_rows):
+    """A low score is no reason to drop a text; texts without letters go."""
+    model = langid.Model(np.zeros((2, langid.BUCKETS), dtype=np.float32), ["en", "fr"])
+    low = np.zeros(langid.BUCKETS + 1, dtype=np.float32)
+    low[-1] = -1
+    model.top = [low, low]
+    df = make(spark, [(i, t, lang, s) for i, t, lang, s in odd_rows if i is not None])
+    scored = langid.identify(df, model=model).collect()
+    assert max(r.score for r in scored) < 0.2
+    stays = Counter(r.doc_id for r in langid.accepted(df, model=model).collect())
+    assert stays == Counter(i for i, t, *_ in odd_rows if i is not None and any(c.isalpha() for c in t or ""))
+
+
 def test_language_held_out_accuracy(spark, small_dir):
     df = spark.read.parquet(f"{small_dir}/documents.parquet")
     rows = langid.identify(df).join(df.select("doc_id", "lang"), "doc_id").where("held_out and lang_pred != 'und'").collect()
