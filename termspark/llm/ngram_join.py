@@ -44,6 +44,8 @@ from .common import arrow_rows, located, staged, workers
 
 WIDTH, PERCENT = 5, 75
 CHUNK_SHINGLES, CHUNK_SETS = 500_000, 60_000
+#: keys of a part, which one task holds at a time (about 80 bytes a key while they are sorted)
+KEYS_PER_PART = 2_000_000
 ARROW_ROWS = 2000
 KEYS_PER_ROW = 4096
 BLOCK = 2048
@@ -154,6 +156,16 @@ def index_keys(h: np.ndarray, ends: list[int], schemes: list[tuple[int, int, int
     return np.unique(np.concatenate(out)) if out else np.zeros(0, dtype=np.uint64)
 
 
+def key_parts(ends: list[int], counts: dict[int, int], schemes: list[tuple[int, int, int]], least: int) -> int:
+    """Parts of at most about ``KEYS_PER_PART`` keys, ``least`` at least: a set has up to a
+    key for each segment of its two schemes, and at level 2 one for each element."""
+    keys = 0
+    for k, docs in counts.items():
+        for m, _, two in schemes[max(0, k - 1):k + 1]:
+            keys += docs * (m + (ends[k + 1] - 1 if two < 1 << 60 else 0))
+    return max(least, -(-keys // KEYS_PER_PART))
+
+
 def set_id(h: np.ndarray) -> int:
     """64-bit digest of a set as a signed integer."""
     x = xxhash.xxh3_64_intdigest(h.tobytes())
@@ -189,19 +201,18 @@ def _map_side(width: int, percent: int, parts: int, ends: list[int], schemes: li
 
         def blocks() -> Iterator[pa.RecordBatch]:
             key, own = np.concatenate(keys), np.concatenate(owner)
-            part = (key >> np.uint64(48)).astype(np.int64) * parts >> 16
+            part = ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             key, own, cut = key[order], own[order], np.searchsorted(part[order], np.arange(parts + 1))
             sid = np.fromiter(ids, dtype=np.uint64, count=len(ids))
             rows, where = [], []
-            for p in range(parts):
+            for p in np.flatnonzero(np.diff(cut)).tolist():
                 k, o = key[cut[p]:cut[p + 1]], own[cut[p]:cut[p + 1]]
-                if len(k):
-                    have, o = np.unique(o, return_inverse=True)
-                    rows.append(np.array([len(have), len(k)], dtype="<i8").tobytes() + sid[have].tobytes()
-                                + (k & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (k >> np.uint64(32) & np.uint64(0xFFFF)).astype("<u2").tobytes()
-                                + o.astype("<u2").tobytes())
-                    where.append(p)
+                have, o = np.unique(o, return_inverse=True)
+                rows.append(np.array([len(have), len(k)], dtype="<i8").tobytes() + sid[have].tobytes()
+                            + (k & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (k >> np.uint64(32) & np.uint64(0xFFFF)).astype("<u2").tobytes()
+                            + o.astype("<u2").tobytes())
+                where.append(p)
             for lo in range(0, len(rows), 32):
                 n = len(rows[lo:lo + 32])
                 yield pa.RecordBatch.from_arrays([
@@ -274,10 +285,25 @@ def _shared(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _reduce_side() -> Callable:
+    """Rows come sorted by part; the key blocks of one part are held at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["kind", "key", "n", "id", "sketch", "center", "members"]
-        blobs: dict[int, list[bytes]] = {}
-        key_type = None
+        blobs: list[bytes] = []
+        at, key_type = None, None
+
+        def gatherings() -> Iterator[pa.RecordBatch]:
+            center, member = _shared(blobs)
+            blobs.clear()
+            rows = [(2, int(c), m) for c, m in _runs(center, member)]
+            for lo in range(0, len(rows), 256):
+                some = rows[lo:lo + 256]
+                n = len(some)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([k for k, *_ in some], pa.int32()), pa.nulls(n, key_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+                    pa.nulls(n, pa.binary()), pa.array(np.array([c for _, c, _ in some], dtype=np.uint64).view(np.int64)),
+                    pa.ListArray.from_arrays(np.cumsum([0] + [len(m) for *_, m in some]).astype(np.int32),
+                                             np.concatenate([m for *_, m in some]).view(np.int64))], names=names)
+
         for batch in batches:
             key_type = batch.schema.field(2).type
             kind = batch.column(1).to_numpy()
@@ -287,17 +313,12 @@ def _reduce_side() -> Callable:
                 yield pa.RecordBatch.from_arrays([docs.column(1), docs.column(2), docs.column(3), docs.column(4), docs.column(5),
                                                   pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))], names=names)
             for i in np.flatnonzero(kind == 0):
-                blobs.setdefault(batch.column(0)[i].as_py(), []).append(batch.column(5)[i].as_py())
-        for part in sorted(blobs):
-            rows = [(2, int(c), m) for c, m in _runs(*_shared(blobs.pop(part)))]
-            for lo in range(0, len(rows), 256):
-                some = rows[lo:lo + 256]
-                n = len(some)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([k for k, *_ in some], pa.int32()), pa.nulls(n, key_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-                    pa.nulls(n, pa.binary()), pa.array(np.array([c for _, c, _ in some], dtype=np.uint64).view(np.int64)),
-                    pa.ListArray.from_arrays(np.cumsum([0] + [len(m) for *_, m in some]).astype(np.int32),
-                                             np.concatenate([m for *_, m in some]).view(np.int64))], names=names)
+                part = batch.column(0)[i].as_py()
+                if part != at:
+                    yield from gatherings()
+                    at = part
+                blobs.append(batch.column(5)[i].as_py())
+        yield from gatherings()
     return run
 
 
@@ -473,11 +494,11 @@ def _join(docs: DataFrame, key: str, text: str, width: int, percent: int) -> Dat
         k = int(np.searchsorted(ends, max(1, round(math.exp((r["band"] + 0.5) / 8))), side="right")) - 1
         counts[k] = counts.get(k, 0) + r["count"]
     schemes = allocate(ends, counts, percent)
-    parts = min(workers(spark), 1 << 16)
+    parts = key_parts(ends, counts, schemes, workers(spark))
     kind = docs.schema["key"].dataType.simpleString()
     sent = docs.mapInArrow(_map_side(width, percent, parts, ends, schemes),
                            f"part int, kind int, key {kind}, n long, id long, payload binary")
-    found = staged(sent.repartition(parts, "part").mapInArrow(
+    found = staged(sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
         _reduce_side(), f"kind int, key {kind}, n long, id long, sketch binary, center long, members array<long>"),
         "join-found", "kind")
     rows = found.where("kind = 1").select("key", "n", "id", "sketch")

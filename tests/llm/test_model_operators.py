@@ -6,6 +6,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 import corpus_pipeline
@@ -108,6 +110,47 @@ def test_blocks_of_large_groups(spark, monkeypatch):
     assert joined(make(spark, rows)) == plain_join(rows)
 
 
+def test_parts_grow_with_the_table(spark, monkeypatch):
+    """A part keeps its number of keys, however large the table is."""
+    ends = ngram_join.bands()
+    schemes = ngram_join.allocate(ends, {})
+    text = " ".join(f"w{i}" for i in range(504))
+    h = ngram_join.shingles(text)
+    band = int(np.searchsorted(ends, len(h), side="right")) - 1
+    keys = len(ngram_join.index_keys(h, ends, schemes))
+    for docs in (10, 10 ** 7, 10 ** 9):
+        parts = ngram_join.key_parts(ends, {band: docs}, schemes, 8)
+        assert parts >= 8 and docs * keys / parts <= ngram_join.KEYS_PER_PART
+    monkeypatch.setattr(ngram_join, "KEYS_PER_PART", 300)
+    rows = near_rows(11, 120)
+    assert joined(make(spark, rows)) == plain_join(rows)
+
+
+def test_one_part_is_held_at_a_time():
+    """What a part has found is handed on before the next but one batch is asked for."""
+    ends = ngram_join.bands()
+    schemes = ngram_join.allocate(ends, {})
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(words), " ".join(words[:150] + ["x"] + words[151:])]
+    docs = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(texts)], names=["key", "text"])
+    sent = pa.Table.from_batches(list(ngram_join._map_side(5, 75, 6, ends, schemes)(iter([docs]))))
+    blocks = sent.filter(pc.equal(sent["kind"], 0)).sort_by("part").combine_chunks().to_batches(max_chunksize=1)
+    assert len(blocks) == 6
+    asked = []
+
+    def feed():
+        for b in blocks:
+            asked.append(b)
+            yield b
+
+    found = ngram_join._reduce_side()(feed())
+    first = next(found)
+    assert first.num_rows and len(asked) < len(blocks)
+    pairs = [first, *found]
+    assert {(r["center"], *r["members"]) for b in pairs for r in b.to_pylist()} == {
+        tuple(sorted((ngram_join.set_id(ngram_join.shingles(t)) for t in texts), key=lambda x: x % (1 << 64)))}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     out = {r.id: r.root for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
