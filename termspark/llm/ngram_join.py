@@ -45,7 +45,7 @@ from .common import arrow_rows, located, staged, workers
 WIDTH, PERCENT = 5, 75
 CHUNK_SHINGLES, CHUNK_SETS = 500_000, 60_000
 #: keys of a part, which one task holds at a time (about 80 bytes a key while they are sorted)
-KEYS_PER_PART = 2_000_000
+KEYS_PER_PART = 1_000_000
 ARROW_ROWS = 2000
 KEYS_PER_ROW = 4096
 BLOCK = 2048
