@@ -331,16 +331,24 @@ def path_hierarchy(spark, sf_dir):
 _INDEXES: dict[tuple[str, str], tuple] = {}
 
 
+def input_fingerprint(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """Count and combined hash of the names, sizes and modification times of all files
+    below a folder; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf_dir)
+    return tuple(files.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
+
+
 def persisted_index(spark: SparkSession, sf_dir: str):
     """(tables, documents, positions, index) of a data folder: built and written once
-    for an application, then read by every retrieval query."""
+    for an application and state of the folder's files, then read by every retrieval query."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _INDEXES:
+    state = input_fingerprint(spark, sf_dir)
+    if _INDEXES.get(key, (None,))[0] != state:
         docs = cut_lineage(documents.build(Tables(spark, sf_dir)), "documents")
         positions = search.positional_postings(docs)
         idx = cut_lineage(search.index(docs, positions=positions), "index")
-        _INDEXES[key] = (docs, positions, idx)
-    return Tables(spark, sf_dir), *_INDEXES[key]
+        _INDEXES[key] = (state, docs, positions, idx)
+    return Tables(spark, sf_dir), *_INDEXES[key][1:]
 
 
 def _search_inputs(spark, sf_dir):

@@ -79,3 +79,19 @@ def test_expand_tokens_group_and_rewrite(spark):
     assert got[1] == {"acute", "heart", "attack", "myocardial", "infarction"}  # multi-word group member matched
     assert got[2] == {"old", "myocardial", "infarction"}                       # 'mi' rewritten away
     assert got[3] == {"nothing"}
+
+
+def test_index_follows_its_input(spark, small_dir, tmp_path, monkeypatch):
+    """A table replaced in the folder is searched; an unchanged folder is not indexed again."""
+    import shutil
+    from termspark.plans import registry
+    folder = f"{tmp_path}/data"
+    shutil.copytree(small_dir, folder)
+    monkeypatch.setattr(registry.documents, "build", lambda t: t.part.select(F.col("p_partkey").alias("concept_id")))
+    monkeypatch.setattr(registry.search, "positional_postings", lambda docs: docs)
+    monkeypatch.setattr(registry.search, "index", lambda docs, positions: docs)
+    before = registry.persisted_index(spark, folder)[3]
+    assert registry.persisted_index(spark, folder)[3] is before
+    more = spark.read.parquet(f"{small_dir}/part.parquet").withColumn("p_partkey", F.col("p_partkey") + 10 ** 6)
+    more.write.mode("overwrite").parquet(f"{folder}/part.parquet")
+    assert registry.persisted_index(spark, folder)[3].agg(F.min("concept_id")).first()[0] >= 10 ** 6
