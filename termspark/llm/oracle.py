@@ -66,4 +66,18 @@ FROM b LEFT JOIN z ON b.lang IS NOT DISTINCT FROM z.lang AND b.source IS NOT DIS
 """
 
 
-ORACLE = {"op2_exact_dedup": SHA256, "op3_chat_format": CHAT, "op9_quality_rules": _quality()}
+NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, v.vec_id AS id, a.label = v.label AS same, list_dot_product(a.q, v.q)::BIGINT AS score
+      FROM v AS a JOIN v ON a.vec_id % 50 = 0 AND v.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 3
+"""
+
+ORACLE = {"op2_exact_dedup": SHA256, "op3_chat_format": CHAT, "op9_quality_rules": _quality(), "op11_hard_negatives": NEGATIVES}

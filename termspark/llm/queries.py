@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, langid, mixing, ngram_join, ordinal_quality, packing, quality_rules, sharding, url_filter
+from . import (alignment, chat, exact_dedup, hard_negatives, langid, mixing, ngram_join, ordinal_quality, packing, quality_rules,
+               sharding, token_counts, url_filter)
 from .common import documents
 
 
@@ -57,6 +58,26 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", noisy), F.col("vec_id") % 50 == 0)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    found = alignment.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"))
+    sha = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", sha.alias("groups_sha256"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return (token_counts.count(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+            .select("doc_id", "n_bytes", "n_tokens", "over_limit"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_exact_dedup, op3_chat_format, op4_packing, op5_url_filter, op6_mixing, op7_language_id,
-    op8_quality_classifier, op9_quality_rules, op10_sharding)}
+    op8_quality_classifier, op9_quality_rules, op10_sharding, op11_hard_negatives, op12_token_alignment, op13_token_counts)}
