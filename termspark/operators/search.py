@@ -8,8 +8,9 @@ optional boost multiplies, an optional filter restricts the documents, and the
 top k per label are kept with a window ``row_number() <= k`` (planned as a
 per-partition group limit before the shuffle).
 
-Scoring is exhaustive: every document sharing a token with a label is scored,
-no candidate cap.  Identical label texts are scored once and joined back.
+No candidate cap: rankings by text alone read only the postings that can still reach
+rank k (``topk``: exact score bounds); boosted rankings, counts and facets score every
+document that shares a token.  Identical label texts are scored once and joined back.
 BM25 (k1 1.2, b 0.75): idf = ln(1 + (N - df + 0.5)/(df + 0.5)),
 weight = idf * tf / (tf + k1 * (1 - b + b * dl / avgdl)), N and avgdl per field.
 """
@@ -24,6 +25,7 @@ from pyspark.sql.types import ArrayType
 
 from ..functions import text as tx
 from ..functions.plan_tools import analysis_partitions, cut_lineage, spread
+from . import topk
 
 K1 = 1.2
 B = 0.75
@@ -127,15 +129,6 @@ def index(docs: DataFrame, groups: Iterable[str] = tuple(GROUP_FIELDS), protecte
 
 
 # ------------------------------------------------------------------ query
-def _weight(weights: Mapping[str, float]) -> Column:
-    if not weights:
-        return F.lit(1.0)
-    expr = F.lit(1.0)
-    for base, w in weights.items():
-        expr = F.when(F.col("field_base") == base, F.lit(float(w))).otherwise(expr)
-    return expr
-
-
 def query_tokens(qtexts: DataFrame, key: str, groups: Mapping[str, str], protected: Iterable[str] = (),
                  expansions: DataFrame | None = None) -> DataFrame:
     """(key, group, token, qtf) for each group whose text column is set, all
@@ -161,16 +154,7 @@ def text_scores(qtexts: DataFrame, key: str, idx: DataFrame, groups: Mapping[str
     """(key, concept_id, score): dismax over the fields of a group, summed over
     query terms (times their count) and over groups."""
     qt = query_tokens(qtexts, key, groups, protected, expansions)
-    ix = idx.filter(F.col("group").isin(list(groups))).select("group", "field", "token", "concept_id", "bm25")
-    ix = ix.withColumn("field_base", F.regexp_replace("field", "_(en|fr|fr_en)$", ""))
-    ix = ix.withColumn("fscore", F.col("bm25") * _weight(weights or {}))
-    # the token join multiplies rows; split the (small) query side so the
-    # probe runs on every core whichever side AQE decides to broadcast
-    qt = qt.repartition(analysis_partitions(qt))
-    hits = qt.join(ix, ["group", "token"])
-    per_term = hits.groupBy(key, "concept_id", "group", "token").agg(
-        (F.max("fscore") * F.first("qtf")).alias("ts"))
-    return per_term.groupBy(key, "concept_id").agg(F.sum("ts").alias("score"))
+    return topk.all_scores(qt, key, topk.fold(idx, groups, weights))
 
 
 # ------------------------------------------------------------------ boosts
@@ -232,25 +216,36 @@ def _label_keys(queries: DataFrame, groups: Mapping[str, str], boost: str | None
     return queries.withColumn("_qk", F.struct(*fields)), text_cols
 
 
-def key_scores(keys: DataFrame, idx: DataFrame, docs: DataFrame | None, groups: Mapping[str, str],
-               text_cols: list[str], weights: Mapping[str, float] | None = None, boost: str | None = None,
+def _numbered(labeled: DataFrame, text_cols: list[str], id_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Scoring keys and label texts by number, so that hits carry numbers and no texts:
+    labels (id, _qk), keys (_qk, _ti, boost inputs), texts (_ti, text columns)."""
+    keys = cut_lineage(labeled.select(F.col("_qk").alias("_key")).distinct().withColumn("_qk", F.monotonically_increasing_id()), "keys")
+    texts = cut_lineage(keys.select("_key._tk").distinct().withColumn("_ti", F.monotonically_increasing_id()), "texts")
+    labels = labeled.select(id_col, F.col("_qk").alias("_key")).join(keys, "_key").select(id_col, "_qk")
+    keys = keys.select("_qk", "_key.*").join(texts, "_tk").drop("_tk")
+    return labels, keys, texts.select("_ti", *[F.when(F.col(f"_tk.{c}") != "\u0000", F.col(f"_tk.{c}")).alias(c) for c in text_cols])
+
+
+def key_scores(keys: DataFrame, texts: DataFrame, idx: DataFrame, docs: DataFrame | None, groups: Mapping[str, str],
+               weights: Mapping[str, float] | None = None, boost: str | None = None,
                doc_filter: Column | None = None, protected: Iterable[str] = (),
-               expansions: DataFrame | None = None) -> DataFrame:
-    """(_qk, concept_id, score) for distinct scoring keys."""
-    keys = keys.select("_qk", F.col("_qk._tk").alias("_tk"))
-    qtexts = keys.select("_tk").distinct().select(
-        "_tk", *[F.when(F.col(f"_tk.{c}") != "\u0000", F.col(f"_tk.{c}")).alias(c) for c in text_cols])
-    hits = text_scores(qtexts, "_tk", idx, groups, weights, protected, expansions)
+               expansions: DataFrame | None = None, best: int | None = None) -> DataFrame:
+    """(_qk, concept_id, score) for distinct scoring keys: every hit, or with ``best`` those
+    that can be among so many first ones (a boosted ranking needs every hit)."""
+    if docs is None and (doc_filter is not None or boost is not None):
+        raise ValueError("docs are needed for filters and boosts")
     if doc_filter is not None:
-        if docs is None:
-            raise ValueError("docs are needed for filters")
-        hits = hits.join(docs.filter(doc_filter).select("concept_id"), "concept_id", "left_semi")
-    hits = keys.join(hits, "_tk")
+        idx = idx.join(docs.filter(doc_filter).select("concept_id"), "concept_id", "left_semi")
+    qt = query_tokens(texts, "_ti", groups, protected, expansions)
+    postings = topk.fold(idx, groups, weights)
+    if best is not None and boost is None:
+        hits = topk.best(qt, "_ti", postings, best)
+    else:
+        hits = topk.all_scores(qt, "_ti", postings)
+    hits = keys.join(hits, "_ti")
     if boost is not None:
-        if docs is None:
-            raise ValueError("docs are needed for boosts")
         hits = hits.join(docs.select("concept_id", "value_avg", "frequency"), "concept_id")
-        hits = hits.withColumn("score", F.col("score") * boost_expr(boost, F.col("_qk._q_v"), F.col("_qk._q_f")))
+        hits = hits.withColumn("score", F.col("score") * boost_expr(boost, F.col("_q_v"), F.col("_q_f")))
     return hits.select("_qk", "concept_id", "score")
 
 
@@ -258,14 +253,14 @@ def scores(queries: DataFrame, idx: DataFrame, docs: DataFrame | None = None, *,
            groups: Mapping[str, str] | None = None, weights: Mapping[str, float] | None = None,
            boost: str | None = None, value_col: str = "value_avg", frequency_col: str = "frequency",
            doc_filter: Column | None = None, protected: Iterable[str] = (),
-           expansions: DataFrame | None = None, by_key: bool = False):
+           expansions: DataFrame | None = None, by_key: bool = False, best: int | None = None):
     """All hits: (query_id, concept_id, score).  With ``by_key`` returns
-    (label map (query_id, _qk), hits per scoring key (_qk, concept_id, score))."""
+    (label map (query_id, _qk), hits per scoring key (_qk, concept_id, score)); with
+    ``best`` only the hits that can be among so many first ones."""
     groups = dict(groups or {g: "text" for g in GROUP_FIELDS})
     labeled, text_cols = _label_keys(queries, groups, boost, value_col, frequency_col)
-    label_map = labeled.select(id_col, "_qk")
-    hits = key_scores(label_map.select("_qk").distinct(), idx, docs, groups, text_cols, weights, boost,
-                      doc_filter, protected, expansions)
+    label_map, keys, texts = _numbered(labeled, text_cols, id_col)
+    hits = key_scores(keys, texts, idx, docs, groups, weights, boost, doc_filter, protected, expansions, best)
     if by_key:
         return label_map, hits
     return label_map.join(hits, "_qk").select(id_col, "concept_id", "score")
@@ -289,7 +284,7 @@ def rank(queries: DataFrame, idx: DataFrame, docs: DataFrame | None = None, *, k
 
     Ranked once per scoring key; the k rows are then attached to every label
     with that key."""
-    label_map, hits = scores(queries, idx, docs, id_col=id_col, by_key=True, **kw)
+    label_map, hits = scores(queries, idx, docs, id_col=id_col, by_key=True, best=k * page, **kw)
     out = label_map.join(top_k(hits, k, page, "_qk"), "_qk")
     fields = list(fields)
     if fields:
@@ -398,7 +393,7 @@ def phrase_scores(qtexts: DataFrame, key: str, docs: DataFrame, idx: DataFrame,
     idf = sum((F.col(f"idf{i}") for i in range(1, size)), F.col("idf0"))
     norm = F.col("freq") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
     s = s.withColumn("field_base", F.regexp_replace("field", "_(en|fr|fr_en)$", ""))
-    s = s.withColumn("ps", _weight(weights) * idf * F.col("freq") / norm)
+    s = s.withColumn("ps", topk.weight(weights) * idf * F.col("freq") / norm)
     per_sh = s.groupBy(key, "group", "sh", "concept_id").agg(F.max("ps").alias("ps"))
     return per_sh.groupBy(key, "concept_id").agg(F.sum("ps").alias("pscore"))
 
@@ -412,15 +407,12 @@ def rank_with_phrases(queries: DataFrame, idx: DataFrame, docs: DataFrame, *, k:
     phrase are term matches too, so the term hits are the candidate set)."""
     groups = dict(groups or {g: "text" for g in GROUP_FIELDS})
     labeled, text_cols = _label_keys(queries, groups, None, "", "")
-    label_map = labeled.select(id_col, "_qk")
-    keys = label_map.select("_qk").distinct().select("_qk", F.col("_qk._tk").alias("_tk"))
-    qtexts = keys.select("_tk").distinct().select(
-        "_tk", *[F.when(F.col(f"_tk.{c}") != "\u0000", F.col(f"_tk.{c}")).alias(c) for c in text_cols])
-    ts = text_scores(qtexts, "_tk", idx, groups, weights)
-    ps = phrase_scores(qtexts, "_tk", docs, idx, groups, phrase_weights, slop, positions=positions)
-    both = ts.join(ps, ["_tk", "concept_id"], "left").select(
-        "_tk", "concept_id", (F.col("score") + F.coalesce(F.col("pscore"), F.lit(0.0))).alias("score"))
-    hits = keys.join(both, "_tk").select("_qk", "concept_id", "score")
+    label_map, keys, texts = _numbered(labeled, text_cols, id_col)
+    ts = text_scores(texts, "_ti", idx, groups, weights)
+    ps = phrase_scores(texts, "_ti", docs, idx, groups, phrase_weights, slop, positions=positions)
+    both = ts.join(ps, ["_ti", "concept_id"], "left").select(
+        "_ti", "concept_id", (F.col("score") + F.coalesce(F.col("pscore"), F.lit(0.0))).alias("score"))
+    hits = keys.join(both, "_ti").select("_qk", "concept_id", "score")
     out = label_map.join(top_k(hits, k, page, "_qk"), "_qk")
     return out.select(id_col, "rank", "concept_id", "score")
 
@@ -536,14 +528,10 @@ def rank_expanded(queries: DataFrame, idx: DataFrame, *, lang_group: str = "en",
     Each distinct label text is expanded (group / rewrite rules) and scored once
     (dismax over the group's fields, each expanded token counted once), then
     ranked and attached to every label with that text."""
-    texts = queries.select(text_col).filter(F.col(text_col).isNotNull()).distinct()
-    toks = expand_tokens(texts, text_col, text_col, GROUP_LANG[lang_group], groups=groups, rewrites=rewrites,
-                         protected=protected)
-    qt = toks.select(text_col, F.lit(lang_group).alias("group"), "token", F.lit(1).cast("long").alias("qtf"))
-    qt = qt.repartition(analysis_partitions(qt))
-    ix = idx.filter(F.col("group") == lang_group).select("group", "field", "token", "concept_id", "bm25")
-    per_term = qt.join(ix, ["group", "token"]).groupBy(text_col, "concept_id", "token").agg(
-        F.max("bm25").alias("ts"))
-    hits = per_term.groupBy(text_col, "concept_id").agg(F.sum("ts").alias("score"))
-    top = top_k(hits, k, page, text_col)
+    texts = cut_lineage(queries.select(text_col).filter(F.col(text_col).isNotNull()).distinct()
+                        .withColumn("_ti", F.monotonically_increasing_id()), "texts")
+    toks = expand_tokens(texts, "_ti", text_col, GROUP_LANG[lang_group], groups=groups, rewrites=rewrites, protected=protected)
+    qt = toks.select("_ti", F.lit(lang_group).alias("group"), "token", F.lit(1).cast("long").alias("qtf"))
+    hits = topk.best(qt, "_ti", topk.fold(idx, [lang_group]), k * page)
+    top = top_k(hits, k, page, "_ti").join(texts, "_ti")
     return queries.select(id_col, text_col).join(top, text_col).select(id_col, "rank", "concept_id", "score")
