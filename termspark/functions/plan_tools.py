@@ -25,16 +25,11 @@ def cut_lineage(df: DataFrame, name: str = "frame") -> DataFrame:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition when ``df`` has fewer partitions than the cluster
-    has cores (e.g. one large Parquet row group); a no-op for inputs that are
-    already split, which is the normal case on a cluster.  Used in front of
-    CPU-heavy per-row work such as text analysis."""
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the plan as it is
-        return df
-    return df.repartition(n) if have < n else df
+    """Round-robin repartition of a frame that reads fewer files than the cluster has
+    cores; a no-op for inputs of many files, which is the normal case on a cluster.  Used
+    in front of CPU-heavy per-row work such as text analysis."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if len(df.inputFiles()) < n else df
 
 
 def analysis_partitions(df: DataFrame) -> int:

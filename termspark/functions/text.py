@@ -233,10 +233,11 @@ def reversed_tokens(toks: Column) -> Column:
 
 
 def path_prefixes(path: Column, delimiter: str = "/") -> Column:
-    """Path hierarchy: '/a/b/c' -> ['/a', '/a/b', '/a/b/c']."""
+    """Path hierarchy: '/a/b/c' -> ['/a', '/a/b', '/a/b/c']; a path without parts has none."""
     parts = F.filter(F.split(path, re.escape(delimiter)), lambda x: x != "")
-    return F.transform(F.sequence(F.lit(1), F.size(parts)),
-                       lambda i: F.concat(F.lit(delimiter), F.array_join(F.slice(parts, 1, i), delimiter)))
+    steps = F.transform(F.sequence(F.lit(1), F.size(parts)),
+                        lambda i: F.concat(F.lit(delimiter), F.array_join(F.slice(parts, 1, i), delimiter)))
+    return F.when(F.size(parts) > 0, steps).otherwise(F.array().cast("array<string>"))
 
 
 def url_path(url: Column) -> Column:

@@ -130,17 +130,23 @@ def read_codes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_synonym_rules(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Synonym rule file -> (groups, rewrites).
+    """Synonym rule files -> (groups, rewrites).
 
     ``a, b, c`` is a group (group_key, member), ``x, y => z`` rewrites each left term
-    (term, replacement); ``#`` starts a comment; blank lines and groups of one are skipped."""
-    lines = spark.read.text(path).select(F.trim(F.regexp_replace("value", "#.*$", "")).alias("line")).filter("line <> ''")
-    arrow = F.instr("line", "=>") > 0
-    terms = lambda c: F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: x != "")
-    groups = (lines.filter(~arrow).select(F.sha2("line", 256).alias("group_key"), F.array_distinct(terms(F.col("line"))).alias("m"))
-              .filter(F.size("m") > 1).select("group_key", F.explode("m").alias("member")).distinct())
-    sides = lines.filter(arrow).select(F.split("line", "=>", 2).alias("s"))
-    rewrites = (sides.select(F.explode(terms(F.get("s", 0))).alias("term"), terms(F.get("s", 1)).alias("r"))
+    (term, replacement); ``#`` starts a comment; blank lines and groups of one are skipped.
+    A backslash takes the character behind it as it is (``\\,``, ``\\=>``, ``\\#``).  Each line
+    is a group of its own, equal lines too: its key is the file and the line's place in it,
+    so a file, which is a hand-kept dictionary, is read by one task."""
+    files = spark.read.option("wholetext", "true").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = files.select("file", F.posexplode(F.split("value", "\r?\n")).alias("nr", "line"))
+    lines = lines.select(F.concat_ws(":", "file", "nr").alias("group_key"),
+                         F.trim(F.regexp_replace("line", r"(?<!\\)#.*$", "")).alias("line")).filter("line <> ''")
+    plain = lambda x: F.trim(F.regexp_replace(x, r"\\(.)", "$1"))
+    terms = lambda c: F.filter(F.transform(F.split(c, r"(?<!\\),"), plain), lambda x: x != "")
+    sides = lines.withColumn("s", F.split("line", r"(?<!\\)=>", 2))
+    groups = (sides.filter(F.size("s") == 1).select("group_key", F.array_distinct(terms(F.col("line"))).alias("m"))
+              .filter(F.size("m") > 1).select("group_key", F.explode("m").alias("member")))
+    rewrites = (sides.filter(F.size("s") == 2).select(F.explode(terms(F.get("s", 0))).alias("term"), terms(F.get("s", 1)).alias("r"))
                 .select("term", F.explode("r").alias("replacement")).distinct())
     return groups, rewrites
 

@@ -42,7 +42,8 @@ def test_pushdown_and_pruning(spark, small_dir):
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,fr)]" in p
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in p
     p = plan_text(E.queries()["concept_documents"](spark, small_dir))
-    assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_linenumber:int,l_quantity:double>" in p
+    assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint>" in p  # relations
+    assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in p  # values
 
 
 def test_frequency_classes_use_one_aggregate_for_all_sources(spark, small_dir):

@@ -52,6 +52,9 @@ def test_whitespace_distinct_reversed(spark):
 
 def test_path_prefixes(spark):
     assert one(spark, lambda c: tx.path_prefixes(tx.url_path(c)), "https://h.org/a/b/c?x=1#f") == ["/a", "/a/b", "/a/b/c"]
+    for empty in ("https://h.org/", "https://h.org", "", "//"):
+        assert one(spark, lambda c: tx.path_prefixes(tx.url_path(c)), empty) == []
+    assert one(spark, lambda c: tx.path_prefixes(c), "/") == []
 
 
 def test_payload_tokens(spark):
@@ -67,6 +70,7 @@ def test_stop_lists_and_fold():
     # the English list is the 33 words of the search schema
     assert len(tx.stop_list("en")) == 33 and {"the", "and", "was"} <= set(tx.stop_list("en"))
     assert "meme" in tx.stop_list("fr") and "même" not in tx.stop_list("fr")  # folded list
+    assert {"der", "und", "nicht", "für"} <= set(tx.stop_list("de")) and {"el", "que", "también"} <= set(tx.stop_list("es"))
     assert tx.fold_text("œuvre élève") == "oeuvre eleve"
 
 
