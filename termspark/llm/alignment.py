@@ -28,7 +28,6 @@ vocabularies together could make more than fit: pairs are taken in slices of abo
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,120 +37,170 @@ from pyspark.sql import functions as F
 
 from .common import staged, workers
 from .ngram_join import mix
-from .tokens import WIDE_PART, byte_bpe, kept, runs, sentence_pieces
+from .tokens import SPACE, WIDE_PART, byte_bpe, kept, runs, sentence_pieces
 
 BUCKET_PAIRS = 1 << 16
 SLICE_PAIRS = 1 << 22
 SLOTS_PER_BLOCK = 1 << 16
 FAN_IN = 16
-CACHE_PARTS, CACHED_CHARS = 150_000, 64
-COUNTED_PARTS = 150_000
+#: parts and characters that a task keeps what it learnt of, parts encoded in one call, characters read at a time
+CACHE_PARTS, CACHE_CHARS = 150_000, 16 << 20
+RUN_PARTS, RUN_CHARS = 20_000, 1 << 20
 DONE = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 _LOW = np.int64(0xFFFFFFFF)
 
 
 # ---- alignment of parts ----------------------------------------------------------
 
+class Aligned:
+    """Alignment of a run of parts: arrays by part (n_a, n_b, n_groups, n_links; -1 where a
+    tokenizer changes the part), all links' pairs in order of their parts, and by part the
+    groups as text."""
+
+    def __init__(self, parts: int):
+        self.sizes = np.full((parts, 4), -1, np.int64)
+        self.pairs: list[np.ndarray] = [np.zeros(0, np.int64)] * parts
+        self.groups: list[str] = [""] * parts
+
+
 class Aligner:
-    """Parts of space + text and their tokens: (n_a, n_b, n_groups, pairs, groups), or None
-    where the bytes of a tokenizer's tokens differ from the part."""
+    """Both tokenizers over parts of space + text.  Parts tokenize alone, so a run of them is
+    encoded in one call and cut at their ends."""
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = byte_bpe(path_a), sentence_pieces(path_b)
+        self.bytes_a, self.bytes_b = self.a.bytes_of, self.b.bytes_of
+        top = max(self.bytes_a) + 1
+        self.size_a = np.array([len(self.bytes_a.get(i, b"")) for i in range(top)], dtype=np.int64)
+        self.size_b = np.array(list(map(len, self.bytes_b)), dtype=np.int64)
 
     def split(self, text: str) -> list[str]:
         whole = " " + text
         return WIDE_PART.findall(whole) if self.b.cuts else [whole]
 
-    def align(self, parts: list[str]) -> Iterator[tuple | None]:
-        bytes_a, bytes_b = self.a.bytes_of, self.b.bytes_of
-        for part, b in zip(parts, self.b.ids(parts)):
-            a, data = self.a.ids(part), part.encode()
-            x, y = [bytes_a[i] for i in a], [bytes_b[i] for i in b]
-            yield _links(a, x, b, y) if b"".join(x) == data == b"".join(y) else None
-
+    def align(self, parts: list[str]) -> Aligned:
+        out = Aligned(len(parts))
+        # only a part that ends in another character than white space can have one behind it
+        runs: tuple[list, list] = ([], [])
+        for i, p in enumerate(parts):
+            if not self.b.cuts or p[-1] in SPACE:
+                self._run(parts, [i], out)
+            else:
+                runs[self.a.settled(p)].append(i)
+        for run in runs:
+            for at in range(0, len(run), RUN_PARTS):
+                self._run(parts, run[at:at + RUN_PARTS], out)
+        return out
 
-def _links(a: list[int], x: list[bytes], b: list[int], y: list[bytes]) -> tuple:
-    pairs, groups = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = len(x[0]), len(y[0])
-    while True:
-        pairs.append(a[i] << 32 | b[j])
-        if end_a == end_b:
-            groups.append(f"{','.join(map(str, a[first_a:i + 1]))}|{','.join(map(str, b[first_b:j + 1]))}")
-            i, j = i + 1, j + 1
-            if i == len(a):
-                return len(a), len(b), len(groups), pairs, ";".join(groups)
-            first_a, first_b, end_a, end_b = i, j, end_a + len(x[i]), end_b + len(y[j])
-        elif end_a < end_b:
-            i += 1
-            end_a += len(x[i])
-        else:
-            j += 1
-            end_b += len(y[j])
+    def _run(self, parts: list[str], run: list[int], out: Aligned) -> None:
+        text = "".join([parts[i] for i in run])
+        data = text.encode()
+        a, b = self.a.ids(text), self.b.ids(text)
+        if not b"".join([self.bytes_a[i] for i in a]) == data == b"".join([self.bytes_b[i] for i in b]):
+            if len(run) > 1:  # which parts are changed?
+                self._run(parts, run[:len(run) // 2], out)
+                self._run(parts, run[len(run) // 2:], out)
+            return
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        end = np.cumsum([len(parts[i].encode()) for i in run]) if len(data) != len(text) else np.cumsum([len(parts[i]) for i in run])
+        # every stretch between two neighbouring token ends is one link
+        cut = np.union1d(end_a, end_b)
+        pairs = a[np.searchsorted(end_a, cut)] << 32 | b[np.searchsorted(end_b, cut)]
+        groups = np.intersect1d(end_a, end_b, assume_unique=True)
+        upto = [np.searchsorted(x, end, side="right") for x in (end_a, end_b, groups, cut)]
+        counts = np.column_stack([np.diff(x, prepend=0) for x in upto])
+        out.sizes[run] = counts
+        # tokens in order of group, tokenizer and place, and what stands behind each
+        ids, side = np.concatenate([a, b]), np.repeat(np.array([0, 1]), [len(a), len(b)])
+        group = np.searchsorted(groups, np.concatenate([end_a, end_b]))
+        order = np.argsort(group * 2 + side, kind="stable")
+        group, side = group[order], side[order]
+        mark = np.where(group[1:] != group[:-1], 2, np.where(side[1:] != side[:-1], 1, 0)).tolist()
+        shown = [f"{i}{',|;'[m]}" for i, m in zip(ids[order].tolist(), [*mark, 2])]
+        links, tokens = [0, *upto[3].tolist()], [0, *(upto[0] + upto[1]).tolist()]
+        for k, i in enumerate(run):
+            out.pairs[i] = pairs[links[k]:links[k + 1]]
+            out.groups[i] = "".join(shown[tokens[k]:tokens[k + 1]])[:-1]
 
 
 class Known:
-    """A bounded cache of what is known of parts."""
-
-    def __init__(self, learn):
-        self.learn, self.found = learn, {}
-
-    def of(self, docs: list[list[str]]) -> dict:
-        """A dict that holds every part of ``docs``."""
-        if len(self.found) >= CACHE_PARTS:
-            self.found.clear()
-        new = list(set().union(*docs) - self.found.keys())
-        learnt = dict(zip(new, self.learn(new)))
-        if any(len(p) > CACHED_CHARS for p in new):
-            self.found.update((p, v) for p, v in learnt.items() if len(p) <= CACHED_CHARS)
-            return {**self.found, **learnt}
-        self.found.update(learnt)
-        return self.found
+    """A bounded table of parts: the row of a part (-1 where a tokenizer changes it), and by
+    row what ``learn`` made of it: numbers (an array of columns) and one text."""
+
+    def __init__(self, learn, columns: int):
+        self.learn, self.columns = learn, columns
+        self.clear()
+
+    def clear(self) -> None:
+        self.row: dict[str, int] = {}
+        self.numbers, self.texts, self.chars = np.zeros((0, self.columns), np.int64), [], 0
+
+    def full(self) -> bool:
+        return len(self.row) >= CACHE_PARTS or self.chars >= CACHE_CHARS
+
+    def rows(self, docs: list[list[str]]) -> list[list[int]]:
+        """Rows of the parts of each document; [] if a tokenizer changes one."""
+        new = list(set().union(*docs) - self.row.keys())
+        if new:
+            fine, numbers, texts = self.learn(new)
+            at = len(self.numbers) + np.cumsum(fine) - 1
+            self.row.update(zip(new, np.where(fine, at, -1).tolist()))
+            self.numbers = np.concatenate([self.numbers, numbers])
+            self.texts += texts
+            self.chars += sum(map(len, new)) + sum(map(len, texts))
+        row = self.row
+        found = [[row[p] for p in parts] for parts in docs]
+        return [[] if -1 in f else f for f in found]
 
 
 # ---- first pass ------------------------------------------------------------------
 
 def _count_links(path_a: str, path_b: str):
-    """Task function: texts -> (pair, n), a pair once for about ``COUNTED_PARTS`` parts."""
+    """Task function: texts -> (pair, n), a pair once for each time that the table of parts is full."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = kept("aligner", (path_a, path_b), lambda: Aligner(path_a, path_b))
-        known, seen = kept("aligned-parts", (path_a, path_b), lambda: Known(aligner.align)), Counter()
-        pairs, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        links: list[np.ndarray] = []
+
+        def learn(parts: list[str]):
+            found = aligner.align(parts)
+            fine = found.sizes[:, 0] >= 0
+            links.extend([x for x, ok in zip(found.pairs, fine.tolist()) if ok])
+            return fine, found.sizes[fine], []
+
+        known = Known(learn, 4)
+        times = np.zeros(0, np.int64)
+        pairs, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def add() -> None:
-            nonlocal pairs, times
-            found = list(zip(seen.values(), aligner_of(seen)))
-            links = [np.array(x[3], dtype=np.int64) for _, x in found]
-            n = np.repeat(np.array([k for k, _ in found], dtype=np.int64), [len(x) for x in links])
+            """Parts seen become links counted."""
+            nonlocal pairs, total, times
+            each = np.repeat(times, known.numbers[:, 3])
             pairs, where = np.unique(np.concatenate([pairs, *links]), return_inverse=True)
-            total = np.zeros(len(pairs), np.int64)
-            np.add.at(total, where, np.concatenate([times, n]))
-            times = total
-            seen.clear()
-
-        def aligner_of(parts) -> list:
-            of = known.of([list(parts)])
-            return [of[p] for p in parts]
+            sums = np.zeros(len(pairs), np.int64)
+            np.add.at(sums, where, np.concatenate([total, each]))
+            total, times = sums, np.zeros(0, np.int64)
+            links.clear(), known.clear()
 
         def rows() -> Iterator[pa.RecordBatch]:
+            met = total > 0  # a part of a changed text counts nothing
             for lo in range(0, len(pairs), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[lo:lo + 100_000]), pa.array(times[lo:lo + 100_000])], names=["pair", "n"])
+                cut = np.flatnonzero(met[lo:lo + 100_000]) + lo
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[cut]), pa.array(total[cut])], names=["pair", "n"])
 
         for batch in batches:
-            for _, texts in runs(batch, 0):
-                docs = [aligner.split(t) for t in texts if t]
-                of = known.of(docs)
-                for parts in docs:
-                    if None not in map(of.__getitem__, parts):
-                        seen.update(parts)
-                if len(seen) >= COUNTED_PARTS:
+            for _, texts in runs(batch, 0, RUN_CHARS):
+                found = known.rows([aligner.split(t) for t in texts if t])
+                at = np.array([r for f in found for r in f], dtype=np.int64)
+                more = np.bincount(at, minlength=len(known.numbers))
+                more[:len(times)] += times
+                times = more
+                if known.full():
                     add()
                     if len(pairs) >= SLICE_PAIRS:
                         yield from rows()
-                        pairs = times = np.zeros(0, np.int64)
-        if seen:
-            add()
+                        pairs = total = np.zeros(0, np.int64)
+        add()
         yield from rows()
     return run
 
@@ -277,42 +326,40 @@ def _look_up(path_a: str, path_b: str, table, first: bool):
         state, keys, counts, best = table.value
         hash_ = PairHash(*state)
 
-        def learn(parts: list[str]) -> Iterator[tuple | None]:
-            aligned = list(aligner.align(parts))
-            sizes = [0 if x is None else len(x[3]) for x in aligned]
-            pairs = np.array([p for x in aligned if x for p in x[3]], dtype=np.int64)
+        def learn(parts: list[str]):
+            """By part: n_a, n_b, n_groups, n_links, n_best, count_sum, and the groups."""
+            found = aligner.align(parts)
+            fine = found.sizes[:, 0] >= 0
+            pairs = np.concatenate([np.zeros(0, np.int64), *found.pairs])
             at = hash_.slots(pairs)
-            at[(at < 0) | (keys[at] != pairs) if len(keys) else slice(None)] = -1
-            n, top = np.where(at < 0, 0, np.append(counts, 0)[at]), np.where(at < 0, False, np.append(best, False)[at])
-            ends = np.cumsum([0, *sizes])
-            n, top = (np.concatenate([[0], np.cumsum(v, dtype=np.int64)])[ends] for v in (n, top))
-            for x, links, c, t in zip(aligned, sizes, np.diff(n).tolist(), np.diff(top).tolist()):
-                yield x and (x[0], x[1], x[2], links, t, c, x[4])
-
-        known = kept("counted-parts", token, lambda: Known(learn))
+            known = at >= 0
+            known[known] = keys[at[known]] == pairs[known]
+            at = np.where(known, at, len(keys))
+            upto = np.cumsum([0, *found.sizes[fine, 3]])
+            sums = [np.diff(np.concatenate([[0], np.cumsum(np.append(x, 0)[at], dtype=np.int64)])[upto]) for x in (best, counts)]
+            return fine, np.column_stack([found.sizes[fine], *sums]), [g for g, ok in zip(found.groups, fine.tolist()) if ok]
+
+        known = kept("counted-parts", token, lambda: Known(learn, 6))
         for batch in batches:
-            for at, texts in runs(batch, 1):
-                docs = [aligner.split(t) if t else [] for t in texts]
-                of = known.of(docs)
-                done = []
-                for parts in docs:
-                    found = [of[p] for p in parts]
-                    if not found or None in found:
-                        done.append((0, 0, 0, 0, 0, 0, ""))
-                    else:
-                        *sums, groups = zip(*found)
-                        done.append((*map(sum, sums), ";".join(groups)))
+            for at, texts in runs(batch, 1, RUN_CHARS):
+                if known.full():
+                    known.clear()
+                found = known.rows([aligner.split(t) if t else [] for t in texts])
+                # sums over the parts of each document; the row more stands for no part
+                size = np.array(list(map(len, found)))
+                where = np.array([r for f in found for r in f], dtype=np.int64)
+                upto = np.concatenate([np.zeros((1, 6), np.int64), np.cumsum(known.numbers[where], axis=0)])
+                ends = np.cumsum(size)
+                sums = upto[ends] - upto[ends - size]
+                text = known.texts
                 before = batch.slice(at, len(texts))
-                cols = []
-                for i, field in enumerate(DONE.split(", ")):
-                    name = field.split()[0]
-                    value = pa.array([d[i] for d in done], pa.string() if name == "groups" else pa.int64())
-                    if not first and name in ("n_best", "count_sum"):
-                        import pyarrow.compute as pc
-                        value = pc.add(value, before.column(before.schema.get_field_index(name)))
-                    cols.append(value)
-                yield pa.RecordBatch.from_arrays([before.column(0), before.column(1), *cols],
-                                                 names=["key", "text", *(f.split()[0] for f in DONE.split(", "))])
+                if not first:  # a later slice adds to what the ones before it found
+                    names = before.schema.names
+                    sums[:, 4:] += np.column_stack([before.column(names.index(c)).to_numpy() for c in ("n_best", "count_sum")])
+                yield pa.RecordBatch.from_arrays(
+                    [before.column(0), before.column(1), *(pa.array(c) for c in sums.T.copy()),
+                     pa.array([";".join([text[r] for r in f]) for f in found], pa.string())],
+                    names=["key", "text", *(f.split()[0] for f in DONE.split(", "))])
     return run
 
 

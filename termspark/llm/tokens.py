@@ -79,16 +79,29 @@ class ByteBpe:
         self._fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=self.ranks, special_tokens={})
 
     def ids(self, text: str) -> list[int]:
-        if text.isascii() or max(text) < _SETTLED:
+        if self.settled(text):
             return self._fast.encode_ordinary(text)
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def settled(self, text: str) -> bool:
+        """Whether ``ids`` need not ask the slower library."""
+        return text.isascii() or max(text) < _SETTLED
+
     def pieces(self, text: str) -> list[tuple[int, int]]:
         """Spans of the pre-tokenizer, in characters."""
-        if text.isascii() or max(text) < _SETTLED:
+        if self.settled(text):
             return [m.span() for m in self._pattern.finditer(text)]
         return [span for _, span in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
+    def cut(self, part: str) -> list[str]:
+        """Pieces of a part: mostly a word, or a word and a mark."""
+        if self.settled(part):
+            if part[1:].isalpha() and part[0] == " ":
+                return [part]
+            if part[-1] in ".,;:!?" and part[1:-1].isalpha() and part[0] == " ":
+                return [part[:-1], part[-1]]
+        return [part[a:b] for a, b in self.pieces(part)]
+
 
 def byte_level(spec: dict) -> bool:
     """Whether a tokenizer file is a byte-level BPE that ``ByteBpe`` can run."""
@@ -112,13 +125,13 @@ class SentencePieces:
         self.cuts = not any(re.search("[^▁ \n][▁ \n]", p) for i, p in enumerate(names) if not self.library.is_byte(i))
         self._mark = self.library.encode("a")
 
-    def ids(self, parts: list[str]) -> list[list[int]]:
-        """Ids of parts of space + text.  The library adds a space in front, which stands
-        for the one a part begins with; any other part is put behind a letter whose ids
-        are taken off again."""
-        spaced = [len(p) > 1 and p[0] == " " for p in parts]
-        out = self.library.encode([p[1:] if s else "a" + p for s, p in zip(spaced, parts)], num_threads=1)
-        return [x if s else x[len(self._mark):] for s, x in zip(spaced, out)]
+    def ids(self, parts: str) -> list[int]:
+        """Ids of a run of parts of space + text.  The library adds a space in front, which
+        stands for the one the run begins with; any other run is put behind a letter whose
+        ids are taken off again."""
+        if len(parts) > 1 and parts[0] == " ":
+            return self.library.encode(parts[1:])
+        return self.library.encode("a" + parts)[len(self._mark):]
 
 
 def byte_bpe(path: str) -> ByteBpe:

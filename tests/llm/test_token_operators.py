@@ -127,7 +127,9 @@ def test_alignment_equals_the_libraries(spark, odd_rows, slices, monkeypatch):
         rows = rows[:25]
     monkeypatch.setattr(alignment, "SLOTS_PER_BLOCK", 5)
     monkeypatch.setattr(alignment, "FAN_IN", 2)
-    monkeypatch.setattr(alignment, "COUNTED_PARTS", 3)
+    monkeypatch.setattr(alignment, "CACHE_PARTS", 3)
+    monkeypatch.setattr(alignment, "RUN_PARTS", 7)
+    monkeypatch.setattr(alignment, "RUN_CHARS", 50)
     out = alignment.align(make(spark, rows).repartition(4), A, B, **options).collect()
     want = [(str(r[0]), *x) for r, x in zip(rows, align_plainly([r[1] or "" for r in rows]))]
     assert sorted((str(r.doc_id), *tuple(r)[1:]) for r in out) == sorted(want)
@@ -159,7 +161,7 @@ def test_pair_hash_is_minimal_and_perfect(n):
 def test_every_prefix_equals_the_library():
     lib, counter = Tokenizer.from_file(A), token_counts.counter(A)
     for text in [*odd_texts(7, 400), "it'll we're 're 'r", "a  <|endoftext|>  b<|endoftext|><|endoftext|>", "=" * 150, "hello   \n\n  world  "]:
-        got = np.cumsum(np.frombuffer(counter.text(text), dtype=np.int8), dtype=int).tolist()
+        got = np.cumsum(np.frombuffer(counter.texts([text])[0], dtype=np.int8), dtype=int).tolist()
         assert got == [len(lib.encode(text[:i], add_special_tokens=False).ids) for i in range(1, len(text) + 1)], text
 
 
