@@ -18,6 +18,7 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.plan_tools import cut_lineage
 from ..sources.tables import LANG_EN, LANG_FR, LOCAL_ID_BASE
 
 # Relationship kinds (compared in lower case).
@@ -141,6 +142,7 @@ def build(t, ids=None, prefix: bool = True) -> DataFrame:
     ``prefix``: label enumerated fields with the project type (``'OMOP S'``).
     """
     ids = _as_id_frame(ids)
+    ids = ids if ids is None else cut_lineage(ids, "ids")  # five joins read it
     concept = _restrict(t.concept, "concept_id", ids)
     rel = relations(t, ids, with_lists=False)
     doc = (concept

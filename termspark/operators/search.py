@@ -18,13 +18,14 @@ weight = idf * tf / (tf + k1 * (1 - b + b * dl / avgdl)), N and avgdl per field.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from ..functions import text as tx
-from ..functions.plan_tools import analysis_partitions, cut_lineage, spread
+from ..functions.plan_tools import analysis_partitions, cut_lineage
 from . import topk
 
 K1 = 1.2
@@ -113,13 +114,23 @@ def index(docs: DataFrame, groups: Iterable[str] = tuple(GROUP_FIELDS), protecte
     totals are one row per field (broadcast, bounded by the field list).
     """
     tp = positions if positions is not None else token_postings(docs, groups, protected)
-    tf = tp.groupBy("concept_id", "group", "field", "token").agg(F.count(F.lit(1)).alias("tf"))
-    tf = tf.withColumn("dl", F.sum("tf").over(Window.partitionBy("concept_id", "field")))
+    tf = with_lengths(tp.groupBy("concept_id", "group", "field", "token").agg(F.count(F.lit(1)).alias("tf")))
     # three consumers below (df, field totals, the join): compute the postings once
     tf = cut_lineage(tf, "postings")
     dfreq = tf.groupBy("field", "token").agg(F.count(F.lit(1)).alias("df"))
     fstats = (tf.select("concept_id", "field", "dl").distinct()
               .groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("dl").alias("sum_dl")))
+    return with_bm25(tf, dfreq, fstats, k1, b)
+
+
+def with_lengths(rows: DataFrame) -> DataFrame:
+    """Token rows (``tf`` or all ``places``) with the token count of their concept's field."""
+    count = F.col("tf") if "tf" in rows.columns else F.size("places").cast("long")
+    return rows.withColumn("dl", F.sum(count).over(Window.partitionBy("concept_id", "field")))
+
+
+def with_bm25(tf: DataFrame, dfreq: DataFrame, fstats: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
+    """Index rows from token rows, document frequencies by (field, token) and totals by field (one row a field)."""
     j = tf.join(dfreq, ["field", "token"]).join(F.broadcast(fstats), "field")
     avgdl = F.col("sum_dl") / F.col("n_docs")
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -356,60 +367,97 @@ def query_shingles(qtexts: DataFrame, key: str, groups: Mapping[str, str], size:
         key, "group", "sh", F.col("token").alias("t0"), *[f"t{i}" for i in range(1, size)])
 
 
-def phrase_scores(qtexts: DataFrame, key: str, docs: DataFrame, idx: DataFrame, groups: Mapping[str, str],
+def phrase_lists(positions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Positional lists, written once: (concept_id, group, field, toks, dl), where ``toks``
+    maps each token of a concept's field to its places (value_idx, pos) in order; and the
+    tokens (group, field, token, df, n_docs, avgdl)."""
+    rows = positions.repartition(analysis_partitions(positions), "concept_id", "field")
+    places = rows.groupBy("concept_id", "group", "field", "token").agg(
+        F.array_sort(F.collect_list(F.struct("value_idx", "pos"))).alias("places"))
+    lists = cut_lineage(places.groupBy("concept_id", "group", "field").agg(
+        F.map_from_entries(F.collect_list(F.struct("token", "places"))).alias("toks"),
+        F.sum(F.size("places")).alias("dl")), "positional-lists")
+    fields = lists.groupBy("group", "field").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
+    terms = lists.select("group", "field", F.explode(F.map_keys("toks")).alias("token")).groupBy("group", "field", "token").agg(
+        F.count(F.lit(1)).alias("df"))
+    return lists, cut_lineage(terms.join(F.broadcast(fields), ["group", "field"]), "phrase-tokens")  # one row a field
+
+
+def _phrase_frequency(places: list[Column], slop: int) -> Column:
+    """Sum of 1 / (1 + length) over one place of each term in the same value, all places
+    different, whose length (spread of pos - i) is at most ``slop``: places that cannot
+    fit those chosen before are left out at once."""
+    def choose(i: int, chosen: list[Column]) -> Column:
+        def fits(x: Column) -> Column:
+            rel = [c["pos"] - j for j, c in enumerate([*chosen, x])]
+            length = F.greatest(*rel) - F.least(*rel)
+            apart = [c["pos"] != x["pos"] for c in chosen]
+            return (x["value_idx"] == chosen[0]["value_idx"]) & (length <= slop) & reduce(lambda p, q: p & q, apart)
+
+        def worth(x: Column) -> Column:
+            if i + 1 < len(places):
+                return choose(i + 1, [*chosen, x])
+            rel = [c["pos"] - j for j, c in enumerate([*chosen, x])]
+            return F.lit(1.0) / (1 + F.greatest(*rel) - F.least(*rel))
+        found = F.filter(places[i], fits) if chosen else places[i]
+        return F.aggregate(found, F.lit(0.0), lambda acc, x: acc + worth(x))
+    return choose(0, [])
+
+
+def phrase_scores(qtexts: DataFrame, key: str, lists: DataFrame, terms: DataFrame, groups: Mapping[str, str],
                   weights: Mapping[str, float] = PHRASE_WEIGHTS, slop: int = PHRASE_SLOP, size: int = 3,
-                  k1: float = K1, b: float = B, protected: Iterable[str] = (),
-                  positions: DataFrame | None = None) -> DataFrame:
+                  k1: float = K1, b: float = B, protected: Iterable[str] = ()) -> DataFrame:
     """(key, concept_id, pscore): sloppy phrase matches of the query's term
     shingles.  A match is one position of each term in the same field value with
     match length (spread of pos_i - i) <= slop; its frequency counts 1/(1 + length);
     the phrase is scored like a term (BM25 with the summed idf of its terms),
-    weighted per field, best field per shingle, summed over shingles."""
+    weighted per field, best field per shingle, summed over shingles.
+
+    ``lists`` and ``terms`` come from ``phrase_lists``.  Shingles, few and counted, go to the lists by
+    their rarest term; the lists of the other terms are in the same row, so postings are
+    not shuffled and nothing is multiplied before all terms are there."""
     sh = query_shingles(qtexts, key, groups, size, protected)
-    sh = sh.repartition(analysis_partitions(sh))  # the shingle join multiplies rows: probe on every core
-    tp = positions if positions is not None else token_postings(docs, list(groups), protected)
-    # the shingle join multiplies rows; keep the postings split across every core
-    tp = spread(tp.filter(F.col("group").isin(list(groups)))
-                .select("group", "field", "concept_id", "value_idx", "pos", "token"))
-    j = sh.join(tp.select("group", F.col("token").alias("t0"), "concept_id", "field", "value_idx",
-                          F.col("pos").alias("p0")), ["group", "t0"])
-    for i in range(1, size):
-        j = j.join(tp.select("group", F.col("token").alias(f"t{i}"), "concept_id", "field", "value_idx",
-                             F.col("pos").alias(f"p{i}")), ["group", f"t{i}", "concept_id", "field", "value_idx"])
-    rel = [F.col(f"p{i}") - i for i in range(size)]
-    length = F.greatest(*rel) - F.least(*rel)
-    distinct_pos = F.size(F.array_distinct(F.array(*[F.col(f"p{i}") for i in range(size)]))) == size
-    m = j.filter((length <= slop) & distinct_pos).withColumn("freq", 1.0 / (1 + length))
-    freq = m.groupBy(key, "group", "sh", "concept_id", "field").agg(F.sum("freq").alias("freq"),
-                                                                      *[F.first(f"t{i}").alias(f"t{i}") for i in range(size)])
-    stats = idx.select("field", "token", "concept_id", "dl", "df", "n_docs", "avgdl")
-    fl = stats.select("field", "concept_id", "dl", "n_docs", "avgdl").distinct()
-    idf_t = stats.select("field", "token", "df", "n_docs").distinct().select(
-        "field", "token", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    s = freq.join(fl, ["field", "concept_id"])
-    for i in range(size):
-        s = s.join(idf_t.select("field", F.col("token").alias(f"t{i}"), F.col("idf").alias(f"idf{i}")),
-                   ["field", f"t{i}"])
+    names = [f"t{i}" for i in range(size)]
+    spread_ = terms.groupBy("group", "token").agg(F.sum("df").alias("found"))
+    each = sh.select("group", *names).distinct()
+    rarest = each.select("group", *names, F.explode(F.array(*[F.col(c) for c in names])).alias("token")).join(
+        spread_, ["group", "token"]).groupBy("group", *names).agg(F.min(F.struct("found", "token")).alias("m"), F.countDistinct("token").alias("known"))
+    known = F.size(F.array_distinct(F.array(*[F.col(c) for c in names])))
+    rarest = cut_lineage(rarest.filter(F.col("known") == known).select("group", *names, F.col("m.token").alias("token"))
+                         .withColumn("sid", F.monotonically_increasing_id()), "shingles")
+    few = rarest.count() <= topk.BROADCAST_TERMS
+    rows = lists.filter(F.col("group").isin(list(groups))).select("concept_id", "group", "field", "dl", "toks", F.explode(F.map_keys("toks")).alias("token"))
+    rows, sides = rows.alias("r"), (F.broadcast(rarest) if few else rarest).alias("s")
+    here = [F.map_contains_key("r.toks", F.col(f"s.{c}")) for c in names]
+    on = (F.col("r.group") == F.col("s.group")) & (F.col("r.token") == F.col("s.token")) & reduce(lambda p, q: p & q, here)
+    found = rows.join(sides, on).select("s.sid", "r.concept_id", "r.group", "r.field", "r.dl", *[f"s.{c}" for c in names],
+                                        _phrase_frequency([F.element_at(F.col("r.toks"), F.col(f"s.{c}")) for c in names], slop).alias("freq"))
+    s = found.filter("freq > 0")
+    idf_t = terms.select("group", "field", "token", "n_docs", "avgdl",
+                         F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    for i, c in enumerate(names):
+        own = idf_t.select("group", "field", F.col("token").alias(c), F.col("idf").alias(f"idf{i}"), *(["avgdl"] if i == 0 else []))
+        s = s.join(own, ["group", "field", c])
     idf = sum((F.col(f"idf{i}") for i in range(1, size)), F.col("idf0"))
     norm = F.col("freq") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
     s = s.withColumn("field_base", F.regexp_replace("field", "_(en|fr|fr_en)$", ""))
     s = s.withColumn("ps", topk.weight(weights) * idf * F.col("freq") / norm)
-    per_sh = s.groupBy(key, "group", "sh", "concept_id").agg(F.max("ps").alias("ps"))
-    return per_sh.groupBy(key, "concept_id").agg(F.sum("ps").alias("pscore"))
+    per_sh = s.groupBy("sid", "concept_id").agg(F.max("ps").alias("ps"))
+    asked = sh.join(rarest.select("group", *names, "sid"), ["group", *names]).select(key, "sid")
+    return asked.join(per_sh, "sid").groupBy(key, "concept_id").agg(F.sum("ps").alias("pscore"))
 
 
-def rank_with_phrases(queries: DataFrame, idx: DataFrame, docs: DataFrame, *, k: int = 10, page: int = 1,
+def rank_with_phrases(queries: DataFrame, idx: DataFrame, lists: DataFrame, terms: DataFrame, *, k: int = 10, page: int = 1,
                       id_col: str = "query_id", groups: Mapping[str, str] | None = None,
                       weights: Mapping[str, float] | None = None,
-                      phrase_weights: Mapping[str, float] = PHRASE_WEIGHTS, slop: int = PHRASE_SLOP,
-                      positions: DataFrame | None = None) -> DataFrame:
+                      phrase_weights: Mapping[str, float] = PHRASE_WEIGHTS, slop: int = PHRASE_SLOP) -> DataFrame:
     """Top-k with term score + phrase boost (documents matching only through a
     phrase are term matches too, so the term hits are the candidate set)."""
     groups = dict(groups or {g: "text" for g in GROUP_FIELDS})
     labeled, text_cols = _label_keys(queries, groups, None, "", "")
     label_map, keys, texts = _numbered(labeled, text_cols, id_col)
     ts = text_scores(texts, "_ti", idx, groups, weights)
-    ps = phrase_scores(texts, "_ti", docs, idx, groups, phrase_weights, slop, positions=positions)
+    ps = phrase_scores(texts, "_ti", lists, terms, groups, phrase_weights, slop)
     both = ts.join(ps, ["_ti", "concept_id"], "left").select(
         "_ti", "concept_id", (F.col("score") + F.coalesce(F.col("pscore"), F.lit(0.0))).alias("score"))
     hits = keys.join(both, "_ti").select("_qk", "concept_id", "score")

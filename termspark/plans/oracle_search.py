@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..operators.search import GROUP_FIELDS, GROUP_LANG
 from . import oracle_text as ot
 from .fixture_sql import with_views
-from .oracle_changes import _IMPORT
+from .oracle_changes import _IMPORT, _RENAME
 from .oracle_documents import documents_select
 
 _SINGLE = {"concept_name_en", "concept_name_fr", "concept_name_fr_en"}
@@ -109,6 +109,14 @@ def postings() -> str:
     return with_views("SELECT concept_id, field, token, tf, dl, df, round(bm25, 9) AS bm25 FROM ix", ctes)
 
 
+def index_refresh() -> str:
+    """The postings of an index built anew over the renamed concepts."""
+    ctes = dict(_RENAME)
+    ctes.update(_index_ctes())
+    ctes["docs"] = documents_select(concept="concept_v2")
+    return with_views("SELECT concept_id, field, token, tf, dl, df, round(bm25, 9) AS bm25 FROM ix", ctes)
+
+
 def hit_counts() -> str:
     return with_views("SELECT query_id, count(*) AS num_found FROM scored GROUP BY query_id",
                       _query_ctes({}, None, None))

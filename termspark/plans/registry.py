@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.plan_tools import cut_lineage, spread
 from ..operators import changes, documents, export, ingest, lexicon, quality, search, stats
+from ..operators.segments import Segments
 from ..session import ensure_checkpoint_dir
+from ..sources.store import Store
 from ..sources.tables import LOCAL_ID_BASE, Tables
 from ..streaming import refresh
 
@@ -339,7 +341,7 @@ def input_fingerprint(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
 
 
 def persisted_index(spark: SparkSession, sf_dir: str):
-    """(tables, documents, positions, index) of a data folder: built and written once
+    """(tables, documents, positional lists, index) of a data folder: built and written once
     for an application and state of the folder's files, then read by every retrieval query."""
     key = (spark.sparkContext.applicationId, sf_dir)
     state = input_fingerprint(spark, sf_dir)
@@ -347,7 +349,7 @@ def persisted_index(spark: SparkSession, sf_dir: str):
         docs = cut_lineage(documents.build(Tables(spark, sf_dir)), "documents")
         positions = search.positional_postings(docs)
         idx = cut_lineage(search.index(docs, positions=positions), "index")
-        _INDEXES[key] = (state, docs, positions, idx)
+        _INDEXES[key] = (state, docs, search.phrase_lists(positions), idx)
     return Tables(spark, sf_dir), *_INDEXES[key][1:]
 
 
@@ -543,27 +545,44 @@ def stream_refresh(spark, sf_dir):
     drained the feed the store must equal a full rebuild over the renamed
     tables.  All files go under the session's checkpoint folder."""
     t = Tables(spark, sf_dir)
+    root, feed, renamed = _change_feed(spark, t)
+    refresh.initialise_store(t, f"{root}/store")
+    q = refresh.refresh(spark, feed, t.with_frames(concept=renamed), f"{root}/store", f"{root}/checkpoint", max_files_per_trigger=1)
+    q.awaitTermination()
+    return documents.joined_lists(Store(spark, f"{root}/store", "id").read(), documents.LIST_COLUMNS)
+
+
+def _change_feed(spark, t):
+    """Folder, feed folder and renamed concepts: the changes come in two files."""
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/termspark-stream-{uuid.uuid4().hex}"
-    store, feed, ckpt = f"{root}/store", f"{root}/feed", f"{root}/checkpoint"
-    refresh.initialise_store(t, store)
     changed, renamed = _renamed(t)
-    changed.repartitionByRange(2, "concept_id").write.parquet(feed)
-    q = refresh.refresh(spark, feed, t.with_frames(concept=renamed), store, ckpt, max_files_per_trigger=1)
+    changed.repartitionByRange(2, "concept_id").write.parquet(f"{root}/feed")
+    return root, f"{root}/feed", renamed
+
+
+@register("index_refresh")
+def index_refresh(spark, sf_dir):
+    """The same changes taken into the search index, a segment for each micro-batch: its
+    postings must be those of an index built anew over the renamed tables."""
+    t, docs, _, _ = persisted_index(spark, sf_dir)
+    root, feed, renamed = _change_feed(spark, t)
+    index = Segments(spark, f"{root}/index")
+    index.build(docs)
+    q = refresh.refresh(spark, feed, t.with_frames(concept=renamed), None, f"{root}/checkpoint", f"{root}/index", max_files_per_trigger=1)
     q.awaitTermination()
-    docs = spark.read.parquet(store).drop("bucket")
-    return documents.joined_lists(docs, documents.LIST_COLUMNS)
+    return index.index().select("concept_id", "field", "token", "tf", "dl", "df", F.round("bm25", 9).alias("bm25"))
 
 
 @register("search_phrase")
 def search_phrase(spark, sf_dir):
     """Labels = the three-word English synonyms (whole table); term score plus
     the pf3 phrase boost (slop 2, name 6 / synonym 3 / mapped 3)."""
-    t, docs, pos, idx = persisted_index(spark, sf_dir)
+    t, _, lists, idx = persisted_index(spark, sf_dir)
     labels = (t.concept_synonym.filter(F.col("language_concept_id") == 4180186)
               .join(t.concept.select("concept_id", "concept_name"), "concept_id")
               .filter(F.col("concept_synonym_name") != F.col("concept_name"))
               .select(F.col("concept_id").alias("query_id"), F.col("concept_synonym_name").alias("text")))
-    out = search.rank_with_phrases(labels, idx, docs, positions=pos)
+    out = search.rank_with_phrases(labels, idx, *lists)
     return out.withColumn("score", F.round("score", 6))
 
 

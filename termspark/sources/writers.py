@@ -1,16 +1,8 @@
-"""Writers: bulk append, keyed document store (upsert by hash bucket), per-project
-CSV export, headerless CSV, text, ORC and table copy."""
+"""Writers: bulk append, per-project CSV export (the keyed store is ``store``), headerless CSV, text, ORC and table copy."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..session import ensure_checkpoint_dir
-
-BUCKET = "bucket"
 
 
 def append_bulk(df: DataFrame, path: str, writers: int, fmt: str = "parquet") -> None:
@@ -18,35 +10,6 @@ def append_bulk(df: DataFrame, path: str, writers: int, fmt: str = "parquet") ->
     df.repartition(writers).write.mode("append").format(fmt).save(path)
 
 
-def bucket_of(key: str, buckets: int):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-
-
-def write_store(df: DataFrame, path: str, key: str, buckets: int) -> None:
-    """Full (re)write of a keyed store partitioned by hash bucket of ``key``."""
-    (df.withColumn(BUCKET, bucket_of(key, buckets)).repartition(BUCKET)
-     .write.mode("overwrite").partitionBy(BUCKET).parquet(path))
-
-
-def upsert_store(spark: SparkSession, new: DataFrame, path: str, key: str, buckets: int) -> None:
-    """Keyed upsert into a bucketed Parquet store.
-
-    Only buckets that receive new rows are read and rewritten: their old rows
-    minus the new keys (left anti) plus the new rows are staged under the
-    checkpoint folder, then written back with dynamic partition overwrite, so
-    other buckets are untouched.  Running it twice with the same input gives the
-    same store (idempotent)."""
-    new = new.withColumn(BUCKET, bucket_of(key, buckets))
-    old = spark.read.parquet(path)
-    touched = new.select(BUCKET).distinct()
-    old_touched = old.join(touched, BUCKET, "left_semi")
-    merged = old_touched.join(new.select(key), key, "left_anti").unionByName(new.select(*old.columns))
-    stage = f"{ensure_checkpoint_dir(spark).rstrip('/')}/termspark-stage-{uuid.uuid4().hex}"
-    merged.write.mode("error").partitionBy(BUCKET).parquet(stage)
-    (spark.read.parquet(stage).repartition(BUCKET).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
-
-
 def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "overwrite") -> None:
     """CSV directory (no header by default)."""
     df.write.mode(mode).option("header", str(header).lower()).csv(path)

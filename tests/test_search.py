@@ -93,6 +93,7 @@ def test_index_follows_its_input(spark, small_dir, tmp_path, monkeypatch):
     monkeypatch.setattr(registry.documents, "build", lambda t: t.part.select(F.col("p_partkey").alias("concept_id")))
     monkeypatch.setattr(registry.search, "positional_postings", lambda docs: docs)
     monkeypatch.setattr(registry.search, "index", lambda docs, positions: docs)
+    monkeypatch.setattr(registry.search, "phrase_lists", lambda positions: positions)
     before = registry.persisted_index(spark, folder)[3]
     assert registry.persisted_index(spark, folder)[3] is before
     more = spark.read.parquet(f"{small_dir}/part.parquet").withColumn("p_partkey", F.col("p_partkey") + 10 ** 6)
