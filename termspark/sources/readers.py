@@ -137,7 +137,7 @@ def read_synonym_rules(spark: SparkSession, path: str) -> tuple[DataFrame, DataF
     A backslash takes the character behind it as it is (``\\,``, ``\\=>``, ``\\#``).  Each line
     is a group of its own, equal lines too: its key is the file and the line's place in it,
     so a file, which is a hand-kept dictionary, is read by one task."""
-    files = spark.read.option("wholetext", "true").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
     lines = files.select("file", F.posexplode(F.split("value", "\r?\n")).alias("nr", "line"))
     lines = lines.select(F.concat_ws(":", "file", "nr").alias("group_key"),
                          F.trim(F.regexp_replace("line", r"(?<!\\)#.*$", "")).alias("line")).filter("line <> ''")

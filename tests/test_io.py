@@ -2,20 +2,48 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from termspark.sources import readers, writers
+from termspark.sources import store as store_module
+from termspark.sources.store import Store
 
 
-def test_store_upsert_idempotent_and_bucket_local(spark, tmp_path):
+def test_store_versions(spark, tmp_path, monkeypatch):
+    """Upserts are idempotent, write only the buckets of their keys, and appear as a whole."""
     path = str(tmp_path / "store")
-    base = spark.createDataFrame([(str(i), i) for i in range(50)], "id string, v long")
-    writers.write_store(base, path, "id", 4)
+    monkeypatch.setattr(store_module, "ROWS_PER_FILE", 5)
+    store = Store(spark, path, "id")
+    store.replace(spark.createDataFrame([(str(i), i) for i in range(50)], "id string, v long"))
     new = spark.createDataFrame([("3", 300), ("77", 77)], "id string, v long")
-    writers.upsert_store(spark, new, path, "id", 4)
-    writers.upsert_store(spark, new, path, "id", 4)
-    got = {r.id: r.v for r in spark.read.parquet(path).collect()}
+    folders = lambda: {r.bucket: r.folder for r in store.manifests().where(F.col("v") == store.version()).collect()}
+    before = folders()
+    store.upsert(new)
+    assert 1 <= sum(before[b] != f for b, f in folders().items()) <= 2
+    store.upsert(new)
+    got = {r.id: r.v for r in store.read().collect()}
     assert len(got) == 51 and got["3"] == 300 and got["77"] == 77 and got["4"] == 4
+    assert {r.id: r.v for r in store.read(0).collect()} == {str(i): i for i in range(50)}
+
+    def fails(*_):
+        raise RuntimeError("lost between write and publish")
+    monkeypatch.setattr(Store, "_publish", fails)
+    with pytest.raises(RuntimeError):
+        store.upsert(spark.createDataFrame([("4", -1)], "id string, v long"))
+    monkeypatch.undo()
+    assert store.version() == 2 and {r.id: r.v for r in store.read().collect()} == got
+    assert store.vacuum(keep=1) >= 1 and {r.id: r.v for r in store.read().collect()} == got
+
+
+def test_store_buckets_follow_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store_module, "ROWS_PER_BUCKET", 10)
+    store = Store(spark, str(tmp_path / "store"), "id")
+    store.upsert(spark.range(200))
+    assert store.manifests().agg(F.max("buckets")).first()[0] == 20 and store.read().count() == 200
+    empty = Store(spark, str(tmp_path / "empty"), "id")
+    with pytest.raises(Exception, match="no rows"):
+        empty.read()
 
 
 def test_per_project_csv_and_plain_writers(spark, tmp_path):
@@ -101,3 +129,15 @@ def test_import_two_files_order_and_quarantine(spark, tmp_path):
     for i, name in names.items():
         assert values[i] == 100 * (name[0] == "b") + int(name[1:])
     assert [names[i][0] for i in sorted(names)] == ["a"] * 20 + ["b"] * 20
+
+
+def test_synonym_rule_lines(spark, tmp_path):
+    """Equal lines are groups of their own; escapes, comments, groups of one, line ends of both kinds."""
+    (tmp_path / "rules").mkdir()
+    (tmp_path / "rules" / "a.txt").write_bytes(b"a, b, c # note\na, b, c\n# only a comment\n\nalone\nx\\, y, z\r\nq, qq => r, s\nk\\=>l, m\nn\\#1, o, o\n")
+    groups, rewrites = readers.read_synonym_rules(spark, str(tmp_path / "rules"))
+    by_line = {}
+    for r in groups.collect():
+        by_line.setdefault(r.group_key, []).append(r.member)
+    assert sorted(map(sorted, by_line.values())) == [["a", "b", "c"], ["a", "b", "c"], ["k=>l", "m"], ["n#1", "o"], ["x, y", "z"]]
+    assert sorted(map(tuple, rewrites.collect())) == [("q", "r"), ("q", "s"), ("qq", "r"), ("qq", "s")]
