@@ -21,10 +21,12 @@ Jobs.  (1) Tasks turn texts into sets and send keys, packed in binary blocks by
 hash; each key block finds keys that several sets share.  Sets are named by a digest, so
 copies count once.  (2) Each set is held against the smallest set that it shares a key
 with; verified links give first components.  (3) Sets that share a key are gathered
-around the smallest set of that key.  In each gathering every set is held against its
-nearest in another component; then whatever pairs are still in different components are
-held against each other too, in blocks.  So no link between components is missed, and
-no group of copies is spread into pairs.  Before the exact count over the texts, a
+around the smallest set of that key.  In rounds, every set offers its nearest sets in
+other components, one in the first round and four times as many in each further one; what
+was not tried before is verified, and links join components.  A set that had no more to
+offer is done, and the rounds end when all are.  So no link between components is missed,
+every pair of sets that might still link was verified, and a family of copies costs its
+sets a few offers each, not all its pairs.  Before the exact count over the texts, a
 parity sketch (one bit per hashed slot, four to eight slots an element) bounds the
 difference from below; it only drops pairs that cannot link.
 """
@@ -37,7 +39,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, located, staged, workers
@@ -46,9 +48,15 @@ WIDTH, PERCENT = 5, 75
 CHUNK_SHINGLES, CHUNK_SETS = 500_000, 60_000
 #: keys of a part, which one task holds at a time (about 80 bytes a key while they are sorted)
 KEYS_PER_PART = 1_000_000
+#: partitions of the key shuffle at most; a partition takes its parts one after another
+KEY_PARTITIONS = 10_000
 ARROW_ROWS = 2000
 KEYS_PER_ROW = 4096
-BLOCK = 2048
+BLOCK, BLOCK_ELEMENTS = 2048, 8 << 20
+#: shares of a gathering's members while they are dealt out
+SALTS = 32
+#: each round offers so many times more than the one before
+GROWTH = 4
 #: cost model: cost of a chance pair (one comparison of sketches, tens of nanoseconds) in keys (hashed, sent and
 #: sorted, about a microsecond), share of pairs with a passage in common, its shingles
 PAIR_COST, SHARING, PASSAGE = 0.05, 0.01, 40
@@ -397,48 +405,66 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             return labels
 
 
-def _residual(edges: DataFrame, sets: DataFrame, roots: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs (a, b) of sets of one gathering (a center a and its members b) that lie in
-    different components and may link by their sketches: all of them, or for each set the
-    one whose sketch is nearest.  Gatherings are held against themselves in blocks of
-    about ``BLOCK`` sets."""
-    members = edges.select(F.col("a").alias("gid"), F.col("b").alias("id")).unionByName(
-        edges.select(F.col("a").alias("gid"), F.col("a").alias("id")).distinct())
-    members = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    size = members.groupBy("gid").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    open_ = size.where("lo != hi").select("gid", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = (members.join(open_, "gid").join(sets.select("id", "n", "sketch"), "id")
-            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (id, root) of all sets after ``links`` (a, b): one link for each pair of
+    components is enough."""
+    x, y = (labels.select(F.col("id").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
+    between = links.join(x, "a").join(y, "b").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
+    moved = components(between, "join-roots").select(F.col("id").alias("root"), F.col("root").alias("to"))
+    return staged(labels.join(moved, "root", "left").select("id", F.coalesce("to", "root").alias("root")), "join-labels")
+
+
+def _offers(members: DataFrame, sets: DataFrame, labels: DataFrame, tried: DataFrame, percent: int, most: int) -> DataFrame:
+    """(a, b, rank, more): for each set a, sets b of a gathering that a is in (``members``:
+    gid, id), in another component, that may link by their sketches and were not
+    tried; the ``most`` nearest of each unit, ranked by distance over all units.  ``more``
+    says that a unit held more.
+
+    Gatherings are held against themselves in blocks of about ``BLOCK`` sets or
+    ``BLOCK_ELEMENTS`` shingles (a sketch takes at most a byte for each)."""
+    members = members.join(labels.join(sets.select("id", "n"), "id"), "id")
+    size = members.groupBy("gid").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("elements"),
+                                      F.min("root").alias("lo"), F.max("root").alias("hi"))
+    open_ = size.where("lo != hi").select(
+        "gid", F.ceil(F.greatest(F.col("size") / BLOCK, F.col("elements") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
+    # a gathering may hold a third of all sets: its members come in salted shares
+    open_ = open_.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = (members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(open_, ["gid", "salt"])
+            .join(sets.select("id", "sketch"), "id")
+            .withColumn("block", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select(F.xxhash64("gid", F.least("block", "other"), F.greatest("block", "other")).alias("unit"),
                     (F.col("block") <= F.col("other")).alias("left"), (F.col("block") >= F.col("other")).alias("right"), "id", "root", "n", "sketch"))
     rows = rows.repartition(workers(sets.sparkSession), "unit").sortWithinPartitions("unit", "n", "id")
 
     def pairs(some: list) -> np.ndarray:
-        """(a, b, gap) of one unit, an array of three rows."""
-        left, right = [r for r in some if r[1]], [r for r in some if r[2]]
+        """(a, b, gap, more) of one unit, an array of four rows."""
+        sides = [r for r in some if r[1]], [r for r in some if r[2]]
+        both_ways = [(sides[0], sides[1])] + ([(sides[1], sides[0])] if any(r[1] != r[2] for r in some) else [])
         out = []
-        n = np.array([r[5] for r in right])
-        root, name = np.array([r[4] for r in right]), np.array([r[3] for r in right])
-        by_width: dict[int, np.ndarray] = {}
-        for _, _, _, i, own, size, bits in left:
-            lo, hi = np.searchsorted(n, [-(-size * percent // 100), size * 100 // percent + 1])
-            at = np.arange(lo, hi)
-            at = at[root[lo:hi] != own]
-            if not len(at):
-                continue
-            w = min(len(bits), len(right[lo][6]), len(right[hi - 1][6]))
-            if w not in by_width:
-                by_width[w] = np.array([_fold(np.frombuffer(r[6], dtype="<u8"), w // 8) if len(r[6]) >= w else np.zeros(w // 8, "<u8")
-                                        for r in right]).reshape(len(right), w // 8)
-            gap = np.bitwise_count(by_width[w][at] ^ _fold(np.frombuffer(bits, dtype="<u8"), w // 8)).sum(axis=1, dtype=np.int64)
-            may = gap <= (n[at] + size) * (100 - percent) // (100 + percent)
-            at, gap = at[may], gap[may]
-            if len(at) and nearest:
-                at, gap = at[[gap.argmin()]], gap[[gap.argmin()]]
-            other, me = name[at], np.full(len(at), i, dtype=np.int64)
-            out.append((me, other, gap) if nearest else (np.minimum(me, other), np.maximum(me, other), gap))
-        return np.array([np.concatenate(x) for x in zip(*out)], dtype=np.int64).reshape(3, -1) if out else np.zeros((3, 0), np.int64)
+        for left, right in both_ways:
+            n = np.array([r[5] for r in right])
+            root, name = np.array([r[4] for r in right]), np.array([r[3] for r in right])
+            by_width: dict[int, np.ndarray] = {}
+            for _, _, _, i, own, size, bits in left:
+                lo, hi = np.searchsorted(n, [-(-size * percent // 100), size * 100 // percent + 1])
+                at = np.arange(lo, hi)
+                at = at[root[lo:hi] != own]
+                if not len(at):
+                    continue
+                w = min(len(bits), len(right[lo][6]), len(right[hi - 1][6]))
+                if w not in by_width:
+                    by_width[w] = np.array([_fold(np.frombuffer(r[6], dtype="<u8"), w // 8) if len(r[6]) >= w else np.zeros(w // 8, "<u8")
+                                            for r in right]).reshape(len(right), w // 8)
+                gap = np.bitwise_count(by_width[w][at] ^ _fold(np.frombuffer(bits, dtype="<u8"), w // 8)).sum(axis=1, dtype=np.int64)
+                may = gap <= (n[at] + size) * (100 - percent) // (100 + percent)
+                at, gap = at[may], gap[may]
+                more = len(at) > most
+                if more:
+                    near = np.lexsort((name[at], gap))[:most]
+                    at, gap = at[near], gap[near]
+                out.append((np.full(len(at), i, dtype=np.int64), name[at], gap, np.full(len(at), more, dtype=np.int64)))
+        return np.array([np.concatenate(x) for x in zip(*out)], dtype=np.int64).reshape(4, -1) if out else np.zeros((4, 0), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some: list = []
@@ -447,7 +473,7 @@ def _residual(edges: DataFrame, sets: DataFrame, roots: DataFrame, percent: int,
         def out() -> pa.RecordBatch:
             x = np.unique(np.concatenate(found, axis=1), axis=1)  # a pair may share many keys
             found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in x], names=["a", "b", "gap"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in x], names=["a", "b", "gap", "more"])
 
         for batch in batches:
             for r in zip(*map(pa.Array.to_pylist, batch.columns)):
@@ -461,10 +487,12 @@ def _residual(edges: DataFrame, sets: DataFrame, roots: DataFrame, percent: int,
             found.append(pairs(some))
         if found:
             yield out()
-    found = rows.mapInArrow(run, "a long, b long, gap long")
-    if nearest:
-        found = found.groupBy("a").agg(F.min(F.struct("gap", "b")).alias("m")).select("a", "m.b")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = rows.mapInArrow(run, "a long, b long, gap long, more long").groupBy("a", "b").agg(F.min("gap").alias("gap"), F.max("more").alias("more"))
+    known = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b"))).withColumn("known", F.lit(True))
+    found = found.join(known, ["a", "b"], "left")
+    # tried pairs rank last; they stay to tell that their set had more
+    nearest = Window.partitionBy("a").orderBy(F.col("known").isNotNull(), "gap", "b")
+    return found.select("a", "b", F.when(F.col("known").isNull(), F.row_number().over(nearest)).alias("rank"), "more")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
@@ -476,7 +504,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int =
     fewer than ``width`` words is one shingle; equal sets always link; repeated rows are
     copies of each other; null keys do not become component ids while another key is
     there; an empty table gives no rows; other columns are ignored.  Sets are told apart
-    by a 64-bit digest of their hashed shingles.
+    by a 64-bit digest of their hashed shingles: that two different sets of n share one has
+    a probability of about n**2 / 2**65 (3 in 100 at 10**9 distinct sets).
     """
     with arrow_rows(docs.sparkSession, ARROW_ROWS):
         return _join(docs, key, text, width, percent)
@@ -498,7 +527,7 @@ def _join(docs: DataFrame, key: str, text: str, width: int, percent: int) -> Dat
     kind = docs.schema["key"].dataType.simpleString()
     sent = docs.mapInArrow(_map_side(width, percent, parts, ends, schemes),
                            f"part int, kind int, key {kind}, n long, id long, payload binary")
-    found = staged(sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(
+    found = staged(sent.repartition(min(parts, max(KEY_PARTITIONS, workers(spark))), "part").sortWithinPartitions("part").mapInArrow(
         _reduce_side(), f"kind int, key {kind}, n long, id long, sketch binary, center long, members array<long>"),
         "join-found", "kind")
     rows = found.where("kind = 1").select("key", "n", "id", "sketch")
@@ -514,16 +543,24 @@ def _join(docs: DataFrame, key: str, text: str, width: int, percent: int) -> Dat
 
     # each set and the smallest one that it shares a key with
     first = staged(likely(edges.groupBy("b").agg(F.min("a").alias("a"))), "join-first")
-    links = staged(_verify(first, docs, sets, width, percent), "join-links")
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    roots = components(links, "join-roots")
-    for nearest in (True, False):
-        rest = staged(_residual(edges, sets, roots, percent, nearest).join(tried, ["a", "b"], "left_anti"), "join-rest")
-        if not rest.isEmpty():
-            tried = tried.unionByName(rest)
-            links = links.unionByName(staged(_verify(rest, docs, sets, width, percent), "join-more"))
-            roots = components(links, "join-roots")
-    named = sets.join(roots, "id", "left").select("id", "rep", F.coalesce("root", "id").alias("root"))
+    labels = _joined(sets.select("id", F.col("id").alias("root")), staged(_verify(first, docs, sets, width, percent), "join-links"))
+    members = edges.select(F.col("a").alias("gid"), F.col("b").alias("id")).unionByName(
+        edges.select(F.col("a").alias("gid"), F.col("a").alias("id")).distinct())
+    most = 1
+    while True:
+        offers = staged(_offers(members, sets, labels, tried, percent, most), "join-offers")
+        fresh = staged(offers.where(F.col("rank") <= most).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "join-fresh")
+        if not fresh.isEmpty():
+            labels = _joined(labels, staged(_verify(fresh, docs, sets, width, percent), "join-links"))
+            tried = tried.unionByName(fresh)
+        # a pair was offered unless both of its sets had more
+        unfinished = staged(offers.where((F.col("rank") > most) | (F.col("more") == 1)).select(F.col("a").alias("id")).distinct(), "join-unfinished")
+        if unfinished.isEmpty():
+            break
+        members = staged(members.join(unfinished, "id", "left_semi"), "join-members")
+        most *= GROWTH
+    named = sets.join(labels, "id").select("id", "rep", "root")
     smallest = named.groupBy("root").agg(F.min("rep").alias("component"))
     named = named.join(smallest, "root").select("id", "component")
     return rows.drop("sketch").join(named, "id", "left").select(

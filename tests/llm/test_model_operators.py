@@ -171,9 +171,8 @@ def test_encoder_equals_the_tokenizer(odd_rows):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(P.path(TOKENIZER))
-    whole.encode_special_tokens = True
     encode = packing.encoder(P.path(TOKENIZER))
-    texts = [t or "" for _, t, *_ in odd_rows] + ["a  b", " x", "x ", "a\n\nb", "a\tb c", "it's <|endoftext|> 12 z", "\n", "a\u00a0b c",
+    texts = [t or "" for _, t, *_ in odd_rows] + ["a  b", " x", "x ", "a\n\nb", "a\tb c", "it's <|endoftext|> 12 z", "\n", "a<|endoftext|>b", "<|endoftext|><|endoftext|>", "x \n<|endoftext|> y <|endoftext", "a\u00a0b c",
                                                  "don't  \n x\r\ny z", "a \nb", "x\x1cy z", "kana かな 🙂 ok", "we'll \u2028go on"]
     for t in texts:
         assert np.frombuffer(encode(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
@@ -343,3 +342,31 @@ def test_pipeline_small(spark, small_dir):
     assert {r.doc_id for r in pieces} == set(mixed)
     assert sum(r.length for r in pieces) == sum(
         n * t for n, t in ((mixed[i], next(r.doc_tokens for r in pieces if r.doc_id == i)) for i in mixed))
+
+
+def family(n, seed=1):
+    """Near copies of one text, at and around the threshold."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w), "en", "a"))
+    return rows
+
+
+def test_links_grow_with_a_family_not_with_its_square(spark, monkeypatch):
+    tried = {}
+    real = ngram_join._verify
+
+    def counting(pairs, *rest):
+        tried[n] = tried.get(n, 0) + pairs.count()
+        return real(pairs, *rest)
+    monkeypatch.setattr(ngram_join, "_verify", counting)
+    for n in (800, 1600):
+        out = ngram_join.join(make(spark, family(n))).collect()
+        groups = Counter(r.component_id for r in out)
+        assert groups.most_common(1)[0][1] > 0.9 * n
+    assert tried[1600] < 2.6 * tried[800] and tried[1600] < 12 * 1600
