@@ -79,6 +79,36 @@ VIEWS["condition_occurrence"] = "SELECT CAST(l_suppkey AS BIGINT) AS condition_c
 VIEWS["procedure_occurrence"] = "SELECT CAST(user_id AS BIGINT) AS procedure_concept_id FROM events"
 VIEWS["drug_exposure"] = "SELECT CAST(l_partkey % 101 AS BIGINT) AS drug_concept_id FROM lineitem"
 
+VIEWS["domain"] = """
+SELECT domain_id, 'domain ' || domain_id AS domain_name, min(concept_id) AS domain_concept_id FROM concept GROUP BY domain_id"""
+VIEWS["concept_class"] = """
+SELECT concept_class_id, 'concept_class ' || concept_class_id AS concept_class_name, min(concept_id) AS concept_class_concept_id
+FROM concept GROUP BY concept_class_id"""
+VIEWS["vocabulary"] = """
+SELECT vocabulary_id, 'vocabulary ' || vocabulary_id AS vocabulary_name,
+       CASE WHEN vocabulary_id LIKE 'NATION%' THEN 'nation' ELSE 'brand' END AS vocabulary_reference,
+       CAST(NULL AS VARCHAR) AS vocabulary_version, min(concept_id) AS vocabulary_concept_id FROM concept GROUP BY vocabulary_id"""
+VIEWS["relationship"] = """
+SELECT relationship_id, lower(relationship_id) AS relationship_name,
+       CASE WHEN relationship_id IN ('Is a', 'Subsumes') THEN '1' ELSE '0' END AS is_hierarchical,
+       CASE WHEN relationship_id IN ('Is a', 'Subsumes') THEN '1' ELSE '0' END AS defines_ancestry,
+       CASE relationship_id WHEN 'Maps to' THEN 'Mapped from' WHEN 'Mapped from' THEN 'Maps to'
+            WHEN 'Is a' THEN 'Subsumes' WHEN 'Subsumes' THEN 'Is a' END AS reverse_relationship_id,
+       min(concept_id_2) AS relationship_concept_id FROM concept_relationship GROUP BY relationship_id"""
+VIEWS["concept_ancestor"] = """
+SELECT DISTINCT CASE WHEN relationship_id = 'Is a' THEN concept_id_2 ELSE concept_id_1 END AS ancestor_concept_id,
+       CASE WHEN relationship_id = 'Is a' THEN concept_id_1 ELSE concept_id_2 END AS descendant_concept_id,
+       1 AS min_levels_of_separation, 1 AS max_levels_of_separation
+FROM concept_relationship WHERE relationship_id IN ('Is a', 'Subsumes')"""
+VIEWS["drug_strength"] = """
+SELECT l_partkey + 2000000000 AS drug_concept_id, l_suppkey + 1 AS ingredient_concept_id,
+       CAST(min(l_quantity) AS DECIMAL(38, 10)) AS amount_value, CAST(NULL AS BIGINT) AS amount_unit_concept_id,
+       CAST(max(l_quantity) AS DECIMAL(38, 10)) AS numerator_value, CAST(NULL AS BIGINT) AS numerator_unit_concept_id,
+       CAST(NULL AS DECIMAL(38, 10)) AS denominator_value, CAST(NULL AS BIGINT) AS denominator_unit_concept_id,
+       CAST(count(*) AS INTEGER) AS box_size, DATE '1970-01-01' AS valid_start_date, DATE '2099-12-31' AS valid_end_date,
+       CAST(NULL AS VARCHAR) AS invalid_reason
+FROM lineitem GROUP BY l_partkey, l_suppkey"""
+
 VIEWS["project_terms"] = """
 SELECT CASE WHEN p_partkey % 11 <> 0 THEN p_name END AS local_concept_name,
        p_brand AS local_concept_code,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import functools
 
-from ..operators.quality import NOT_NULL
 from .registry import FR_EN_WORDS
 
 from . import oracle_changes as oc
@@ -85,6 +84,6 @@ def twins() -> dict[str, str]:
         "code_list_concepts": ol.code_list_concepts(),
         "quality_duplicates": ol.quality_duplicates(),
         "quality_orphans": ol.quality_orphans(),
-        "quality_checks": ol.quality_checks(NOT_NULL),
+        "quality_checks": ol.quality_checks(),
         **oio.twins(),
     }

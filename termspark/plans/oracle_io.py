@@ -28,10 +28,28 @@ SELECT "check", count(*) AS n FROM (
 GROUP BY "check" """)
 
 
+# the columns of the vocabulary tables, in file order
+_COLUMNS = {
+    "concept": "concept_id concept_name domain_id vocabulary_id concept_class_id standard_concept concept_code valid_start_date valid_end_date "
+               "invalid_reason",
+    "vocabulary": "vocabulary_id vocabulary_name vocabulary_reference vocabulary_version vocabulary_concept_id",
+    "domain": "domain_id domain_name domain_concept_id",
+    "concept_class": "concept_class_id concept_class_name concept_class_concept_id",
+    "concept_relationship": "concept_id_1 concept_id_2 relationship_id valid_start_date valid_end_date invalid_reason",
+    "relationship": "relationship_id relationship_name is_hierarchical defines_ancestry reverse_relationship_id relationship_concept_id",
+    "concept_synonym": "concept_id concept_synonym_name language_concept_id",
+    "concept_ancestor": "ancestor_concept_id descendant_concept_id min_levels_of_separation max_levels_of_separation",
+    "drug_strength": "drug_concept_id ingredient_concept_id amount_value amount_unit_concept_id numerator_value numerator_unit_concept_id "
+                     "denominator_value denominator_unit_concept_id box_size valid_start_date valid_end_date invalid_reason",
+}
+
+
 def vocabulary_snapshot() -> str:
-    return with_views("""
-SELECT concept_id, concept_name, domain_id, vocabulary_id, concept_class_id, standard_concept, concept_code,
-       valid_start_date, valid_end_date, invalid_reason FROM concept""")
+    parts = []
+    for table, cols in _COLUMNS.items():
+        shown = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in cols.split())
+        parts.append(f"SELECT '{table}' AS table_name, {shown} AS content FROM {table}")
+    return with_views("\nUNION ALL\n".join(parts))
 
 
 def synonym_rules() -> str:

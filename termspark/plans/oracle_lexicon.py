@@ -112,46 +112,64 @@ def quality_duplicates() -> str:
     for table, keys in (("concept", "concept_id"),
                         ("concept_synonym", "concept_id, concept_synonym_name, language_concept_id"),
                         ("concept_relationship", "concept_id_1, concept_id_2, relationship_id"),
-                        ("mapper_project", "m_project_id")):
+                        ("vocabulary", "vocabulary_id"), ("domain", "domain_id"), ("concept_class", "concept_class_id"),
+                        ("relationship", "relationship_id"), ("concept_ancestor", "ancestor_concept_id, descendant_concept_id"),
+                        ("drug_strength", "drug_concept_id, ingredient_concept_id"), ("mapper_project", "m_project_id")):
         parts.append(f"""SELECT 'duplicate_key' AS rule, '{table}' AS table_name,
                                 CAST(COALESCE(sum(ct), 0) AS BIGINT) AS bad_rows
                          FROM (SELECT count(*) AS ct FROM {table} GROUP BY {keys} HAVING count(*) > 1) d""")
     return with_views("\nUNION ALL\n".join(parts))
 
 
+# table: its foreign keys, as "column parent key"
+_FOREIGN = {
+    "concept": ["domain_id domain domain_id", "vocabulary_id vocabulary vocabulary_id", "concept_class_id concept_class concept_class_id",
+                "m_project_id mapper_project m_project_id"],
+    "vocabulary": ["vocabulary_concept_id concept concept_id"],
+    "domain": ["domain_concept_id concept concept_id"],
+    "concept_class": ["concept_class_concept_id concept concept_id"],
+    "concept_relationship": ["concept_id_1 concept concept_id", "concept_id_2 concept concept_id", "relationship_id relationship relationship_id"],
+    "relationship": ["reverse_relationship_id relationship relationship_id", "relationship_concept_id concept concept_id"],
+    "concept_synonym": ["concept_id concept concept_id", "language_concept_id concept concept_id"],
+    "concept_ancestor": ["ancestor_concept_id concept concept_id", "descendant_concept_id concept concept_id"],
+    "drug_strength": ["drug_concept_id concept concept_id", "ingredient_concept_id concept concept_id", "amount_unit_concept_id concept concept_id",
+                      "numerator_unit_concept_id concept concept_id", "denominator_unit_concept_id concept concept_id"],
+    "mapper_statistic": ["m_concept_id concept concept_id"],
+}
+# table: its columns that must not be null
+_REQUIRED = {
+    "concept": "concept_id concept_name domain_id vocabulary_id concept_class_id concept_code valid_start_date valid_end_date",
+    "vocabulary": "vocabulary_id vocabulary_name vocabulary_reference vocabulary_concept_id",
+    "domain": "domain_id domain_name domain_concept_id",
+    "concept_class": "concept_class_id concept_class_name concept_class_concept_id",
+    "concept_relationship": "concept_id_1 concept_id_2 relationship_id valid_start_date valid_end_date",
+    "relationship": "relationship_id relationship_name is_hierarchical defines_ancestry reverse_relationship_id relationship_concept_id",
+    "concept_synonym": "concept_id concept_synonym_name language_concept_id",
+    "concept_ancestor": "ancestor_concept_id descendant_concept_id min_levels_of_separation max_levels_of_separation",
+    "drug_strength": "drug_concept_id ingredient_concept_id valid_start_date valid_end_date",
+}
+
+
 def quality_orphans() -> str:
-    return with_views("""
-SELECT 'orphan:concept_id_1' AS rule, 'concept_relationship' AS table_name, count(*) AS bad_rows
-FROM concept_relationship r WHERE NOT EXISTS (SELECT 1 FROM concept c WHERE c.concept_id = r.concept_id_1)
-UNION ALL
-SELECT 'orphan:concept_id_2', 'concept_relationship', count(*)
-FROM concept_relationship r WHERE NOT EXISTS (SELECT 1 FROM concept c WHERE c.concept_id = r.concept_id_2)
-UNION ALL
-SELECT 'orphan:concept_id', 'concept_synonym', count(*)
-FROM concept_synonym s WHERE NOT EXISTS (SELECT 1 FROM concept c WHERE c.concept_id = s.concept_id)
-UNION ALL
-SELECT 'orphan:m_concept_id', 'mapper_statistic', count(*)
-FROM mapper_statistic s WHERE s.m_statistic_type_id IN ('AVG', 'FREQ')
-  AND NOT EXISTS (SELECT 1 FROM concept c WHERE c.concept_id = s.m_concept_id)
-UNION ALL
-SELECT 'orphan:m_project_id', 'concept', count(*)
-FROM concept c WHERE c.m_project_id IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM mapper_project p WHERE p.m_project_id = c.m_project_id)""")
-
-
-def quality_checks(not_null: dict[str, list[str]]) -> str:
     parts = []
-    for table, cols in not_null.items():
-        for c in cols:
+    for table, keys in _FOREIGN.items():
+        for column, to, key in map(str.split, keys):
+            only = " AND c.m_statistic_type_id IN ('AVG', 'FREQ')" if table == "mapper_statistic" else ""
+            parts.append(f"SELECT 'orphan:{column}' AS rule, '{table}' AS table_name, count(*) AS bad_rows FROM {table} c "
+                         f"WHERE c.{column} IS NOT NULL{only} AND NOT EXISTS (SELECT 1 FROM {to} p WHERE p.{key} = c.{column})")
+    return with_views("\nUNION ALL\n".join(parts))
+
+
+def quality_checks() -> str:
+    parts = []
+    for table, cols in _REQUIRED.items():
+        for c in cols.split():
             parts.append(f"SELECT 'not_null:{c}' AS rule, '{table}' AS table_name, "
                          f"count(*) FILTER (WHERE {c} IS NULL) AS bad_rows FROM {table}")
-        if table == "concept":
-            parts += [
-                "SELECT 'check:concept_name_not_empty', 'concept', count(*) FILTER (WHERE trim(concept_name) = '') FROM concept",
-                "SELECT 'check:concept_code_not_empty', 'concept', count(*) FILTER (WHERE trim(concept_code) = '') FROM concept",
-                "SELECT 'check:standard_concept', 'concept', count(*) FILTER (WHERE standard_concept IS NOT NULL "
-                "AND standard_concept NOT IN ('C', 'S')) FROM concept",
-                "SELECT 'check:invalid_reason', 'concept', count(*) FILTER (WHERE invalid_reason IS NOT NULL "
-                "AND invalid_reason NOT IN ('D', 'U')) FROM concept",
-            ]
+    for rule, table, bad in (
+            ("concept_name_not_empty", "concept", "trim(concept_name) = ''"),
+            ("concept_code_not_empty", "concept", "trim(concept_code) = ''"),
+            ("standard_concept", "concept", "standard_concept NOT IN ('C', 'S')"),
+            *(("invalid_reason", t, "invalid_reason NOT IN ('D', 'U')") for t in ("concept", "concept_relationship", "drug_strength"))):
+        parts.append(f"SELECT 'check:{rule}', '{table}', count(*) FILTER (WHERE {bad}) FROM {table}")
     return with_views("\nUNION ALL\n".join(parts))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import changes, export, lexicon, search
+from ..operators import changes, export, lexicon, quality, search
 from ..session import ensure_checkpoint_dir
 from ..sources import readers, writers
 from ..sources.tables import LANG_EN, LANG_FR, Tables
@@ -100,17 +100,20 @@ def code_list_csv(spark, sf_dir):
 
 @register("vocabulary_snapshot")
 def vocabulary_snapshot(spark, sf_dir):
-    """Vocabulary release written as delimited files, loaded typed and published; the
-    concept table of the current snapshot."""
+    """Vocabulary release written as delimited files, loaded typed and published: all rows
+    of the nine tables of the current snapshot, each as one text."""
     t, out = Tables(spark, sf_dir), _folder(spark, "vocabulary")
-    names = ("concept", "concept_synonym", "concept_relationship")
-    for name in names:
+    for name in readers.VOCABULARY_SCHEMAS:
         sep, quote = readers.VOCABULARY_FORMATS[name]
-        columns = [c.split()[0] for c in readers.VOCABULARY_SCHEMAS[name].split(", ")]
-        (getattr(t, name).select(*columns).write
+        (getattr(t, name).select(*quality.columns(name)).write
          .options(header="true", sep=sep, quote=quote, dateFormat="yyyyMMdd").csv(f"{out}/src/{name.upper()}.csv"))
-    readers.load_vocabulary(spark, f"{out}/src", f"{out}/db", "v1", tables=names)
-    return spark.read.parquet(f"{out}/db/{spark.read.text(f'{out}/db/CURRENT').first()['value']}/concept")
+    readers.load_vocabulary(spark, f"{out}/src", f"{out}/db", "v1")
+    rows = None
+    for name, table in readers.current_vocabulary(spark, f"{out}/db").items():
+        shown = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in quality.columns(name)])
+        own = table.select(F.lit(name).alias("table_name"), shown.alias("content"))
+        rows = own if rows is None else rows.unionByName(own)
+    return rows
 
 
 @register("align_schema")

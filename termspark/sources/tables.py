@@ -156,6 +156,64 @@ class Tables:
             )
         return self._view("concept_relationship", build)
 
+    def _kinds(self, name: str, column: str) -> DataFrame:
+        """A dictionary table: the distinct values of a concept column, the first concept of each."""
+        return self._view(name, lambda: self.concept.groupBy(column).agg(F.min("concept_id").alias(f"{name}_concept_id")).select(
+            column, F.concat(F.lit(f"{name} "), F.col(column)).alias(f"{name}_name"), f"{name}_concept_id"))
+
+    @property
+    def domain(self) -> DataFrame:
+        return self._kinds("domain", "domain_id")
+
+    @property
+    def concept_class(self) -> DataFrame:
+        return self._kinds("concept_class", "concept_class_id")
+
+    @property
+    def vocabulary(self) -> DataFrame:
+        own = F.when(F.col("vocabulary_id").startswith("NATION"), "nation").otherwise("brand")
+        return self._kinds("vocabulary", "vocabulary_id").select(
+            "vocabulary_id", "vocabulary_name", own.alias("vocabulary_reference"),
+            F.lit(None).cast("string").alias("vocabulary_version"), "vocabulary_concept_id")
+
+    @property
+    def relationship(self) -> DataFrame:
+        def build():
+            kind = F.col("relationship_id")
+            tree = F.when(kind.isin("Is a", "Subsumes"), "1").otherwise("0")
+            reverse = (F.when(kind == "Maps to", "Mapped from").when(kind == "Mapped from", "Maps to")
+                       .when(kind == "Is a", "Subsumes").when(kind == "Subsumes", "Is a"))
+            found = self.concept_relationship.groupBy("relationship_id").agg(F.min("concept_id_2").alias("relationship_concept_id"))
+            return found.select("relationship_id", F.lower(kind).alias("relationship_name"), tree.alias("is_hierarchical"),
+                                tree.alias("defines_ancestry"), reverse.alias("reverse_relationship_id"), "relationship_concept_id")
+        return self._view("relationship", build)
+
+    @property
+    def concept_ancestor(self) -> DataFrame:
+        def build():
+            up = F.col("relationship_id") == "Is a"
+            edges = self.concept_relationship.filter(F.col("relationship_id").isin("Is a", "Subsumes"))
+            return edges.select(F.when(up, F.col("concept_id_2")).otherwise(F.col("concept_id_1")).alias("ancestor_concept_id"),
+                                F.when(up, F.col("concept_id_1")).otherwise(F.col("concept_id_2")).alias("descendant_concept_id"),
+                                F.lit(1).alias("min_levels_of_separation"), F.lit(1).alias("max_levels_of_separation")).distinct()
+        return self._view("concept_ancestor", build)
+
+    @property
+    def drug_strength(self) -> DataFrame:
+        def build():
+            amount = lambda c: c.cast("decimal(38,10)")
+            none = lambda kind: F.lit(None).cast(kind)
+            found = self.raw("lineitem").groupBy("l_partkey", "l_suppkey").agg(
+                F.min("l_quantity").alias("lo"), F.max("l_quantity").alias("hi"), F.count(F.lit(1)).alias("n"))
+            return found.select(
+                (F.col("l_partkey") + LOCAL_ID_BASE).alias("drug_concept_id"), (F.col("l_suppkey") + 1).alias("ingredient_concept_id"),
+                amount(F.col("lo")).alias("amount_value"), none("long").alias("amount_unit_concept_id"),
+                amount(F.col("hi")).alias("numerator_value"), none("long").alias("numerator_unit_concept_id"),
+                none("decimal(38,10)").alias("denominator_value"), none("long").alias("denominator_unit_concept_id"),
+                F.col("n").cast("int").alias("box_size"), F.lit(FIXTURE_START).alias("valid_start_date"),
+                F.lit(FIXTURE_END).alias("valid_end_date"), none("string").alias("invalid_reason"))
+        return self._view("drug_strength", build)
+
     @property
     def concept_synonym(self) -> DataFrame:
         def build():
