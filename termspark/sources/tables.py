@@ -156,25 +156,26 @@ class Tables:
             )
         return self._view("concept_relationship", build)
 
-    def _kinds(self, name: str, column: str) -> DataFrame:
+    def _kinds(self, name: str) -> DataFrame:
         """A dictionary table: the distinct values of a concept column, the first concept of each."""
-        return self._view(name, lambda: self.concept.groupBy(column).agg(F.min("concept_id").alias(f"{name}_concept_id")).select(
-            column, F.concat(F.lit(f"{name} "), F.col(column)).alias(f"{name}_name"), f"{name}_concept_id"))
+        column = f"{name}_id"
+        return self.concept.groupBy(column).agg(F.min("concept_id").alias(f"{name}_concept_id")).select(
+            column, F.concat(F.lit(f"{name} "), F.col(column)).alias(f"{name}_name"), f"{name}_concept_id")
 
     @property
     def domain(self) -> DataFrame:
-        return self._kinds("domain", "domain_id")
+        return self._view("domain", lambda: self._kinds("domain"))
 
     @property
     def concept_class(self) -> DataFrame:
-        return self._kinds("concept_class", "concept_class_id")
+        return self._view("concept_class", lambda: self._kinds("concept_class"))
 
     @property
     def vocabulary(self) -> DataFrame:
         own = F.when(F.col("vocabulary_id").startswith("NATION"), "nation").otherwise("brand")
-        return self._kinds("vocabulary", "vocabulary_id").select(
+        return self._view("vocabulary", lambda: self._kinds("vocabulary").select(
             "vocabulary_id", "vocabulary_name", own.alias("vocabulary_reference"),
-            F.lit(None).cast("string").alias("vocabulary_version"), "vocabulary_concept_id")
+            F.lit(None).cast("string").alias("vocabulary_version"), "vocabulary_concept_id"))
 
     @property
     def relationship(self) -> DataFrame:

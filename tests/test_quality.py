@@ -11,7 +11,7 @@ def bad(df):
     return {(r.table_name, r.rule): r.bad_rows for r in df.collect() if r.bad_rows}
 
 
-def test_every_column_has_its_rules():
+def test_every_column_has_its_rules(spark):
     keys = {(t, c): to for t, c, to, *_ in quality.foreign_keys()}
     assert keys["concept", "domain_id"] == "domain" and keys["relationship", "reverse_relationship_id"] == "relationship"
     assert keys["drug_strength", "amount_unit_concept_id"] == "concept" and ("domain", "domain_id") not in keys
