@@ -212,8 +212,8 @@ def f_text(field: str, word: str, lang: str = "en") -> Column:
 
 
 # ------------------------------------------------------------------- rank
-def _label_keys(queries: DataFrame, groups: Mapping[str, str], boost: str | None, value_col: str,
-                frequency_col: str) -> tuple[DataFrame, list[str]]:
+def label_keys(queries: DataFrame, groups: Mapping[str, str], boost: str | None = None, value_col: str = "",
+               frequency_col: str = "") -> tuple[DataFrame, list[str]]:
     """Each label with its scoring key ``_qk``: the texts (``_tk``) and boost inputs
     that decide its ranking.  Labels with equal keys rank identically, so each key
     is ranked once, and each distinct text is matched against the index once."""
@@ -227,7 +227,7 @@ def _label_keys(queries: DataFrame, groups: Mapping[str, str], boost: str | None
     return queries.withColumn("_qk", F.struct(*fields)), text_cols
 
 
-def _numbered(labeled: DataFrame, text_cols: list[str], id_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def numbered(labeled: DataFrame, text_cols: list[str], id_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Scoring keys and label texts by number, so that hits carry numbers and no texts:
     labels (id, _qk), keys (_qk, _ti, boost inputs), texts (_ti, text columns)."""
     keys = cut_lineage(labeled.select(F.col("_qk").alias("_key")).distinct().withColumn("_qk", F.monotonically_increasing_id()), "keys")
@@ -269,8 +269,8 @@ def scores(queries: DataFrame, idx: DataFrame, docs: DataFrame | None = None, *,
     (label map (query_id, _qk), hits per scoring key (_qk, concept_id, score)); with
     ``best`` only the hits that can be among so many first ones."""
     groups = dict(groups or {g: "text" for g in GROUP_FIELDS})
-    labeled, text_cols = _label_keys(queries, groups, boost, value_col, frequency_col)
-    label_map, keys, texts = _numbered(labeled, text_cols, id_col)
+    labeled, text_cols = label_keys(queries, groups, boost, value_col, frequency_col)
+    label_map, keys, texts = numbered(labeled, text_cols, id_col)
     hits = key_scores(keys, texts, idx, docs, groups, weights, boost, doc_filter, protected, expansions, best)
     if by_key:
         return label_map, hits
@@ -454,8 +454,8 @@ def rank_with_phrases(queries: DataFrame, idx: DataFrame, lists: DataFrame, term
     """Top-k with term score + phrase boost (documents matching only through a
     phrase are term matches too, so the term hits are the candidate set)."""
     groups = dict(groups or {g: "text" for g in GROUP_FIELDS})
-    labeled, text_cols = _label_keys(queries, groups, None, "", "")
-    label_map, keys, texts = _numbered(labeled, text_cols, id_col)
+    labeled, text_cols = label_keys(queries, groups)
+    label_map, keys, texts = numbered(labeled, text_cols, id_col)
     ts = text_scores(texts, "_ti", idx, groups, weights)
     ps = phrase_scores(texts, "_ti", lists, terms, groups, phrase_weights, slop)
     both = ts.join(ps, ["_ti", "concept_id"], "left").select(
@@ -484,7 +484,7 @@ def highlight(top: DataFrame, queries: DataFrame, docs: DataFrame, *, id_col: st
     give no row (matched fields only), at most ``snippets`` values per field, those with
     the most marked words first, then by their place."""
     groups = dict(groups or {g: "text" for g in GROUP_FIELDS})
-    labeled, text_cols = _label_keys(queries, groups, None, "", "")
+    labeled, text_cols = label_keys(queries, groups)
     hits = top.select(id_col, "rank", "concept_id").join(labeled.select(id_col, F.col("_qk._tk").alias("_tk")), id_col)
     pairs = hits.select("_tk", "concept_id").distinct()
     qtexts = hits.select("_tk").distinct().select(

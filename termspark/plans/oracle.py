@@ -57,6 +57,7 @@ def twins() -> dict[str, str]:
         "tokens_es": ot.tokens("es"),
         "path_hierarchy": ot.path_hierarchy(),
         "postings": osr.postings(),
+        "search_label_filters": osr.search_label_filters(),
         "index_refresh": osr.index_refresh(),
         "search_simple": osr.search(),
         "search_weighted": osr.search(weights={"concept_name": 2.0, "concept_synonym_name": 1.0,

@@ -109,6 +109,15 @@ def postings() -> str:
     return with_views("SELECT concept_id, field, token, tf, dl, df, round(bm25, 9) AS bm25 FROM ix", ctes)
 
 
+def search_label_filters() -> str:
+    named = "d.concept_id IN (SELECT concept_id FROM tp WHERE field = 'concept_name_en' AND token IN ('plate', 'blue'))"
+    return search(doc_filter=f"""CASE q.query_id % 4
+  WHEN 0 THEN true
+  WHEN 1 THEN d.standard_concept IN ('OMOP S', 'ASIA EMPTY') AND d.invalid_reason IS DISTINCT FROM 'OMOP D'
+  WHEN 2 THEN coalesce(d.frequency BETWEEN 2 AND 3, false) OR coalesce(d.value_avg >= 30, false)
+  ELSE {named} AND (d.is_mapped IS DISTINCT FROM 'ASIA S' OR NOT coalesce(d.frequency <= 1, false)) END""")
+
+
 def index_refresh() -> str:
     """The postings of an index built anew over the renamed concepts."""
     ctes = dict(_RENAME)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.plan_tools import cut_lineage, spread
-from ..operators import changes, documents, export, ingest, lexicon, quality, search, stats
+from ..operators import changes, documents, export, filters, ingest, lexicon, quality, search, stats
 from ..operators.segments import Segments
 from ..session import ensure_checkpoint_dir
 from ..sources.store import Store
@@ -370,6 +370,16 @@ def _ranked(spark, sf_dir, **kw):
     return out.withColumn("score", F.round("score", 6))
 
 
+# The filters of the registered search with a filter for each label.
+LABEL_FILTERS = [
+    (1, 1, False, "enum", "standard_concept", "OMOP S", None, None), (1, 1, False, "enum", "standard_concept", "ASIA EMPTY", None, None),
+    (1, 2, True, "enum", "invalid_reason", "OMOP D", None, None),
+    (2, 1, False, "num", "frequency", None, 2.0, 3.0), (2, 1, False, "num", "value_avg", None, 30.0, None),
+    (3, 1, False, "text", "concept_name_en", "Plates", None, None), (3, 1, False, "text", "concept_name_en", "blue", None, None),
+    (3, 2, True, "enum", "is_mapped", "ASIA S", None, None), (3, 2, True, "num", "frequency", None, None, 1.0),
+]
+
+
 # The filter of the registered filtered search (mapped concepts only).
 MAPPED_FILTER = r" N?S$"
 
@@ -415,6 +425,15 @@ def search_filtered(spark, sf_dir):
     return _ranked(spark, sf_dir, doc_filter=F.col("is_mapped").rlike(MAPPED_FILTER))
 
 
+@register("search_label_filters")
+def search_label_filters(spark, sf_dir):
+    """Each label with a filter of its own: by turns none, a set of values, two ranges of
+    which one must hold, and a word of the name without a set of values."""
+    _, docs, idx, labels = _search_inputs(spark, sf_dir)
+    return filters.rank_filtered(labels.withColumn("filter_id", F.col("query_id") % 4), idx, docs,
+                                 spark.createDataFrame(LABEL_FILTERS, filters.LITERALS)).withColumn("score", F.round("score", 6))
+
+
 @register("search_page")
 def search_page(spark, sf_dir):
     return _ranked(spark, sf_dir, k=10, page=2)
