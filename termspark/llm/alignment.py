@@ -44,7 +44,7 @@ SLICE_PAIRS = 1 << 22
 SLOTS_PER_BLOCK = 1 << 16
 FAN_IN = 16
 #: parts and characters that a task keeps what it learnt of, parts encoded in one call, characters read at a time
-CACHE_PARTS, CACHE_CHARS = 150_000, 16 << 20
+CACHE_PARTS, CACHE_CHARS = 300_000, 32 << 20
 RUN_PARTS, RUN_CHARS = 20_000, 1 << 20
 DONE = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 _LOW = np.int64(0xFFFFFFFF)
@@ -53,14 +53,25 @@ _LOW = np.int64(0xFFFFFFFF)
 # ---- alignment of parts ----------------------------------------------------------
 
 class Aligned:
-    """Alignment of a run of parts: arrays by part (n_a, n_b, n_groups, n_links; -1 where a
-    tokenizer changes the part), all links' pairs in order of their parts, and by part the
-    groups as text."""
+    """Alignment of parts: ``sizes`` by part (n_a, n_b, n_groups, n_links; -1 where a
+    tokenizer changes the part), the pairs of all links in the order of their parts, and by
+    part the groups as text, if asked for."""
 
     def __init__(self, parts: int):
         self.sizes = np.full((parts, 4), -1, np.int64)
-        self.pairs: list[np.ndarray] = [np.zeros(0, np.int64)] * parts
         self.groups: list[str] = [""] * parts
+        self._runs: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, run: list[int], sizes: np.ndarray, pairs: np.ndarray) -> None:
+        self.sizes[run] = sizes
+        self._runs.append((np.repeat(np.array(run), sizes[:, 3]), pairs))
+
+    @property
+    def pairs(self) -> np.ndarray:
+        if not self._runs:
+            return np.zeros(0, np.int64)
+        part, pairs = (np.concatenate(x) for x in zip(*self._runs))
+        return pairs[np.argsort(part, kind="stable")]
 
 
 class Aligner:
@@ -78,28 +89,28 @@ class Aligner:
         whole = " " + text
         return WIDE_PART.findall(whole) if self.b.cuts else [whole]
 
-    def align(self, parts: list[str]) -> Aligned:
+    def align(self, parts: list[str], groups: bool = False) -> Aligned:
         out = Aligned(len(parts))
         # only a part that ends in another character than white space can have one behind it
         runs: tuple[list, list] = ([], [])
         for i, p in enumerate(parts):
             if not self.b.cuts or p[-1] in SPACE:
-                self._run(parts, [i], out)
+                self._run(parts, [i], out, groups)
             else:
                 runs[self.a.settled(p)].append(i)
         for run in runs:
             for at in range(0, len(run), RUN_PARTS):
-                self._run(parts, run[at:at + RUN_PARTS], out)
+                self._run(parts, run[at:at + RUN_PARTS], out, groups)
         return out
 
-    def _run(self, parts: list[str], run: list[int], out: Aligned) -> None:
+    def _run(self, parts: list[str], run: list[int], out: Aligned, texts: bool) -> None:
         text = "".join([parts[i] for i in run])
         data = text.encode()
         a, b = self.a.ids(text), self.b.ids(text)
-        if not b"".join([self.bytes_a[i] for i in a]) == data == b"".join([self.bytes_b[i] for i in b]):
+        if b"".join([self.bytes_b[i] for i in b]) != data or b"".join([self.bytes_a[i] for i in a]) != data:
             if len(run) > 1:  # which parts are changed?
-                self._run(parts, run[:len(run) // 2], out)
-                self._run(parts, run[len(run) // 2:], out)
+                self._run(parts, run[:len(run) // 2], out, texts)
+                self._run(parts, run[len(run) // 2:], out, texts)
             return
         a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
@@ -109,8 +120,9 @@ class Aligner:
         pairs = a[np.searchsorted(end_a, cut)] << 32 | b[np.searchsorted(end_b, cut)]
         groups = np.intersect1d(end_a, end_b, assume_unique=True)
         upto = [np.searchsorted(x, end, side="right") for x in (end_a, end_b, groups, cut)]
-        counts = np.column_stack([np.diff(x, prepend=0) for x in upto])
-        out.sizes[run] = counts
+        out.add(run, np.column_stack([np.diff(x, prepend=0) for x in upto]), pairs)
+        if not texts:
+            return
         # tokens in order of group, tokenizer and place, and what stands behind each
         ids, side = np.concatenate([a, b]), np.repeat(np.array([0, 1]), [len(a), len(b)])
         group = np.searchsorted(groups, np.concatenate([end_a, end_b]))
@@ -118,40 +130,56 @@ class Aligner:
         group, side = group[order], side[order]
         mark = np.where(group[1:] != group[:-1], 2, np.where(side[1:] != side[:-1], 1, 0)).tolist()
         shown = [f"{i}{',|;'[m]}" for i, m in zip(ids[order].tolist(), [*mark, 2])]
-        links, tokens = [0, *upto[3].tolist()], [0, *(upto[0] + upto[1]).tolist()]
+        tokens = [0, *(upto[0] + upto[1]).tolist()]
         for k, i in enumerate(run):
-            out.pairs[i] = pairs[links[k]:links[k + 1]]
             out.groups[i] = "".join(shown[tokens[k]:tokens[k + 1]])[:-1]
 
 
 class Known:
     """A bounded table of parts: the row of a part (-1 where a tokenizer changes it), and by
-    row what ``learn`` made of it: numbers (an array of columns) and one text."""
+    row what ``learn`` made of it: numbers (an array of columns, the fourth counts links),
+    one text, the links' pairs (all rows' or none's), and how often it was asked for."""
 
     def __init__(self, learn, columns: int):
-        self.learn, self.columns = learn, columns
-        self.clear()
-
-    def clear(self) -> None:
-        self.row: dict[str, int] = {}
-        self.numbers, self.texts, self.chars = np.zeros((0, self.columns), np.int64), [], 0
+        self.learn, self.row, self.chars = learn, {}, 0
+        self.numbers, self.times = np.zeros((0, columns), np.int64), np.zeros(0, np.int64)
+        self.texts: list[str] = []
+        self.pairs = [np.zeros(0, np.int64)]
 
     def full(self) -> bool:
         return len(self.row) >= CACHE_PARTS or self.chars >= CACHE_CHARS
 
+    def trim(self) -> None:
+        """Keep the parts that were asked for again, if they are few enough."""
+        keep = self.times >= 2
+        held = {p: r for p, r in self.row.items() if r >= 0 and keep[r]}
+        chars = sum(map(len, held)) + sum(len(t) for t, k in zip(self.texts, keep.tolist()) if k)
+        if len(held) > CACHE_PARTS // 2 or chars > CACHE_CHARS // 2:
+            held, chars, keep = {}, 0, np.zeros(len(self.times), bool)
+        at = np.cumsum(keep) - 1
+        self.row, self.chars = dict(zip(held, at[list(held.values())].tolist())) if held else {}, chars
+        pairs = np.concatenate(self.pairs)
+        self.pairs = [pairs[np.repeat(keep, self.numbers[:, 3])] if len(pairs) else pairs]
+        self.texts = [t for t, k in zip(self.texts, keep.tolist()) if k]
+        self.numbers, self.times = self.numbers[keep], np.zeros(int(keep.sum()), np.int64)
+
     def rows(self, docs: list[list[str]]) -> list[list[int]]:
         """Rows of the parts of each document; [] if a tokenizer changes one."""
         new = list(set().union(*docs) - self.row.keys())
         if new:
-            fine, numbers, texts = self.learn(new)
+            fine, numbers, texts, pairs = self.learn(new)
             at = len(self.numbers) + np.cumsum(fine) - 1
             self.row.update(zip(new, np.where(fine, at, -1).tolist()))
             self.numbers = np.concatenate([self.numbers, numbers])
+            self.times = np.concatenate([self.times, np.zeros(len(numbers), np.int64)])
             self.texts += texts
+            self.pairs.append(pairs)
             self.chars += sum(map(len, new)) + sum(map(len, texts))
         row = self.row
         found = [[row[p] for p in parts] for parts in docs]
-        return [[] if -1 in f else f for f in found]
+        found = [[] if -1 in f else f for f in found]
+        self.times += np.bincount(np.array([r for f in found for r in f], dtype=np.int64), minlength=len(self.times))
+        return found
 
 
 # ---- first pass ------------------------------------------------------------------
@@ -160,47 +188,42 @@ def _count_links(path_a: str, path_b: str):
     """Task function: texts -> (pair, n), a pair once for each time that the table of parts is full."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = kept("aligner", (path_a, path_b), lambda: Aligner(path_a, path_b))
-        links: list[np.ndarray] = []
 
         def learn(parts: list[str]):
             found = aligner.align(parts)
             fine = found.sizes[:, 0] >= 0
-            links.extend([x for x, ok in zip(found.pairs, fine.tolist()) if ok])
-            return fine, found.sizes[fine], []
+            return fine, found.sizes[fine], [], found.pairs
 
-        known = Known(learn, 4)
-        times = np.zeros(0, np.int64)
+        known = kept("aligned-parts", (path_a, path_b), lambda: Known(learn, 4))
+        known.times[:] = 0  # of a task that was lost
         pairs, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def add() -> None:
             """Parts seen become links counted."""
-            nonlocal pairs, total, times
-            each = np.repeat(times, known.numbers[:, 3])
-            pairs, where = np.unique(np.concatenate([pairs, *links]), return_inverse=True)
+            nonlocal pairs, total
+            each = np.repeat(known.times, known.numbers[:, 3])
+            pairs, where = np.unique(np.concatenate([pairs, *known.pairs]), return_inverse=True)
             sums = np.zeros(len(pairs), np.int64)
             np.add.at(sums, where, np.concatenate([total, each]))
-            total, times = sums, np.zeros(0, np.int64)
-            links.clear(), known.clear()
+            total = sums
 
         def rows() -> Iterator[pa.RecordBatch]:
-            met = total > 0  # a part of a changed text counts nothing
+            met = total > 0  # parts of changed texts, or of another task, count nothing
             for lo in range(0, len(pairs), 100_000):
                 cut = np.flatnonzero(met[lo:lo + 100_000]) + lo
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[cut]), pa.array(total[cut])], names=["pair", "n"])
 
         for batch in batches:
             for _, texts in runs(batch, 0, RUN_CHARS):
-                found = known.rows([aligner.split(t) for t in texts if t])
-                at = np.array([r for f in found for r in f], dtype=np.int64)
-                more = np.bincount(at, minlength=len(known.numbers))
-                more[:len(times)] += times
-                times = more
+                known.rows([aligner.split(t) for t in texts if t])
                 if known.full():
                     add()
+                    known.trim()
                     if len(pairs) >= SLICE_PAIRS:
                         yield from rows()
                         pairs = total = np.zeros(0, np.int64)
         add()
+        known.times[:] = 0
         yield from rows()
     return run
 
@@ -328,22 +351,22 @@ def _look_up(path_a: str, path_b: str, table, first: bool):
 
         def learn(parts: list[str]):
             """By part: n_a, n_b, n_groups, n_links, n_best, count_sum, and the groups."""
-            found = aligner.align(parts)
+            found = aligner.align(parts, groups=True)
             fine = found.sizes[:, 0] >= 0
-            pairs = np.concatenate([np.zeros(0, np.int64), *found.pairs])
+            pairs = found.pairs
             at = hash_.slots(pairs)
             known = at >= 0
             known[known] = keys[at[known]] == pairs[known]
             at = np.where(known, at, len(keys))
             upto = np.cumsum([0, *found.sizes[fine, 3]])
             sums = [np.diff(np.concatenate([[0], np.cumsum(np.append(x, 0)[at], dtype=np.int64)])[upto]) for x in (best, counts)]
-            return fine, np.column_stack([found.sizes[fine], *sums]), [g for g, ok in zip(found.groups, fine.tolist()) if ok]
+            return fine, np.column_stack([found.sizes[fine], *sums]), [g for g, ok in zip(found.groups, fine.tolist()) if ok], pairs[:0]
 
         known = kept("counted-parts", token, lambda: Known(learn, 6))
         for batch in batches:
             for at, texts in runs(batch, 1, RUN_CHARS):
                 if known.full():
-                    known.clear()
+                    known.trim()
                 found = known.rows([aligner.split(t) if t else [] for t in texts])
                 # sums over the parts of each document; the row more stands for no part
                 size = np.array(list(map(len, found)))
