@@ -9,13 +9,14 @@ piece is ``LINEAR * length + QUADRATIC * length**2`` (attention stays inside a p
 A document longer than every room left is cut: the lowest-cost sequence with any room
 takes what fits, and the rest goes on.
 
-Nothing is shuffled, a task holds one block, and a task that runs again on the same
+Nothing is shuffled, a task holds one block, costs are balanced inside a block only, and a task that runs again on the same
 rows gives the same pieces.
 """
 
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,69 +24,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tokens import byte_bpe, byte_level, kept
+
 MAX_TOKENS = 1024
 BLOCK_TOKENS = 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / 256
 END_ID = 0
 CACHE_WORDS = 400_000
-#: fixed values: the pre-tokenizer of byte-level BPE vocabularies of this kind
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 PIECES = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
-_encoders: dict[str, Callable[[str], bytes]] = {}
-
-
-def _byte_alphabet() -> dict[str, int]:
-    """Characters that stand for bytes in byte-level vocabularies: printable bytes for
-    themselves, the others by the code points from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
 
 def encoder(path: str) -> Callable[[str], bytes]:
-    """text -> ids as little-endian 32-bit integers, for the tokenizer file ``path``.
+    """text -> ids as little-endian 32-bit integers, for the tokenizer file ``path``: those
+    of the library without added tokens, so the string of a special token is that token.
 
-    Strings of special tokens are ordinary text.  A byte-level BPE with the pattern
-    above is run from its ranks, word by word with a cache: a single space or line feed
-    between two other characters always starts a new token, so a text without longer
-    gaps can be cut there.  Any other tokenizer runs as it is.
+    A byte-level BPE is run word by word with a cache: a single space or line feed between
+    two other characters always starts a new token, so a text without longer gaps can be
+    cut there.  Any other tokenizer runs as it is.
     """
-    if path in _encoders:
-        return _encoders[path]
+    return kept("packing-encoder", path, lambda: _encoder(path))
+
+
+def _encoder(path: str) -> Callable[[str], bytes]:
     with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    pre = spec.get("pre_tokenizer") or {}
-    plain = (spec["model"].get("type") == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
-             and pre.get("use_regex", True) and not spec.get("normalizer"))
-    if plain:
-        import tiktoken
-        byte_of, special = _byte_alphabet(), {t["content"] for t in spec.get("added_tokens", ())}
-        ranks = {bytes(byte_of[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
-        bpe = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-        def ids(text: str) -> bytes:
-            return np.array(bpe.encode_ordinary(text), dtype="<u4").tobytes()
-    else:
+        plain = byte_level(json.load(f))
+    if not plain:
         from tokenizers import Tokenizer
         whole = Tokenizer.from_file(path)
-        whole.encode_special_tokens = True
-
-        def ids(text: str) -> bytes:
-            return np.array(whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-        _encoders[path] = ids
-        return ids
+        whole.no_truncation(), whole.no_padding()
+        return lambda text: _packed(whole.encode(text, add_special_tokens=False).ids)
 
+    bpe = byte_bpe(path)
     cache: dict[str, bytes] = {}
 
-    def encode(text: str) -> bytes:
+    def words(text: str) -> bytes:
         n = len(found := text.split())
         if not n or sum(map(len, found)) + n - 1 != len(text) or text.count(" ") + text.count("\n") != n - 1:
-            return ids(text)
+            return _packed(bpe.ids(text))
         first, *parts = text.replace("\n", " \n").split(" ")
-        out = [ids(first), *map(cache.get, parts)]
+        out = [_packed(bpe.ids(first)), *map(cache.get, parts)]
         for i, x in enumerate(out):
             if x is None:
                 part = parts[i - 1]
@@ -93,14 +71,26 @@ def encoder(path: str) -> Callable[[str], bytes]:
                 if x is None:
                     if len(cache) >= CACHE_WORDS:
                         cache.clear()
-                    x = cache[part] = ids(part if part[0] == "\n" else " " + part)
+                    x = cache[part] = _packed(bpe.ids(part if part[0] == "\n" else " " + part))
                 out[i] = x
         return b"".join(out)
 
-    _encoders[path] = encode
+    def encode(text: str) -> bytes:
+        if bpe.specials is None or not any(s in text for s in bpe.special_ids):
+            return words(text)
+        out, at = [], 0
+        for found in bpe.specials.finditer(text):
+            out += [words(text[at:found.start()]), _packed([bpe.special_ids[found.group()]])]
+            at = found.end()
+        return b"".join([*out, words(text[at:])])
+
     return encode
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 def assign(lengths: list[int], max_tokens: int = MAX_TOKENS) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) of one block of documents."""
     total = sum(lengths)
