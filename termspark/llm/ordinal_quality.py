@@ -89,7 +89,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         max_labels: int = MAX_LABELS) -> Ordinal:
     """Model from at most ``max_labels`` labelled texts with the smallest key hashes."""
     known = (labels.select(F.col(key).alias("k"), grade().alias("g")).where("k is not null and g is not null")
-             .dropDuplicates(["k"]).orderBy(F.xxhash64("k"), "k").limit(max_labels))
+             .groupBy("k").agg(F.min("g").alias("g")).orderBy(F.xxhash64("k"), "k").limit(max_labels))
     rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,8 +107,8 @@ def rate(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
     """One row per row of ``docs``: key, expected_grade, tail_prob, kept.
 
     ``kept`` is tail_prob >= threshold.  Null and empty texts have no token and are not
-    kept; keys without a text in ``docs`` teach nothing, and of repeated label keys one
-    row counts; without labels every text gets the middle of the scale.  Repeated rows
+    kept; keys without a text in ``docs`` teach nothing, and of repeated label keys the
+    lowest grade counts; without labels every text gets the middle of the scale.  Repeated rows
     are rated alike; an empty table gives no rows; other columns are ignored.
     """
     model = model or fit(docs, labels, key, text)
