@@ -32,15 +32,27 @@ def staged(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def located(df: DataFrame, name: str) -> DataFrame:
-    """``df`` with a column ``_at`` (file, row): a stable place for every row, repeated
-    ones too.  A frame that is no plain scan of Parquet files is written first."""
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as it takes to differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def located(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` with a column more, and that column's name: (file, row), a stable place for
+    every row, repeated ones too.  A frame that is no plain scan of Parquet files is
+    written first."""
+    at = free_name(df, "_at")
+
     def place(x: DataFrame) -> DataFrame:
-        return x.withColumn("_at", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")))
+        file = x.metadataColumn("_metadata")
+        return x.withColumn(at, F.struct(file["file_path"].alias("file"), file["row_index"].alias("row")))
     try:
-        return place(df)
+        return place(df), at
     except AnalysisException:
-        return place(staged(df, name))
+        return place(staged(df, name)), at
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

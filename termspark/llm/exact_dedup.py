@@ -57,8 +57,10 @@ def remember(spark: SparkSession, source: str, schema, state: str, out: str,
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
-          digest: Callable[[Column], Column] = sha256, bytes_per_batch: int = BYTES_PER_BATCH) -> DataFrame:
+          digest: Callable[[Column], Column] = sha256, bytes_per_batch: int = BYTES_PER_BATCH,
+          place: str | None = None) -> DataFrame:
     """One row per row of ``docs``: key, keep_id, group_size, kept, text_sha256, file, row.
+    ``place`` names a column that ``located`` added, if there is one.
 
     Null text counts as empty.  Of equal texts the largest key stays (a null key is the
     smallest); of rows that repeat key and text the one with the last locator stays, so
@@ -66,8 +68,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
     columns are ignored.
     """
     spark = docs.sparkSession
-    rows = docs if "_at" in docs.columns else located(docs.select(key, text), "dedup-docs")
-    rows = (rows.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), "_at.file", "_at.row")
+    rows, place = (docs, place) if place else located(docs.select(key, text), "dedup-docs")
+    rows = (rows.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), f"{place}.file", f"{place}.row")
             .withColumn("digest", digest(F.col("text"))))
     folder = shared_path(spark, "dedup")
     narrow = rows.select("digest", "id", "file", "row", sha256(F.col("text")).alias("text_sha256"))
@@ -98,7 +100,9 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def distinct(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``dedup`` keeps."""
-    placed = located(docs, "dedup-docs")
-    gone = dedup(placed, key, text).where(~F.col("kept")).select(F.struct("file", "row").alias("_at"))
-    return placed.join(gone, "_at", "left_anti").select(*docs.columns)
+    """The rows of ``docs``, with all their columns, that ``dedup`` keeps: one of each text,
+    nulls and empty texts being one; texts of any length are compared whole; an empty table
+    gives no rows."""
+    placed, at = located(docs, "dedup-docs")
+    gone = dedup(placed, key, text, place=at).where(~F.col("kept")).select(F.struct("file", "row").alias(at))
+    return placed.join(gone, at, "left_anti").select(*docs.columns)

@@ -25,7 +25,7 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import located, staged, word_count
+from .common import free_name, located, staged, word_count
 
 BLOCK_ROWS = 256
 #: words of an output shard; the driver's tree holds at most MAX_SHARDS counts for each source, beyond that shards grow
@@ -131,6 +131,7 @@ def plan(docs: DataFrame, weights=default_weights, volume: float = 1.5, max_repe
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("_crc"),
         *[F.col(c).alias(f"_keep_{c}") for c in keep]), "mix-rows")
     found = rows.groupBy("_source").agg(F.count(F.lit(1)).alias("n"), F.sum("_size").alias("words")).collect()
+    found.sort(key=lambda r: (r["_source"] is None, (r["_source"] or "").encode("utf-8")))  # reruns draw alike
     sizes = {r["_source"]: r["words"] for r in found}
     weight = weights(list(sizes)) if callable(weights) else {s: weights.get(s, 0) for s in sizes}
     wanted = targets(sizes, weight, volume, max_repeats)
@@ -198,11 +199,14 @@ def plan(docs: DataFrame, weights=default_weights, volume: float = 1.5, max_repe
 
 def mix(docs: DataFrame, seed: int = 6, key: str = "doc_id", **options) -> DataFrame:
     """The mixed stream: rows of ``docs`` with all their columns, one for each copy, and
-    the output shard as ``mix_shard``.  Partitions hold whole shards; inside a shard rows
-    are in a seeded random order."""
-    placed = located(docs, "mix-docs")
-    drawn = plan(placed, seed=seed, key=key, keep=("_at",), **options).where("copies > 0")
-    drawn = drawn.select("_at", F.col("shards").alias("_shards"))
-    rows = placed.join(drawn, "_at").select(*docs.columns, F.posexplode("_shards").alias("_copy", "mix_shard"))
-    local = F.xxhash64(F.lit(seed), F.lit("slot"), F.col(key), F.col("_copy"))
-    return rows.repartition("mix_shard").sortWithinPartitions("mix_shard", local).drop("_copy")
+    the output shard as ``mix_shard`` (with underscores behind it if there is such a column
+    already).  Partitions hold whole shards; inside a shard rows are in a seeded random
+    order.  Null and empty texts and sources without words are mixed as ``plan`` says; an
+    empty table gives no rows."""
+    placed, at = located(docs, "mix-docs")
+    drawn = plan(placed, seed=seed, key=key, keep=(at,), **options).where("copies > 0").select(F.col(at).alias("at"), "shards")
+    rows = placed.select(F.struct(*docs.columns).alias("doc"), F.col(at).alias("at"))
+    rows = rows.join(drawn, "at").select("doc", F.posexplode("shards").alias("copy", "shard"))
+    local = F.xxhash64(F.lit(seed), F.lit("slot"), F.col("doc")[key], F.col("copy"))
+    rows = rows.repartition("shard").sortWithinPartitions("shard", local)
+    return rows.select("doc.*", F.col("shard").alias(free_name(docs, "mix_shard")))

@@ -570,9 +570,11 @@ def _join(docs: DataFrame, key: str, text: str, width: int, percent: int) -> Dat
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, with all their columns, less all but the first of each
-    component (smallest key, then place in the table)."""
-    placed = located(docs, "join-docs")
-    ranked = placed.select(F.struct(F.col(key).alias("key"), "_at").alias("key"), F.col(text).alias("text"))
+    component (smallest key, then place in the table; a null key is the smallest).  Rows
+    without words are no component and stay; repeated rows are one; an empty table gives no
+    rows."""
+    placed, at = located(docs, "join-docs")
+    ranked = placed.select(F.struct(F.col(key).alias("key"), F.col(at).alias("at")).alias("key"), F.col(text).alias("text"))
     found = join(ranked, "key", "text", **options)
-    gone = found.where(F.col("key") != F.col("component_id")).select("key._at")
-    return placed.join(gone, "_at", "left_anti").select(*docs.columns)
+    gone = found.where(F.col("key") != F.col("component_id")).select(F.col("key.at").alias(at))
+    return placed.join(gone, at, "left_anti").select(*docs.columns)

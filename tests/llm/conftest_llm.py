@@ -1,10 +1,10 @@
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, slot string, size string, `key` string, kept string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, slot string, size string, `key` string, kept string, _at string, _copy string, mix_shard string, _metadata string"
 
 
 def make(spark, rows, tmp_path=None):
     """documents with columns whose names clash with those of the operators; a Parquet
     scan if ``tmp_path`` is given, else a frame in memory."""
-    full = [(i, t, lang, source, None if t is None else len(t), "x", "y", "z", "k", "q") for i, t, lang, source in rows]
+    full = [(i, t, lang, source, None if t is None else len(t), "x", "y", "z", "k", "q", "a", "b", "c", "d") for i, t, lang, source in rows]
     df = spark.createDataFrame(full, SCHEMA).coalesce(2)
     if tmp_path is None:
         return df
