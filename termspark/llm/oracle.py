@@ -19,7 +19,7 @@ g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP B
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256 FROM d JOIN g USING (text)
 """
 
-_RATES = {"word_chars": (0, True), "n_symbols": (500, False), "n_dup_lines": (300, False), "n_repeat_words": (2000, False)}
+_RATES = {"word_chars": (3, 0, True), "n_symbols": (16, 2, False), "n_dup_lines": (16, 2, False), "n_repeat_words": (32, 12, False)}
 
 
 def _quality() -> str:
@@ -28,18 +28,23 @@ def _quality() -> str:
 
     def level(name: str, keys: str) -> str:
         by = f"{keys}, " if keys else ""
-        return f"""{name} AS (SELECT {by}measure, max(docs) AS docs, min(CASE WHEN 100 * upto >= 25 * docs THEN top END) AS lo,
-  min(CASE WHEN 100 * upto >= 75 * docs THEN top END) AS hi FROM (
+        return f"""{name} AS (SELECT {by}measure, max(docs) AS docs, min(CASE WHEN 100 * upto >= 10 * docs THEN top END) AS lo,
+  min(CASE WHEN 100 * upto >= 90 * docs THEN top END) AS hi FROM (
     SELECT {by}measure, top, sum(n) OVER (PARTITION BY {by}measure ORDER BY top) AS upto, sum(n) OVER (PARTITION BY {by}measure) AS docs
     FROM (SELECT {by}measure, top, sum(n) AS n FROM s GROUP BY {by}measure, top)) GROUP BY {by}measure)"""
 
-    def chosen(c: str) -> str:
-        return f"CASE WHEN p.docs >= 100 THEN p.{c} WHEN l.docs >= 100 THEN l.{c} ELSE t.{c} END"
+    halves = "CASE p.measure " + " ".join(f"WHEN '{m}' THEN {k}" for m, (k, *_) in _RATES.items()) + " END"
+
+    def tongue(c: str) -> str:
+        return f"(CASE WHEN l2.docs >= 100 THEN l2.{c} ELSE t.{c} END)"
+
+    def own(c: str) -> str:
+        return f"(CASE WHEN p.docs >= 100 THEN p.{c} ELSE {tongue(c)} END)"
 
     tests = []
-    for m, (floor, both) in _RATES.items():
+    for m, (_, stray, both) in _RATES.items():
         x = f"(({m} * 10000) // greatest(n_words, 1))"
-        tests.append(f"{x} <= greatest(3 * hi_{m}, {floor})" + (f" AND 3 * {x} >= lo_{m}" if both else ""))
+        tests.append(f"(4 * {x} <= hi_{m} OR {m} <= {stray})" + (f" AND 3 * {x} >= 2 * lo_{m}" if both else ""))
     wide = ", ".join(f"max(CASE WHEN measure = '{m}' THEN {c} END) AS {c}_{m}" for m in _RATES for c in ("lo", "hi"))
     return f"""
 WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+') AS w FROM documents),
@@ -57,7 +62,8 @@ e AS ({rates}),
 s AS (SELECT lang, source, measure, (((x >> k) + 1) << k) - 1 AS top, count(*) AS n
       FROM (SELECT *, greatest(length(bin(x)) - 4, 0) AS k FROM e) GROUP BY 1, 2, 3, 4),
 {level('p', 'lang, source')}, {level('l2', 'lang')}, {level('t', '')},
-q AS (SELECT p.lang, p.source, p.measure, {chosen('lo').replace('l.', 'l2.')} AS lo, {chosen('hi').replace('l.', 'l2.')} AS hi
+q AS (SELECT p.lang, p.source, p.measure, least({own('lo')}, {tongue('lo')}) AS lo,
+        least(greatest(2 * {own('hi')}, {tongue('hi')}), 4 * {tongue('hi')}) * {halves} AS hi
       FROM p JOIN l2 ON p.lang IS NOT DISTINCT FROM l2.lang AND p.measure = l2.measure JOIN t ON p.measure = t.measure),
 z AS (SELECT lang, source, {wide} FROM q GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -11,10 +11,14 @@ a (language, source) pair has at most a few hundred buckets.  Pairs with fewer t
 ``MIN_DOCS`` documents use the sketch of their language, and small languages that of
 the whole table, merged from the same rows.
 
-A text is rejected if a rate lies far outside: above ``SLACK`` times the 0.75 quantile
-(or, for word length, also below the 0.25 quantile over ``SLACK``), with a floor so that
-a group in which a rate is always 0 does not reject a text for a single symbol.  Texts
-that fail the base rules are left out of the sketches.
+A rate is *usual* up to a multiple (``RATES``) of its 0.9 quantile; word length also has a
+lower end, two thirds of its 0.1 quantile.  A pair's limit follows its own sketch, but only
+between half and twice that of its language, so a source full of junk does not make junk
+usual, and one that is cleaner than the rest does not condemn what its language has
+everywhere.  A fault is counted only
+from an occurrence or two on (``RATES``): where a fault is unknown to a language, the limit
+is 0, and a single stray symbol or repeated line rejects nothing.  Texts that fail the base
+rules are left out of the sketches.
 """
 
 from __future__ import annotations
@@ -29,9 +33,10 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW = 3
 MIN_DOCS = 100
-LOW_PERCENT, HIGH_PERCENT, SLACK = 25, 75, 3
-#: measure -> (floor of its upper threshold, has a lower threshold); rates are per 10,000 words
-RATES = {"word_chars": (0, True), "n_symbols": (500, False), "n_dup_lines": (300, False), "n_repeat_words": (2000, False)}
+PERCENT = {"lo": 10, "hi": 90}
+#: measure -> (halves of the 0.9 quantile that are usual, occurrences that never reject, has a lower limit); rates
+#: are per 10,000 words; two three-word windows, each found twice, make 12 repeated words
+RATES = {"word_chars": (3, 0, True), "n_symbols": (16, 2, False), "n_dup_lines": (16, 2, False), "n_repeat_words": (32, 12, False)}
 
 
 def measures(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -75,7 +80,7 @@ def sketches(rows: DataFrame) -> DataFrame:
 
 
 def _quantiles(sketch: DataFrame, level: list[str]) -> DataFrame:
-    """Sketches merged to ``level``: documents and both quantiles of each rate."""
+    """Sketches merged to ``level``: documents and the quantiles of each rate."""
     merged = sketch.groupBy(*level, "measure", "top").agg(F.sum("n").alias("n"))
     whole = Window.partitionBy(*level, "measure")
     upto = whole.orderBy("top").rowsBetween(Window.unboundedPreceding, 0)
@@ -83,19 +88,28 @@ def _quantiles(sketch: DataFrame, level: list[str]) -> DataFrame:
     return merged.groupBy(*level, "measure").agg(
         F.max("docs").alias("docs"),
         *[F.min(F.when(100 * F.col("upto") >= p * F.col("docs"), F.col("top"))).alias(c)
-          for c, p in (("lo", LOW_PERCENT), ("hi", HIGH_PERCENT))])
+          for c, p in PERCENT.items()])
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """One row per (language, source): upper and lower threshold of each rate."""
+    """One row per (language, source): of each rate four times the upper limit (``hi_``: halves
+    of halves stay whole numbers) and the quantile that the lower limit is taken from (``lo_``)."""
     pair = _quantiles(sketch, ["lang", "source"]).alias("p")
     tongue = _quantiles(sketch, ["lang"]).alias("l")
     table = _quantiles(sketch, []).alias("t")
     same = F.col("p.lang").eqNullSafe(F.col("l.lang")) & (F.col("p.measure") == F.col("l.measure"))
     every = pair.join(tongue, same).join(table, F.col("p.measure") == F.col("t.measure"))
-    chosen = lambda c: (F.when(F.col("p.docs") >= MIN_DOCS, F.col(f"p.{c}"))
-                        .when(F.col("l.docs") >= MIN_DOCS, F.col(f"l.{c}")).otherwise(F.col(f"t.{c}")))
-    every = every.select("p.lang", "p.source", "p.measure", chosen("lo").alias("lo"), chosen("hi").alias("hi"))
+    halves = F.element_at(F.create_map(*[F.lit(x) for m, (h, *_) in RATES.items() for x in (m, h)]), F.col("p.measure"))
+
+    def of(end: str) -> tuple[Column, Column]:
+        """The quantile of the language and of the pair; a small group has that of the larger one."""
+        own = F.when(F.col("l.docs") >= MIN_DOCS, F.col(f"l.{end}")).otherwise(F.col(f"t.{end}"))
+        return own, F.when(F.col("p.docs") >= MIN_DOCS, F.col(f"p.{end}")).otherwise(own)
+
+    (wide, near), (wide_lo, near_lo) = of("hi"), of("lo")
+    # between half and twice the language's
+    every = every.select("p.lang", "p.source", "p.measure", (F.least(F.greatest(2 * near, wide), 4 * wide) * halves).alias("hi"),
+                         F.least(near_lo, wide_lo).alias("lo"))
     return every.groupBy("lang", "source").agg(*[
         F.max(F.when(F.col("measure") == m, F.col(c))).alias(f"{c}_{m}") for m in RATES for c in ("lo", "hi")])
 
@@ -114,8 +128,8 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     rows = rows.alias("r").join(limits, F.col("r.lang").eqNullSafe(F.col("t.lang"))
                                 & F.col("r.source").eqNullSafe(F.col("t.source")), "left")
     usual = F.lit(True)
-    for m, (floor, both) in RATES.items():
-        usual = usual & (rate(m) <= F.greatest(SLACK * F.col(f"hi_{m}"), F.lit(floor)))
-        usual = usual & (SLACK * rate(m) >= F.col(f"lo_{m}")) if both else usual
+    for m, (_, stray, both) in RATES.items():
+        usual = usual & ((4 * rate(m) <= F.col(f"hi_{m}")) | (F.col(m) <= stray))
+        usual = usual & (3 * rate(m) >= 2 * F.col(f"lo_{m}")) if both else usual
     return rows.select(F.col("id").alias(key), "n_words", *RATES, base_failed().alias("base_failed"),
                        (~base_failed() & F.coalesce(usual, F.lit(True))).alias("kept"))
