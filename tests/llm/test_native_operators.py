@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest_llm import BASE, make
 from termspark.llm import chat, exact_dedup, mixing, quality_rules, sharding
+from termspark.llm.common import staged
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -18,7 +19,8 @@ def dedup_plainly(rows):
     groups = defaultdict(list)
     for at, (i, t, *_) in enumerate(rows):
         groups[t or ""].append((-1 << 62 if i is None else i, at))
-    return sorted((str(i), str(max(groups[t or ""])[0]), len(groups[t or ""]), hashlib.sha256((t or "").encode()).hexdigest())
+    kept = {t: max(g)[0] for t, g in groups.items()}
+    return sorted((str(i), str(None if kept[t or ""] == -1 << 62 else kept[t or ""]), len(groups[t or ""]), hashlib.sha256((t or "").encode()).hexdigest())
                   for i, t, *_ in rows)
 
 
@@ -95,7 +97,9 @@ def test_mix(spark, odd_rows, tmp_path):
     again = mixing.plan(df.repartition(7), shard_words=2000).collect()
     assert sorted(map(str, plan)) == sorted(map(str, again))
     out = mixing.mix(df, shard_words=2000)
-    assert out.columns == df.columns + ["mix_shard"]
+    assert out.columns == df.columns + ["mix_shard_"]
+    assert {(r._at, r._copy, r.mix_shard) for r in out.collect()} == {("a", "b", "c")}
+    assert sorted(map(str, mixing.mix(df.repartition(5), shard_words=2000).collect())) == sorted(map(str, out.collect()))
     assert out.count() == sum(r.copies for r in plan)
     assert mixing.plan(df.limit(0)).count() == 0
 
@@ -125,6 +129,26 @@ def test_quality_rules(spark, odd_rows):
     assert quality_rules.judge(make(spark, rows).limit(0)).count() == 0
 
 
+def test_sketches_decide(spark):
+    """The same text stays where its rates are usual and goes where they are not; a junk source does not raise
+    its own limit beyond twice its language's; no constant does the same."""
+    def text(i, symbols):
+        return " ".join(f"word{(i * 31 + k * 17) % 997}{'#' * (k < symbols)}" for k in range(60))
+    rows = [(k, text(k, 3 + k % 3), "code", f"s{k % 2}") for k in range(220)]                       # symbols everywhere
+    rows += [(1000 + k, text(k, 0), "en", "clean") for k in range(240)]                             # symbols nowhere
+    rows += [(2000 + k, text(k, 3 + k % 3), "en", "junk") for k in range(25)]                       # usual in code, not here
+    rows += [(3000 + k, text(k, 40 if k < 80 else 1), "mixed", "junk") for k in range(105)]        # most of a source is junk
+    rows += [(4000 + k, text(k, k % 2), "mixed", f"good{k % 9}") for k in range(1000)]
+    rows += [(9000, text(5, 59), "code", "s0"), (9001, text(5, 2), "en", "clean")]
+    kept = {r.doc_id: r.kept for r in quality_rules.judge(make(spark, rows)).collect()}
+    assert all(kept[k] for k in range(220)) and not kept[9000]
+    assert all(kept[1000 + k] for k in range(240)) and not any(kept[2000 + k] for k in range(25))
+    assert kept[9001]  # two stray symbols reject nothing
+    assert not any(kept[3000 + k] for k in range(80)) and all(kept[4000 + k] for k in range(1000))
+    limits = quality_rules.thresholds(quality_rules.sketches(staged(quality_rules.measures(make(spark, rows)), "test"))).collect()
+    assert len({r.hi_n_symbols for r in limits}) >= 3
+
+
 def test_sketch_merges_and_bounds_quantiles(spark):
     df = spark.range(1, 5001).selectExpr("id as n_words", "id % 7 as lang", "'s' as source", "id * 5 as word_chars", "0L as n_symbols",
                                          "0L as n_dup_lines", "0L as n_repeat_words", "id").where("n_words >= 50")
