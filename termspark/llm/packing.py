@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import byte_bpe, byte_level, kept
+from .tokens import byte_bpe, byte_level
 
 MAX_TOKENS = 1024
 BLOCK_TOKENS = 1 << 20
@@ -41,12 +41,8 @@ def encoder(path: str) -> Callable[[str], bytes]:
 
     A byte-level BPE is run word by word with a cache: a single space or line feed between
     two other characters always starts a new token, so a text without longer gaps can be
-    cut there.  Any other tokenizer runs as it is.
+    cut there.  Any other tokenizer runs as it is.  The cache lives as long as the encoder.
     """
-    return kept("packing-encoder", path, lambda: _encoder(path))
-
-
-def _encoder(path: str) -> Callable[[str], bytes]:
     with open(path, encoding="utf-8") as f:
         plain = byte_level(json.load(f))
     if not plain:
