@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ SLICE_PAIRS = 1 << 22
 SLOTS_PER_BLOCK = 1 << 16
 FAN_IN = 16
 #: parts and characters that a task keeps what it learnt of, parts encoded in one call, characters read at a time
-CACHE_PARTS, CACHE_CHARS = 300_000, 32 << 20
+CACHE_PARTS, CACHE_CHARS = 400_000, 48 << 20
 RUN_PARTS, RUN_CHARS = 20_000, 1 << 20
 DONE = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 _LOW = np.int64(0xFFFFFFFF)
@@ -163,10 +164,13 @@ class Known:
         self.texts = [t for t, k in zip(self.texts, keep.tolist()) if k]
         self.numbers, self.times = self.numbers[keep], np.zeros(int(keep.sum()), np.int64)
 
-    def rows(self, docs: list[list[str]]) -> list[list[int]]:
-        """Rows of the parts of each document; [] if a tokenizer changes one."""
-        new = list(set().union(*docs) - self.row.keys())
-        if new:
+    def rows(self, docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of all parts, one document after another, and how many of them each document
+        has; a document of which a tokenizer changes a part has none."""
+        parts = list(chain.from_iterable(docs))
+        found = list(map(self.row.get, parts))
+        if None in found:
+            new = list({p for p, r in zip(parts, found) if r is None})
             fine, numbers, texts, pairs = self.learn(new)
             at = len(self.numbers) + np.cumsum(fine) - 1
             self.row.update(zip(new, np.where(fine, at, -1).tolist()))
@@ -175,11 +179,17 @@ class Known:
             self.texts += texts
             self.pairs.append(pairs)
             self.chars += sum(map(len, new)) + sum(map(len, texts))
-        row = self.row
-        found = [[row[p] for p in parts] for parts in docs]
-        found = [[] if -1 in f else f for f in found]
-        self.times += np.bincount(np.array([r for f in found for r in f], dtype=np.int64), minlength=len(self.times))
-        return found
+            row = self.row
+            found = [row[p] if r is None else r for p, r in zip(parts, found)]
+        at, size = np.array(found, dtype=np.int64), np.array(list(map(len, docs)), dtype=np.int64)
+        some = np.flatnonzero(size)
+        if len(some):
+            changed = some[np.minimum.reduceat(at, (np.cumsum(size) - size)[some]) < 0]
+            whole = np.ones(len(docs), bool)
+            whole[changed] = False
+            at, size = at[np.repeat(whole, size)], np.where(whole, size, 0)
+        self.times += np.bincount(at, minlength=len(self.times))
+        return at, size
 
 
 # ---- first pass ------------------------------------------------------------------
@@ -340,8 +350,9 @@ def tree_sum(vectors: DataFrame) -> DataFrame:
 
 # ---- second pass -----------------------------------------------------------------
 
-def _look_up(path_a: str, path_b: str, table, first: bool):
-    """Task function: (key, text, results so far) -> the same with the slice's counts."""
+def _look_up(path_a: str, path_b: str, table, first: bool, last: bool):
+    """Task function: (key, text, results so far) -> the same with the slice's counts; the
+    ``last`` slice needs the text no more."""
     token = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,21 +378,20 @@ def _look_up(path_a: str, path_b: str, table, first: bool):
             for at, texts in runs(batch, 1, RUN_CHARS):
                 if known.full():
                     known.trim()
-                found = known.rows([aligner.split(t) if t else [] for t in texts])
-                # sums over the parts of each document; the row more stands for no part
-                size = np.array(list(map(len, found)))
-                where = np.array([r for f in found for r in f], dtype=np.int64)
+                where, size = known.rows([aligner.split(t) if t else [] for t in texts])
+                # sums over the parts of each document
                 upto = np.concatenate([np.zeros((1, 6), np.int64), np.cumsum(known.numbers[where], axis=0)])
                 ends = np.cumsum(size)
                 sums = upto[ends] - upto[ends - size]
-                text = known.texts
+                shown = list(map(known.texts.__getitem__, where.tolist()))
+                groups = [";".join(shown[hi - n:hi]) for hi, n in zip(ends.tolist(), size.tolist())]
                 before = batch.slice(at, len(texts))
                 if not first:  # a later slice adds to what the ones before it found
                     names = before.schema.names
                     sums[:, 4:] += np.column_stack([before.column(names.index(c)).to_numpy() for c in ("n_best", "count_sum")])
                 yield pa.RecordBatch.from_arrays(
-                    [before.column(0), before.column(1), *(pa.array(c) for c in sums.T.copy()),
-                     pa.array([";".join([text[r] for r in f]) for f in found], pa.string())],
+                    [before.column(0), pa.nulls(len(texts), pa.string()) if last else before.column(1),
+                     *(pa.array(c) for c in sums.T.copy()), pa.array(groups, pa.string())],
                     names=["key", "text", *(f.split()[0] for f in DONE.split(", "))])
     return run
 
@@ -429,6 +439,6 @@ def align(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
         if tables:
             rows = staged(rows, "align-rows")
             tables.pop().unpersist()
-        rows = rows.mapInArrow(_look_up(path_a, path_b, table, not first), f"key {kind}, text string, {DONE}")
+        rows = rows.mapInArrow(_look_up(path_a, path_b, table, not first, first + per_slice >= buckets), f"key {kind}, text string, {DONE}")
         tables.append(table)
     return rows.select(F.col("key").alias(key), *(f.split()[0] for f in DONE.split(", ")))
