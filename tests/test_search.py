@@ -99,3 +99,13 @@ def test_index_follows_its_input(spark, small_dir, tmp_path, monkeypatch):
     more = spark.read.parquet(f"{small_dir}/part.parquet").withColumn("p_partkey", F.col("p_partkey") + 10 ** 6)
     more.write.mode("overwrite").parquet(f"{folder}/part.parquet")
     assert registry.persisted_index(spark, folder)[3].agg(F.min("concept_id")).first()[0] >= 10 ** 6
+
+
+def test_expansion_does_not_grow_with_the_rules_of_a_term(spark):
+    """Many rules of one term and few different tokens: the tokens once, and no side of a join that
+    grows with labels or rules is broadcast."""
+    rules = spark.range(600).select(F.lit("rouge petit").alias("term"), F.concat_ws(" ", F.lit("small"), (F.col("id") % 3).cast("string")).alias("replacement"))
+    labels = spark.range(300).select(F.col("id").alias("k"), F.lit("rouge petit anneau").alias("text"))
+    out = search.expand_tokens(labels, "k", "text", "fr_en", rewrites=rules)
+    assert {r.token for r in out.where("k = 7").collect()} == {"small", "0", "1", "2", "anneau"} and out.count() == 1500
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
