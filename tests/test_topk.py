@@ -58,3 +58,26 @@ def test_hits_are_summed_where_they_arise(spark):
     lines = [line for line in plan.splitlines() if "BroadcastHashJoin" in line or "Exchange hashpartitioning" in line]
     assert "BroadcastHashJoin" in lines[0] and sum("Exchange hashpartitioning" in line for line in lines) == 1
     assert "hashpartitioning(concept_id" in plan
+
+
+def test_concepts_that_labels_cannot_tell_apart_are_scored_once(spark, monkeypatch):
+    """Many concepts with the same tokens, all of them common: what is scored and kept does not grow with them."""
+    monkeypatch.setattr(topk, "HITS_PER_PARTITION", 500)
+    seen = []
+    real = topk._dealt
+    monkeypatch.setattr(topk, "_dealt", lambda rows, terms: (seen.append(rows.count()), real(rows, terms))[1])
+    terms = spark.createDataFrame([(q, "en", f"t{t}", 1) for q in range(8) for t in (q, q + 1, 9)], "q long, group string, token string, qtf long")
+    for n in (300, 1200):
+        postings = spark.createDataFrame([("en", t, c, 1.0 + c % 2) for c in range(n) for t in (f"t{c % 9}", "t9", f"own{c}")],
+                                         "group string, token string, concept_id long, fs double")
+        some = topk.best(terms, "q", postings, 10, all_hits=0)
+        assert ranked(some, 10) == ranked(topk.all_scores(terms, "q", postings), 10)
+        assert some.count() <= 8 * 10 * 10
+    assert max(seen) <= 18
+
+
+def test_other_tokens_are_added_without_a_shuffle(spark):
+    """Hits meet the label's other tokens in their own row: the join with them is no exchange of hits."""
+    terms, postings = frames(spark, 5)
+    plan = topk.best(terms, "q", postings, 10, all_hits=0)._jdf.queryExecution().executedPlan().toString()
+    assert "more" not in plan and "aggregate(want" in plan
