@@ -104,7 +104,8 @@ def rank_filtered(queries: DataFrame, idx: DataFrame, docs: DataFrame, literals:
     own = F.coalesce(F.col(filter_col).cast("long"), F.lit(NO_FILTER)).alias("filter_id")
     labeled = labeled.withColumn("_qk", F.struct(F.col("_qk._tk").alias("_tk"), own))
     label_map, keys, texts = search.numbered(labeled, text_cols, id_col)
-    hits = topk.all_scores(search.query_tokens(texts, "_ti", groups), "_ti", topk.fold(idx, groups, weights))
+    qt = search.query_tokens(texts, "_ti", groups)
+    hits = topk.all_scores(qt, "_ti", topk.fold(idx, groups, weights, qt))
     hits = keys.join(hits, "_ti").select("_qk", "filter_id", "concept_id", "score")
     top = search.top_k(passing(hits, docs, idx, literals).drop("filter_id"), k, page, "_qk")
     return label_map.join(top, "_qk").select(id_col, "rank", "concept_id", "score")

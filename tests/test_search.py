@@ -109,3 +109,43 @@ def test_expansion_does_not_grow_with_the_rules_of_a_term(spark):
     out = search.expand_tokens(labels, "k", "text", "fr_en", rewrites=rules)
     assert {r.token for r in out.where("k = 7").collect()} == {"small", "0", "1", "2", "anneau"} and out.count() == 1500
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_boost_thresholds_change_nothing(spark, monkeypatch):
+    """Ranked with thresholds from a share of the concepts as from all; hits below them are not ranked."""
+    rows = [(i, "heart attack" if i % 3 else "heart", None, None, None, None, None, None, None, None, None if i % 7 == 0 else float(i % 50), i % 4, "OMOP S")
+            for i in range(600)]
+    d = spark.createDataFrame(rows, DOC)
+    ix = search.index(d, groups=["en"])
+    q = spark.createDataFrame([(i, "heart attack" if i % 2 else "heart", float(i), 2.0) for i in range(12)],
+                              "query_id long, text string, value_avg double, frequency double")
+    for kind in ("value", "frequency", "numerics"):
+        every = search.scores(q, ix, d, groups={"en": "text"}, boost=kind)
+        some = search.scores(q, ix, d, groups={"en": "text"}, boost=kind, best=10)
+        got = sorted((r.query_id, r["rank"], r.concept_id, round(r.score, 6)) for r in search.rank(q, ix, d, groups={"en": "text"}, boost=kind).collect())
+        assert got == sorted((r.query_id, r["rank"], r.concept_id, round(r.score, 6)) for r in search.top_k(every, 10).collect())
+        assert len(got) == 120 and (kind != "value" or some.count() < every.count() / 2)
+
+
+def test_phrase_ranking_is_that_of_all_hits(spark):
+    """Concepts with and without the phrase, more of both than are ranked."""
+    words = ["heart", "attack", "acute", "lung", "old"]
+    rows = [(i, " ".join([words[i % 5], words[i // 5 % 5], words[i // 25 % 5], words[i % 3]]), None, None, None, None, None, None, None, None, 1.0, 1, "OMOP S") for i in range(250)]
+    d = spark.createDataFrame(rows, DOC)
+    positions = search.positional_postings(d, ["en"])
+    ix = search.index(d, ["en"], positions=positions)
+    lists = search.phrase_lists(positions)
+    q = spark.createDataFrame([(1, "acute heart attack"), (2, "old lung heart attack"), (3, "lung")], "query_id long, text string")
+    groups = {"en": "text"}
+    ts = search.text_scores(q, "query_id", ix, groups)
+    ps = search.phrase_scores(q, "query_id", *lists, groups)
+    every = ts.join(ps, ["query_id", "concept_id"], "left").selectExpr("query_id", "concept_id", "score + coalesce(pscore, 0) as score")
+    want = sorted((r.query_id, r["rank"], r.concept_id, round(r.score, 6)) for r in search.top_k(every, 5).collect())
+    got = search.rank_with_phrases(q, ix, *lists, k=5, groups=groups).collect()
+    assert sorted((r.query_id, r["rank"], r.concept_id, round(r.score, 6)) for r in got) == want and ps.count() > 10
+
+
+def test_index_is_built_in_one_shuffle(spark):
+    """Token places, counts and field lengths come from one shuffle of the values."""
+    plan = search.token_places(docs(spark), ["en"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(concept_id" in plan
