@@ -46,6 +46,15 @@ def test_store_buckets_follow_the_rows(spark, tmp_path, monkeypatch):
         empty.read()
 
 
+def test_store_writes_a_file_for_each_share_of_a_bucket(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store_module, "ROWS_PER_FILE", 100)
+    rows = spark.range(3200).select(F.col("id").cast("string").alias("id"))
+    store = Store(spark, str(tmp_path / "store"), "id")
+    store.replace(rows)
+    files = store.read().inputFiles()
+    assert len(files) == store_module.MIN_BUCKETS * 4 and store.read().distinct().count() == 3200
+
+
 def test_per_project_csv_and_plain_writers(spark, tmp_path):
     df = spark.createDataFrame([(1, "A"), (2, "B")], "concept_id long, m_project_type_id string")
     writers.write_per_project_csv(df, str(tmp_path / "exp"))

@@ -50,3 +50,23 @@ def test_frequency_classes_use_one_aggregate_for_all_sources(spark, small_dir):
     df = E.queries()["frequency_class_all_sources"](spark, small_dir)
     logical = df._jdf.queryExecution().optimizedPlan().toString()
     assert logical.count("percentile_approx") == 1
+
+
+def test_change_feed_tables_are_computed_once(spark, small_dir):
+    """Edges, statistics and renamed concepts of a change feed are read from what was written once, and are
+    the rows of the views; no build of a micro-batch reads the raw line items or events."""
+    from pyspark.sql import functions as F
+    from termspark.operators import documents
+    from termspark.plans import registry
+    from termspark.sources.tables import Tables
+    views = Tables(spark, small_dir)
+    _, feed, before, after = registry._change_feed(spark, views)
+    for t in (before, after):
+        read = documents.build(t).inputFiles()
+        assert not [f for f in read if "lineitem" in f or "events" in f]
+    changed, renamed = registry._renamed(views)
+    shown = views.mapper_statistic.filter(F.col("m_statistic_type_id").isin("AVG", "FREQ"))
+    for got, want in ((spark.read.parquet(feed), changed), (after.concept, renamed), (after.mapper_statistic, shown),
+                      (after.concept_relationship, views.concept_relationship)):
+        assert got.schema.names == want.schema.names
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
