@@ -81,3 +81,15 @@ def test_other_tokens_are_added_without_a_shuffle(spark):
     terms, postings = frames(spark, 5)
     plan = topk.best(terms, "q", postings, 10, all_hits=0)._jdf.queryExecution().executedPlan().toString()
     assert "more" not in plan and "aggregate(want" in plan
+
+
+def test_postings_are_dealt_out_by_their_number(spark, monkeypatch):
+    """A task sums up a bounded number of hits, and gets a bounded number of postings, on tables of any size."""
+    rows = [("en", "concept_name_en", t, c, 1.0) for c in range(100) for t in ("a", "b")]
+    idx = spark.createDataFrame(rows, "group string, field string, token string, concept_id long, bm25 double")
+    terms = spark.createDataFrame([(q, "en", "a", 1) for q in range(5)], "q long, group string, token string, qtf long")
+    monkeypatch.setattr(topk, "HITS_PER_PARTITION", 2)
+    assert topk.fold(idx, ["en"], terms=terms).rdd.getNumPartitions() == 50
+    postings = topk.fold(idx, ["en"], terms=terms, all_hits=True)
+    assert postings.rdd.getNumPartitions() == 250
+    assert topk.all_scores(terms, "q", postings).count() == 500
