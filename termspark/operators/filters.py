@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.plan_tools import cut_lineage
+from ..functions.plan_tools import analysis_partitions, cut_lineage
 from . import search, topk
 
 LITERALS = "filter_id long, clause int, negated boolean, kind string, field string, value string, lo double, hi double"
@@ -105,7 +105,14 @@ def rank_filtered(queries: DataFrame, idx: DataFrame, docs: DataFrame, literals:
     labeled = labeled.withColumn("_qk", F.struct(F.col("_qk._tk").alias("_tk"), own))
     label_map, keys, texts = search.numbered(labeled, text_cols, id_col)
     qt = search.query_tokens(texts, "_ti", groups)
-    hits = topk.all_scores(qt, "_ti", topk.fold(idx, groups, weights, qt))
-    hits = keys.join(hits, "_ti").select("_qk", "filter_id", "concept_id", "score")
+    hits = cut_lineage(topk.all_scores(qt, "_ti", topk.fold(idx, groups, weights, qt, all_hits=True)), "text-hits")
+    # a text's hits come once for each of its filters and are joined, filtered and ranked where
+    # they are dealt to: in as many partitions as there are such rows, not as their bytes
+    keys = cut_lineage(keys, "filter-keys")
+    few = keys.count() <= topk.BROADCAST_TERMS
+    times = keys.groupBy("_ti").agg(F.count(F.lit(1)).alias("times"))
+    rows = hits.groupBy("_ti").agg(F.count(F.lit(1)).alias("n")).join(times, "_ti").agg(F.sum(F.col("n") * F.col("times"))).first()[0]
+    hits = hits.join(F.broadcast(keys) if few else keys.hint("merge"), "_ti").select("_qk", "filter_id", "concept_id", "score")
+    hits = hits.repartition(topk.partitions(analysis_partitions(hits), rows), "filter_id", "concept_id")
     top = search.top_k(passing(hits, docs, idx, literals).drop("filter_id"), k, page, "_qk")
     return label_map.join(top, "_qk").select(id_col, "rank", "concept_id", "score")

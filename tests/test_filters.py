@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from termspark.operators import filters, search
+from termspark.operators import filters, search, topk
 from test_search import DOC
 
 
@@ -52,6 +52,21 @@ def test_label_filters(spark):
         assert got.get(f, {}) == {i: s for i, s in every.items() if i in passes}, f
 
 
+def test_hits_are_dealt_out_by_their_number(spark, monkeypatch):
+    """Partitions of the hits follow their number, whatever their bytes; the rows stay the same."""
+    docs = spark.createDataFrame([(i, "heart attack", *[None] * 9, i % 3, "OMOP S") for i in range(200)], DOC)
+    idx = search.index(docs, groups=["en"])
+    queries = spark.createDataFrame([(q, "heart attack", q) for q in range(4)], "query_id long, text string, filter_id long")
+    literals = spark.createDataFrame([(1, 1, False, "num", "frequency", None, 1.0, 1.0)], filters.LITERALS)
+    kw = dict(k=3, groups={"en": "text"})
+    plain = sorted(tuple(r) for r in filters.rank_filtered(queries, idx, docs, literals, **kw).collect())
+    monkeypatch.setattr(topk, "HITS_PER_PARTITION", 10)
+    seen, real = [], filters.passing
+    monkeypatch.setattr(filters, "passing", lambda hits, *rest: seen.append(hits.rdd.getNumPartitions()) or real(hits, *rest))
+    assert sorted(tuple(r) for r in filters.rank_filtered(queries, idx, docs, literals, **kw).collect()) == plain
+    assert seen == [80] and len(plain) == 12  # 200 concepts for each of four filters
+
+
 def test_single_filter_functions(spark):
     docs = spark.createDataFrame([(1, "a b", 1.0, "x"), (2, "heart attacks", 5.0, None), (3, None, None, "y")], "id int, name string, v double, e string")
     ids = lambda c: [r.id for r in docs.filter(c).orderBy("id").collect()]
